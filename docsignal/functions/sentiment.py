@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docsignal.functions import text as T
-from docsignal.functions.lookup import MAX_ENTRIES, word_lookup
+from docsignal.functions.lookup import MAX_ENTRIES, word_lookup, word_set
 
 SENTIMENT_NAMES = ["vader_pos", "vader_neu", "vader_neg", "vader_compound"]
 
@@ -50,7 +50,7 @@ DAMPENERS = """
 """.split()
 DAMPENER_PHRASES = ["just enough", "kind of", "sort of"]
 IDIOMS = {
-    "the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "badass": 1.5, "bus stop": 0.0,
+    "the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "bus stop": 0.0,
     "yeah right": -2.0, "kiss of death": -1.5, "to die for": 3.0, "beating heart": 3.1,
     "broken heart": -2.9,
 }
@@ -93,197 +93,204 @@ def _strip(token: Column) -> Column:
     return F.when(F.char_length(bare) <= 2, token).otherwise(bare)
 
 
-def _negates(word: Column) -> Column:
-    return F.coalesce(word.isin(NEGATIONS) | word.contains("n't"), F.lit(False))
-
-
 def _is(word: Column, *options: str) -> Column:
-    return F.coalesce(word.isin(*options), F.lit(False))
+    test = F.lit(False)
+    for option in options:
+        test = test | (word == option)
+    return F.coalesce(test, F.lit(False))
 
 
 def with_sentiment(
     df: DataFrame, text_col: str = "text", lexicon: Mapping[str, float] | None = None
 ) -> DataFrame:
-    """Append the four sentiment columns; one row in, one row out, no shuffle."""
-    lex = word_lookup(DEMO_LEXICON if lexicon is None else lexicon)
-    keep = df.columns
-    text = F.col("_text")
-    low, tok = F.col("_low"), F.col("_tok")
-
-    staged = (
-        df.withColumn("_text", T.clean_text(F.col(text_col)))
-        .withColumn("_tok", F.regexp_extract_all("_text", F.lit(T.NON_SPACE + "+"), F.lit(0)))
-        .withColumn("_tok", F.transform("_tok", _strip))
-        .withColumn("_low", F.transform("_tok", F.lower))
-        .withColumn("_shouted", F.size(F.filter("_tok", lambda w, i: _is_upper(w, F.get("_low", i)))))
-        .withColumn("_mixed", (F.col("_shouted") > 0) & (F.col("_shouted") < F.size("_tok")))
-        .withColumn("_but", F.array_position("_low", "but").cast("int") - 1)
-        .withColumn("_hits", _scored_tokens(low, lex))
+    """Append the four sentiment columns; one row in, one row out, no shuffle.
+
+    The rules run as a chain of small transforms over the few scored tokens of a document.
+    """
+    rules = _Rules(word_lookup(DEMO_LEXICON if lexicon is None else lexicon))
+    text = T.clean_text(F.col(text_col))
+    tokens = F.transform(F.regexp_extract_all(text, F.lit(T.NON_SPACE + "+"), F.lit(0)), _strip)
+    staged = df.withColumn("_tok", tokens).withColumn("_low", F.transform("_tok", F.lower))
+    shouted = F.size(F.filter("_tok", lambda w, i: _is_upper(w, F.get("_low", i))))
+    staged = staged.withColumns(
+        {
+            "_mixed": (shouted > 0) & (shouted < F.size("_tok")),
+            "_but": F.array_position("_low", "but").cast("int") - 1,
+            "_hits": rules.scored_tokens(),
+        }
     )
+    hits = F.col("_hits")
+    for change in rules.steps():
+        hits = F.transform(hits, _set_valence(change))
 
-    def step(name: str, change: Callable[[Column], Column]) -> None:
-        """Replace the valence ``v`` of every hit; a stage of its own keeps expressions small."""
-        nonlocal staged
-        staged = staged.withColumn(
-            "_hits", F.transform("_hits", lambda h: h.withField("v", change(h)))
-        )
+    n_exclaim, n_question = T.literal_count(text, "!"), T.literal_count(text, "?")
+    emphasis = F.least(n_exclaim, F.lit(float(EXCLAIM_MAX))) * EXCLAIM_STEP + F.when(
+        n_question <= 1, 0.0
+    ).when(n_question <= 3, n_question * QUESTION_STEP).otherwise(QUESTION_TOP)
+    staged = staged.withColumns({"_v": F.transform(hits, lambda h: h["v"]), "_emph": emphasis})
+
+    def total(array: Column) -> Column:
+        return F.aggregate(array, F.lit(0.0), lambda acc, v: acc + v)
+
+    staged = staged.withColumns(
+        {
+            "_sum": total(F.col("_v")),
+            "_pos": total(F.transform(F.filter("_v", lambda v: v > 0), lambda v: v + 1)),
+            "_neg": total(F.transform(F.filter("_v", lambda v: v < 0), lambda v: 1 - v)),
+            "_neu": F.size("_tok") - F.size(F.filter("_v", lambda v: v != 0)),
+        }
+    )
+    # Punctuation strengthens whichever side prevails.
+    stronger = F.col("_emph")
+    pos = F.col("_pos") + F.when(F.col("_pos") > F.col("_neg"), stronger).otherwise(0.0)
+    neg = F.col("_neg") + F.when(F.col("_neg") > F.col("_pos"), stronger).otherwise(0.0)
+    score = F.col("_sum") + F.signum("_sum") * stronger
+    staged = staged.select(
+        *df.columns, pos.alias("_p"), neg.alias("_n"), "_neu", score.alias("_s")
+    )
+    everything = F.col("_p") + F.col("_n") + F.col("_neu")
+    shares = {"vader_pos": "_p", "vader_neu": "_neu", "vader_neg": "_n"}
+    return staged.select(
+        *df.columns,
+        *[F.round(T.ratio(F.col(c), everything), 3).alias(name) for name, c in shares.items()],
+        F.round(F.col("_s") / F.sqrt(F.col("_s") * F.col("_s") + NORMALIZER), 4).alias(
+            "vader_compound"
+        ),
+    )
 
-    def before(h: Column, distance: int) -> Column:
-        return F.get(low, h["i"] - distance)
 
-    def after(h: Column, distance: int) -> Column:
-        return F.get(low, h["i"] + distance)
+def _set_valence(change: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda h: h.withField("v", change(h))
 
-    def unknown(h: Column, distance: int) -> Column:
-        """There is a word ``distance`` earlier and the lexicon does not list it."""
-        word = before(h, distance)
-        return word.isNotNull() & lex(word).isNull()
 
-    def no_rule(h: Column) -> Column:
-        negated = (
-            _is(before(h, 1), "no")
-            | _is(before(h, 2), "no")
-            | (_is(before(h, 3), "no") & _is(before(h, 1), "or", "nor"))
+class _Rules:
+    """The rules as changes of a hit's valence.
+
+    A hit is a struct ``(i, w, v)``: token position, lower-cased token, valence so far.  Columns
+    ``_tok`` and ``_low`` hold all tokens, ``_mixed`` says that some but not all are upper case.
+    """
+
+    def __init__(self, lexicon: Callable[[Column], Column]):
+        self.lexicon = lexicon
+        self.boost = word_lookup(
+            {**{w: BOOST for w in INTENSIFIERS}, **{w: -BOOST for w in DAMPENERS}}
         )
-        muted = (h["w"] == "no") & after(h, 1).isNotNull() & lex(after(h, 1)).isNotNull()
-        return (
-            F.when(negated, h["v"] * NEGATION_FACTOR).when(muted, F.lit(0.0)).otherwise(h["v"])
+        self.negation = word_set(NEGATIONS)
+        self.idiom = word_lookup(IDIOMS)
+        self.dampener_phrase = word_set(DAMPENER_PHRASES)
+
+    def scored_tokens(self) -> Column:
+        """Tokens with a lexicon valence: not boosters, and not the ``kind`` of ``kind of``."""
+        listed = F.transform(
+            "_low", lambda w, i: F.struct(i.alias("i"), w.alias("w"), self.lexicon(w).alias("v"))
+        )
+        return F.filter(
+            listed,
+            lambda h: h["v"].isNotNull()
+            & self.boost(h["w"]).isNull()
+            & ~((h["w"] == "kind") & _is(F.get("_low", h["i"] + 1), "of")),
         )
 
-    def caps(h: Column) -> Column:
-        shift = F.when(h["v"] > 0, CAPS_BOOST).otherwise(-CAPS_BOOST)
-        return F.when(F.col("_mixed") & _is_upper(F.get(tok, h["i"]), h["w"]), h["v"] + shift).otherwise(
-            h["v"]
+    def steps(self) -> list[Callable[[Column], Column]]:
+        """In order of application."""
+        near = [
+            rule
+            for distance in (1, 2, 3)
+            for rule in (self._booster(distance), self._negation(distance))
+        ]
+        return [
+            self._no, self._caps, *near, self._idioms, self._phrase_boosters, self._least,
+            self._contrast,
+        ]
+
+    @staticmethod
+    def _at(h: Column, offset: int) -> Column:
+        """The lower-cased token ``offset`` places away, NULL beyond either end."""
+        return F.get("_low", h["i"] + offset)
+
+    def _unlisted(self, h: Column, distance: int) -> Column:
+        """There is a token ``distance`` earlier and the lexicon does not list it."""
+        word = self._at(h, -distance)
+        return word.isNotNull() & self.lexicon(word).isNull()
+
+    def _no(self, h: Column) -> Column:
+        negated = (
+            _is(self._at(h, -1), "no")
+            | _is(self._at(h, -2), "no")
+            | (_is(self._at(h, -3), "no") & _is(self._at(h, -1), "or", "nor"))
         )
+        muted = (h["w"] == "no") & self.lexicon(self._at(h, 1)).isNotNull()
+        return F.when(negated, h["v"] * NEGATION_FACTOR).when(muted, 0.0).otherwise(h["v"])
 
-    def booster(distance: int) -> Callable[[Column], Column]:
+    @staticmethod
+    def _louder(v: Column) -> Column:
+        return F.when(v > 0, CAPS_BOOST).otherwise(-CAPS_BOOST)
+
+    def _caps(self, h: Column) -> Column:
+        shouted = F.col("_mixed") & _is_upper(F.get("_tok", h["i"]), h["w"])
+        return F.when(shouted, h["v"] + self._louder(h["v"])).otherwise(h["v"])
+
+    def _booster(self, distance: int) -> Callable[[Column], Column]:
         def change(h: Column) -> Column:
-            word = before(h, distance)
-            base = F.when(word.isin(INTENSIFIERS), BOOST).when(word.isin(DAMPENERS), -BOOST)
+            word = self._at(h, -distance)
+            base = self.boost(word)
             signed = F.when(h["v"] < 0, -base).otherwise(base)
-            shouted = F.col("_mixed") & _is_upper(F.get(tok, h["i"] - distance), word)
-            loud = (
-                F.when(shouted & (h["v"] > 0), CAPS_BOOST)
-                .when(shouted, -CAPS_BOOST)
-                .otherwise(0.0)
-            )
+            shouted = F.col("_mixed") & _is_upper(F.get("_tok", h["i"] - distance), word)
+            loud = F.when(shouted, self._louder(h["v"])).otherwise(0.0)
             shift = F.coalesce((signed + loud) * DAMPING[distance], F.lit(0.0))
-            return F.when(unknown(h, distance), h["v"] + shift).otherwise(h["v"])
+            return F.when(self._unlisted(h, distance), h["v"] + shift).otherwise(h["v"])
 
         return change
 
-    def negation(distance: int) -> Callable[[Column], Column]:
+    def _negation(self, distance: int) -> Callable[[Column], Column]:
         def change(h: Column) -> Column:
-            first = before(h, distance)
-            if distance == 1:
-                never = doubt = F.lit(False)
-            elif distance == 2:
-                never = _is(first, "never") & _is(before(h, 1), "so", "this")
-                doubt = _is(first, "without") & _is(before(h, 1), "doubt")
-            else:
-                never = (_is(first, "never") & _is(before(h, 2), "so", "this")) | _is(
-                    before(h, 1), "so", "this"
-                )
-                doubt = _is(first, "without") & (
-                    _is(before(h, 2), "doubt") | _is(before(h, 1), "doubt")
-                )
-            changed = (
-                F.when(never, h["v"] * NEVER_FACTOR)
-                .when(doubt, h["v"])
-                .when(_negates(first), h["v"] * NEGATION_FACTOR)
-                .otherwise(h["v"])
-            )
-            return F.when(unknown(h, distance), changed).otherwise(h["v"])
+            word = self._at(h, -distance)
+            out = F.when(~self._unlisted(h, distance), h["v"])
+            emphatic = [_is(self._at(h, -d), "so", "this") for d in range(1, distance)]
+            doubted = [_is(self._at(h, -d), "doubt") for d in range(1, distance)]
+            if distance == 2:
+                out = out.when(_is(word, "never") & emphatic[0], h["v"] * NEVER_FACTOR)
+                out = out.when(_is(word, "without") & doubted[0], h["v"])
+            if distance == 3:
+                never = (_is(word, "never") & emphatic[1]) | emphatic[0]
+                out = out.when(never, h["v"] * NEVER_FACTOR)
+                out = out.when(_is(word, "without") & (doubted[0] | doubted[1]), h["v"])
+            negates = self.negation(word) | F.coalesce(word.contains("n't"), F.lit(False))
+            return out.when(negates, h["v"] * NEGATION_FACTOR).otherwise(h["v"])
 
         return change
 
-    idiom = word_lookup(IDIOMS)
-
-    def phrase(h: Column, start: int, stop: int) -> Column:
-        """Words from ``i+start`` to ``i+stop``; NULL when any is missing."""
-        return F.concat_ws(
-            " ", *[F.get(low, h["i"] + offset) for offset in range(start, stop + 1)]
+    @staticmethod
+    def _phrase(h: Column, start: int, stop: int) -> Column:
+        """Tokens from ``i + start`` to ``i + stop``."""
+        low = F.greatest(h["i"] + start, F.lit(0))
+        return F.array_join(F.slice("_low", low + 1, h["i"] + stop - low + 1), " ")
+
+    def _idioms(self, h: Column) -> Column:
+        # A phrase that starts with the hit outranks those that end before or at it.
+        spans = [(0, 2), (0, 1), (-1, 0), (-2, 0), (-2, -1), (-3, -1), (-3, -2)]
+        found = F.coalesce(*[self.idiom(self._phrase(h, a, b)) for a, b in spans], h["v"])
+        return F.when(self._unlisted(h, 3), found).otherwise(h["v"])
+
+    def _phrase_boosters(self, h: Column) -> Column:
+        count = sum(
+            self.dampener_phrase(self._phrase(h, a, b)).cast("int") for a, b in ((-3, -2), (-2, -1))
         )
+        return F.when(self._unlisted(h, 3), h["v"] - BOOST * count).otherwise(h["v"])
 
-    def idioms(h: Column) -> Column:
-        back = F.coalesce(
-            idiom(phrase(h, -1, 0)), idiom(phrase(h, -2, 0)), idiom(phrase(h, -2, -1)),
-            idiom(phrase(h, -3, -1)), idiom(phrase(h, -3, -2)),
-        )
-        ahead = F.coalesce(idiom(phrase(h, 0, 2)), idiom(phrase(h, 0, 1)))
-        return F.when(unknown(h, 3), F.coalesce(ahead, back, h["v"])).otherwise(h["v"])
-
-    def phrase_boosters(h: Column) -> Column:
-        hits = sum(
-            phrase(h, a, b).isin(DAMPENER_PHRASES).cast("int") for a, b in ((-3, -2), (-2, -1))
+    def _least(self, h: Column) -> Column:
+        applies = (
+            self._unlisted(h, 1)
+            & _is(self._at(h, -1), "least")
+            & ~_is(self._at(h, -2), "at", "very")
         )
-        return F.when(unknown(h, 3), h["v"] - BOOST * hits).otherwise(h["v"])
-
-    def least(h: Column) -> Column:
-        applies = unknown(h, 1) & _is(before(h, 1), "least") & ~_is(before(h, 2), "at", "very")
         return F.when(applies, h["v"] * NEGATION_FACTOR).otherwise(h["v"])
 
-    def contrast(h: Column) -> Column:
+    @staticmethod
+    def _contrast(h: Column) -> Column:
         but = F.col("_but")
         return (
             F.when((but >= 0) & (h["i"] < but), h["v"] * BUT_BEFORE)
             .when((but >= 0) & (h["i"] > but), h["v"] * BUT_AFTER)
             .otherwise(h["v"])
         )
-
-    step("no", no_rule)
-    step("caps", caps)
-    for distance in (1, 2, 3):
-        step("boost", booster(distance))
-        step("negate", negation(distance))
-    step("idioms", idioms)
-    step("phrases", phrase_boosters)
-    step("least", least)
-    step("but", contrast)
-
-    values = F.transform("_hits", lambda h: h["v"])
-    n_exclaim = T.literal_count(text, "!")
-    n_question = T.literal_count(text, "?")
-    emphasis = F.least(n_exclaim, F.lit(float(EXCLAIM_MAX))) * EXCLAIM_STEP + F.when(
-        n_question <= 1, 0.0
-    ).when(n_question <= 3, n_question * QUESTION_STEP).otherwise(QUESTION_TOP)
-
-    def total(array: Column) -> Column:
-        return F.aggregate(array, F.lit(0.0), lambda acc, v: acc + v)
-
-    staged = (
-        staged.withColumn("_v", values)
-        .withColumn("_emph", emphasis)
-        .withColumn("_sum", total(F.col("_v")))
-        .withColumn("_pos", total(F.transform(F.filter("_v", lambda v: v > 0), lambda v: v + 1)))
-        .withColumn("_neg", total(F.transform(F.filter("_v", lambda v: v < 0), lambda v: v - 1)))
-        .withColumn("_neu", F.size("_tok") - F.size(F.filter("_v", lambda v: v != 0)))
-        .withColumn("_sum", F.col("_sum") + F.signum("_sum") * F.col("_emph"))
-        .withColumn(
-            "_lean", F.signum(F.col("_pos") - F.abs(F.col("_neg"))).cast("int")
-        )
-        .withColumn("_pos", F.col("_pos") + F.when(F.col("_lean") > 0, F.col("_emph")).otherwise(0.0))
-        .withColumn("_neg", F.col("_neg") - F.when(F.col("_lean") < 0, F.col("_emph")).otherwise(0.0))
-        .withColumn("_all", F.col("_pos") + F.abs(F.col("_neg")) + F.col("_neu"))
-    )
-    compound = F.col("_sum") / F.sqrt(F.col("_sum") * F.col("_sum") + NORMALIZER)
-    return staged.select(
-        *keep,
-        F.round(T.ratio(F.col("_pos"), F.col("_all")), 3).alias("vader_pos"),
-        F.round(T.ratio(F.col("_neu"), F.col("_all")), 3).alias("vader_neu"),
-        F.round(T.ratio(F.abs(F.col("_neg")), F.col("_all")), 3).alias("vader_neg"),
-        F.round(compound, 4).alias("vader_compound"),
-    )
-
-
-def _scored_tokens(low: Column, lex: Callable[[Column], Column]) -> Column:
-    """Tokens with a lexicon valence: not boosters, and not the ``kind`` of ``kind of``."""
-    listed = F.transform(
-        low, lambda w, i: F.struct(i.alias("i"), w.alias("w"), lex(w).alias("v"))
-    )
-    return F.filter(
-        listed,
-        lambda h: h["v"].isNotNull()
-        & ~h["w"].isin(INTENSIFIERS + DAMPENERS)
-        & ~((h["w"] == "kind") & _is(F.get(low, h["i"] + 1), "of")),
-    )

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from docsignal.functions.lookup import word_set
 from docsignal.functions.stopwords import ENGLISH_STOP_WORDS
 
 # The token classes of the signals.
@@ -99,9 +100,7 @@ def style_columns(text: Column, word_array: Column, lower_array: Column) -> dict
     n_words = F.size(word_array).cast("double")
     word_chars = F.octet_length(F.array_join(word_array, "")).cast("double")
     distinct = F.size(F.array_distinct(lower_array)).cast("double")
-    stops = F.size(
-        F.filter(lower_array, lambda w: w.isin(sorted(ENGLISH_STOP_WORDS)))
-    ).cast("double")
+    stops = F.size(F.filter(lower_array, word_set(ENGLISH_STOP_WORDS))).cast("double")
     shouting = pattern_count(
         text, f"(?<!{WORD_CHAR})(?:'*+[A-Z]){{3}}[A-Z']*+(?!{WORD_CHAR})"
     )

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docsignal.functions import text as T
+from docsignal.functions.lookup import constant
 from docsignal.operators.signals import engineered_block
 from docsignal.operators.tfidf import TfidfConfig, TfidfModel, fit_tfidf, with_tfidf_array
 
@@ -44,7 +45,7 @@ def fit_features(
 
 
 def names_array(names: Sequence[str]) -> Column:
-    return F.split(F.lit("\x00".join(names)), "\x00")
+    return constant(names, "string")
 
 
 def long_features(
@@ -68,7 +69,7 @@ def wide_features(df: DataFrame, names: Sequence[str], keys: Sequence[str]) -> D
 
 def mask_array(features: Column, mask: Sequence[bool]) -> Column:
     """Keep the array positions whose mask bit is on, in order."""
-    on = F.array(*[F.lit(int(i)) for i, bit in enumerate(mask) if bit])
+    on = constant([i for i, bit in enumerate(mask) if bit], "int")
     return F.transform(on, lambda i: F.get(features, i))
 
 

@@ -15,6 +15,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F, types as S
 
+from docsignal.functions.lookup import constant
+
 ROWS_PER_TASK = 20_000
 SUM_SCHEMA = "key int, row int, total array<double>"
 
@@ -39,44 +41,49 @@ def as_double_array(df: DataFrame, features: str = "features") -> DataFrame:
     return df.withColumn(features, F.col(features).cast("array<double>"))
 
 
+def is_small(n_rows: int) -> bool:
+    """Few enough rows for one task; their partial sums may be added on the driver."""
+    return n_rows <= ROWS_PER_TASK
+
+
 def compact(df: DataFrame, n_rows: int) -> DataFrame:
     """Fewer tasks for a small matrix (no shuffle); a large one keeps its partitions."""
     return df.coalesce(max(1, -(-n_rows // ROWS_PER_TASK)))
 
 
-def sum_by_key(partials: DataFrame) -> dict[int, dict[int, np.ndarray]]:
+def sum_by_key(partials: DataFrame, small: bool) -> dict[int, dict[int, np.ndarray]]:
     """Add partial sums ``(key, row, total)`` element by element: ``{key: {row: total}}``.
 
     A hash shuffle on (key, row) spreads the adding over the executors; the driver receives one
-    line per (key, row).
+    line per (key, row).  The few partials of a small matrix skip the shuffle.
     """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            values = batch.column(2)
-            offsets = values.offsets.to_numpy()
-            flat = values.values.to_numpy(zero_copy_only=False)
-            for i, at in enumerate(keys):
-                part = flat[offsets[i] : offsets[i + 1]]
+            for at, part in _lines(batch):
                 totals[at] = totals[at] + part if at in totals else part.copy()
         if totals:
             yield sums_batch(totals)
 
-    if partials.rdd.getNumPartitions() > 1:
+    if not small:
         partials = partials.repartition("key", "row").mapInArrow(add, SUM_SCHEMA)
     out: dict[int, dict[int, np.ndarray]] = {}
     for batch in partials.toArrow().to_batches():
-        offsets = batch.column(2).offsets.to_numpy()
-        flat = batch.column(2).values.to_numpy(zero_copy_only=False)
-        for i, (key, row) in enumerate(
-            zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-        ):
-            out.setdefault(key, {})[row] = flat[offsets[i] : offsets[i + 1]]
+        for (key, row), part in _lines(batch):
+            lines = out.setdefault(key, {})
+            lines[row] = lines[row] + part if row in lines else part
     return out
 
 
+def _lines(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
+    keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+    offsets = batch.column(2).offsets.to_numpy()
+    flat = batch.column(2).values.to_numpy(zero_copy_only=False)
+    for i, at in enumerate(keys):
+        yield at, flat[offsets[i] : offsets[i + 1]]
+
+
 def sums_batch(totals: Mapping[tuple[int, int], np.ndarray]) -> pa.RecordBatch:
     keys = list(totals)
     lengths = [len(totals[k]) for k in keys]
@@ -189,10 +196,9 @@ def append_columns(
 
 def scale(df: DataFrame, scaler: Scaler, features: str = "features") -> DataFrame:
     """Standardise the feature array as a row expression."""
-    mean = F.array(*[F.lit(float(v)) for v in scaler.mean])
-    div = F.array(*[F.lit(float(v)) for v in scaler.divisor])
-    centred = F.zip_with(F.col(features), mean, lambda x, m: x - m)
-    return df.withColumn(features, F.zip_with(centred, div, lambda x, s: x / s))
+    centred = F.zip_with(F.col(features), constant(scaler.mean), lambda x, m: x - m)
+    scaled = F.zip_with(centred, constant(scaler.divisor), lambda x, s: x / s)
+    return df.withColumn(features, scaled)
 
 
 # --- covariance ----------------------------------------------------------------------------
@@ -240,7 +246,8 @@ def gram_sums(
             yield sums_batch(totals)
 
     source = df.select(features, (F.col(fold) if fold else F.lit(-1)).alias("_fold"))
-    sums = sum_by_key(source.mapInArrow(partial, SUM_SCHEMA))
+    n_rows = max(s.n for s in scalers.values())
+    sums = sum_by_key(compact(source, n_rows).mapInArrow(partial, SUM_SCHEMA), is_small(n_rows))
     out = {}
     for key, group in enumerate(groups):
         d = len(scalers[group].mean)

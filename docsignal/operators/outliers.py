@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as S
 
 from docsignal.operators.knn import CHUNK_ROWS, knn_distances, knn_score
 from docsignal.operators.matrix import (
-    GramSums, Scaler, append_columns, as_double_array, compact, covariance, fit_scaler, gram_sums,
+    GramSums, Scaler, append_columns, as_double_array, covariance, fit_scaler, gram_sums,
     to_lists,
 )
 from docsignal.session import materialize
@@ -57,7 +57,7 @@ def mahalanobis_scores(
         scaler = Scaler(scaler.mean, np.ones_like(scaler.mean), scaler.n)
     if scaler.n < 2:
         return df.withColumn(output, F.lit(0.0))
-    sums = gram_sums(compact(df, scaler.n), {None: scaler}, features)[None]
+    sums = gram_sums(df, {None: scaler}, features)[None]
     inverse = precision(sums, use_ledoit, ridge)
     return append_columns(
         df,
@@ -107,7 +107,7 @@ def score_outliers(
         zero = [F.lit(0.0).alias(c) for c in ("md_score", "knn_score")]
         flags = [F.lit(0).alias(c) for c in ("md_outlier", "knn_outlier", "combined_outlier")]
         return rows.select(key, *zero, *flags)
-    sums = gram_sums(compact(rows, scaler.n), {None: scaler}, features)[None]
+    sums = gram_sums(rows, {None: scaler}, features)[None]
     inverse = precision(sums, config.use_ledoit, config.ridge)
 
     def scored(x: np.ndarray) -> dict[str, pa.Array]:

@@ -15,6 +15,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as S
 
 from docsignal.functions import text as T
+from docsignal.functions.lookup import constant
 
 MAX_MODEL_TERMS = 200_000
 TERM_PREFIX = "tfidf:"
@@ -218,8 +219,7 @@ def with_tfidf_array(
 
 def tfidf_entries(weights: Column, terms: list[str]) -> Column:
     """Non-zero weights as an array of ``(term, value)`` in vocabulary order."""
-    names = F.split(F.lit("\x00".join(terms)), "\x00")
-    pairs = F.zip_with(names, weights, lambda t, v: F.struct(t.alias("term"), v.alias("value")))
+    pairs = F.zip_with(constant(terms, "string"), weights, lambda t, v: F.struct(t.alias("term"), v.alias("value")))
     return F.filter(pairs, lambda p: p["value"] > 0)
 
 
