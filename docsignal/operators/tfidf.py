@@ -92,14 +92,16 @@ def _ngrams(items: Column, low: int, high: int, joiner: str) -> Column:
 
 
 def _char_ngrams(text: Column, low: int, high: int) -> Column:
-    """All substrings of ``low..high`` characters."""
+    """All substrings of ``low..high`` characters.
 
-    def of_size(n: int) -> Column:
-        last = F.greatest(F.char_length(text) - n + 1, F.lit(1))
-        runs = F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, F.lit(n)))
-        return F.when(F.char_length(text) >= n, runs).otherwise(F.array().cast("array<string>"))
-
-    return F.concat(*[of_size(n) for n in range(low, high + 1)])
+    Each match consumes one character and captures ``n`` ahead, so a text is read once per size
+    (``substring`` would count from the start of the text every time).
+    """
+    sizes = [
+        F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1))
+        for n in range(low, high + 1)
+    ]
+    return F.concat(*sizes)
 
 
 def with_terms(df: DataFrame, config: TfidfConfig, text_col: str = "text") -> DataFrame:

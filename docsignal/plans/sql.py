@@ -163,7 +163,13 @@ _PRIOR = ", ".join(
 
 
 def _idiom(*words: str) -> str:
-    return f"(SELECT valence FROM idioms WHERE token = {' || '' '' || '.join(words)})"
+    phrase = " || ' ' || ".join(words)
+    return f"(SELECT valence FROM idioms WHERE token = {phrase})"
+
+
+def _ordered_sum(values: str) -> str:
+    """Sum in token order: valences may cancel, and then the order decides the last bit."""
+    return f"list_reduce(list_prepend(0.0::DOUBLE, {values}), lambda a, b: a + b)"
 
 
 SENTIMENT = f"""boosts AS (SELECT * FROM (VALUES {BOOSTS}) v(token, boost)),
@@ -199,8 +205,11 @@ s4 AS (SELECT * REPLACE (CASE WHEN x1 IS NULL AND w1 = 'least' AND coalesce(w2,
     THEN v * ({V.NEGATION_FACTOR}) ELSE v END AS v) FROM s3),
 s5 AS (SELECT * REPLACE (CASE WHEN i < but THEN v * {V.BUT_BEFORE} WHEN i > but THEN v * {V.BUT_AFTER}
     ELSE v END AS v) FROM s4),
-sums AS (SELECT doc_id, sum(v) AS s, sum(v + 1) FILTER (v > 0) AS p, sum(1 - v) FILTER (v < 0) AS g,
-    count(*) FILTER (v <> 0) AS k FROM s5 GROUP BY doc_id),
+lists AS (SELECT doc_id, list(v::DOUBLE ORDER BY i) AS vs FROM s5 GROUP BY doc_id),
+sums AS (SELECT doc_id, {_ordered_sum("vs")} AS s,
+    {_ordered_sum("list_transform(list_filter(vs, lambda v: v > 0), lambda v: v + 1)")} AS p,
+    {_ordered_sum("list_transform(list_filter(vs, lambda v: v < 0), lambda v: 1 - v)")} AS g,
+    len(list_filter(vs, lambda v: v <> 0)) AS k FROM lists),
 marks AS (SELECT doc_id, least(len(regexp_extract_all(t, '!')), {V.EXCLAIM_MAX}) * {V.EXCLAIM_STEP}::DOUBLE
     + CASE WHEN len(regexp_extract_all(t, '\\?')) <= 1 THEN 0
         WHEN len(regexp_extract_all(t, '\\?')) <= 3
