@@ -107,10 +107,15 @@ def with_sentiment(
 
     The rules run as a chain of small transforms over the few scored tokens of a document.
     """
-    rules = _Rules(word_lookup(DEMO_LEXICON if lexicon is None else lexicon))
+    listed = word_lookup(DEMO_LEXICON if lexicon is None else lexicon)
+    rules = _Rules()
     text = T.clean_text(F.col(text_col))
     tokens = F.transform(F.regexp_extract_all(text, F.lit(T.NON_SPACE + "+"), F.lit(0)), _strip)
-    staged = df.withColumn("_tok", tokens).withColumn("_low", F.transform("_tok", F.lower))
+    staged = (
+        df.withColumn("_tok", tokens)
+        .withColumn("_low", F.transform("_tok", F.lower))
+        .withColumn("_val", F.transform("_low", listed))
+    )
     shouted = F.size(F.filter("_tok", lambda w, i: _is_upper(w, F.get("_low", i))))
     staged = staged.withColumns(
         {
@@ -167,11 +172,11 @@ class _Rules:
     """The rules as changes of a hit's valence.
 
     A hit is a struct ``(i, w, v)``: token position, lower-cased token, valence so far.  Columns
-    ``_tok`` and ``_low`` hold all tokens, ``_mixed`` says that some but not all are upper case.
+    ``_tok``, ``_low`` and ``_val`` hold all tokens, their lower-case forms and lexicon valences
+    (NULL if not listed); ``_mixed`` says that some but not all tokens are upper case.
     """
 
-    def __init__(self, lexicon: Callable[[Column], Column]):
-        self.lexicon = lexicon
+    def __init__(self) -> None:
         self.boost = word_lookup(
             {**{w: BOOST for w in INTENSIFIERS}, **{w: -BOOST for w in DAMPENERS}}
         )
@@ -182,7 +187,7 @@ class _Rules:
     def scored_tokens(self) -> Column:
         """Tokens with a lexicon valence: not boosters, and not the ``kind`` of ``kind of``."""
         listed = F.transform(
-            "_low", lambda w, i: F.struct(i.alias("i"), w.alias("w"), self.lexicon(w).alias("v"))
+            "_low", lambda w, i: F.struct(i.alias("i"), w.alias("w"), F.get("_val", i).alias("v"))
         )
         return F.filter(
             listed,
@@ -210,8 +215,7 @@ class _Rules:
 
     def _unlisted(self, h: Column, distance: int) -> Column:
         """There is a token ``distance`` earlier and the lexicon does not list it."""
-        word = self._at(h, -distance)
-        return word.isNotNull() & self.lexicon(word).isNull()
+        return (h["i"] >= distance) & F.get("_val", h["i"] - distance).isNull()
 
     def _no(self, h: Column) -> Column:
         negated = (
@@ -219,7 +223,7 @@ class _Rules:
             | _is(self._at(h, -2), "no")
             | (_is(self._at(h, -3), "no") & _is(self._at(h, -1), "or", "nor"))
         )
-        muted = (h["w"] == "no") & self.lexicon(self._at(h, 1)).isNotNull()
+        muted = (h["w"] == "no") & F.get("_val", h["i"] + 1).isNotNull()
         return F.when(negated, h["v"] * NEGATION_FACTOR).when(muted, 0.0).otherwise(h["v"])
 
     @staticmethod
