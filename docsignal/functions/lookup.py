@@ -30,11 +30,7 @@ def word_set(members: Iterable[str]) -> Callable[[Column], Column]:
 
 def word_lookup(table: Mapping[str, float]) -> Callable[[Column], Column]:
     """Return ``word column -> value or NULL`` for a table of at most ``MAX_ENTRIES`` words."""
-    if len(table) > MAX_ENTRIES:
-        raise ValueError(f"word table has {len(table)} entries, limit is {MAX_ENTRIES}")
-    buckets: list[dict[str, float]] = [{} for _ in range(max(1, len(table)))]
-    for word, value in table.items():
-        buckets[zlib.crc32(word.encode()) % len(buckets)][word] = float(value)
+    buckets = _buckets(table)
     constant = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,double>>")
 
     def find(word: Column) -> Column:
@@ -42,3 +38,20 @@ def word_lookup(table: Mapping[str, float]) -> Callable[[Column], Column]:
         return F.try_element_at(bucket, word)
 
     return find
+
+
+def _buckets(table: Mapping[str, float]) -> list[dict[str, float]]:
+    if len(table) > MAX_ENTRIES:
+        raise ValueError(f"word table has {len(table)} entries, limit is {MAX_ENTRIES}")
+    buckets: list[dict[str, float]] = [{} for _ in range(max(1, len(table)))]
+    for word, value in table.items():
+        buckets[zlib.crc32(word.encode()) % len(buckets)][word] = float(value)
+    return buckets
+
+
+def word_lookup_sql(table: Mapping[str, float]) -> Callable[[str], str]:
+    """The same lookup as SQL text: ``word expression -> value or NULL``."""
+    buckets = _buckets(table)
+    literal = json.dumps(buckets).replace("\\", "\\\\").replace("'", "\\'")
+    constant = f"from_json('{literal}', 'array<map<string,double>>')"
+    return lambda w: f"try_element_at(get({constant}, cast(crc32({w}) % {len(buckets)} AS INT)), {w})"

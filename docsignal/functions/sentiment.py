@@ -7,12 +7,12 @@ scored only if the lexicon lists them as tokens.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docsignal.functions import text as T
-from docsignal.functions.lookup import MAX_ENTRIES, word_lookup, word_set
+from docsignal.functions.lookup import MAX_ENTRIES, word_lookup, word_lookup_sql
 
 SENTIMENT_NAMES = ["vader_pos", "vader_neu", "vader_neg", "vader_compound"]
 
@@ -76,6 +76,109 @@ DEMO_LEXICON = {
 }
 
 
+# --- the rules, as SQL over one scored token -------------------------------------------------
+#
+# A hit ``h`` is a struct (i, w, v): position, lower-cased token, valence so far.  The arrays _tok,
+# _low and _val hold all tokens, their lower-case forms and lexicon valences (NULL if not listed);
+# _mixed says that some but not all tokens are upper case.  Each rule gives the next valence.
+
+_BOOST_OF = word_lookup_sql(
+    {**{w: BOOST for w in INTENSIFIERS}, **{w: -BOOST for w in DAMPENERS}}
+)
+_NEGATION_OF = word_lookup_sql({w: 1.0 for w in NEGATIONS})
+_IDIOM_OF = word_lookup_sql(IDIOMS)
+
+
+def _is_upper(token: str, lowered: str) -> str:
+    return f"({token} <> {lowered} AND {token} = upper({token}))"
+
+
+def _at(offset: int) -> str:
+    """The lower-cased token that many places away (NULL beyond either end)."""
+    return f"get(_low, h.i + ({offset}))"
+
+
+def _unlisted(distance: int) -> str:
+    """There is a token that many places before, and the lexicon does not list it."""
+    return f"(h.i >= {distance} AND get(_val, h.i - {distance}) IS NULL)"
+
+
+def _phrase(start: int, stop: int) -> str:
+    first = f"greatest(h.i + ({start}), 0)"
+    return f"array_join(slice(_low, {first} + 1, h.i + ({stop}) - {first} + 1), ' ')"
+
+
+SCORED_TOKENS = f"""
+    filter(transform(_low, (w, i) -> named_struct('i', i, 'w', w, 'v', get(_val, i))),
+        h -> h.v IS NOT NULL AND {_BOOST_OF("h.w")} IS NULL
+            AND NOT (h.w = 'kind' AND coalesce({_at(1)}, '') = 'of'))"""
+
+_NO = f"""
+    CASE WHEN {_at(-1)} = 'no' OR {_at(-2)} = 'no'
+            OR ({_at(-3)} = 'no' AND {_at(-1)} IN ('or', 'nor')) THEN h.v * {NEGATION_FACTOR}D
+        WHEN h.w = 'no' AND get(_val, h.i + 1) IS NOT NULL THEN 0D ELSE h.v END"""
+
+_LOUDER = f"CASE WHEN h.v > 0 THEN {CAPS_BOOST}D ELSE -{CAPS_BOOST}D END"
+
+_CAPS = f"""
+    CASE WHEN _mixed AND {_is_upper("get(_tok, h.i)", "h.w")} THEN h.v + {_LOUDER} ELSE h.v END"""
+
+
+def _booster(distance: int) -> str:
+    word, boost = _at(-distance), _BOOST_OF(_at(-distance))
+    shouted = f"_mixed AND {_is_upper(f'get(_tok, h.i - {distance})', word)}"
+    return f"""
+    CASE WHEN {_unlisted(distance)} THEN h.v + coalesce(
+            (CASE WHEN h.v < 0 THEN -1D ELSE 1D END * {boost}
+            + CASE WHEN {shouted} THEN {_LOUDER} ELSE 0D END) * {DAMPING[distance]}D, 0D)
+        ELSE h.v END"""
+
+
+def _negation(distance: int) -> str:
+    word = _at(-distance)
+    special = {
+        1: "",
+        2: f"""
+        WHEN {word} = 'never' AND {_at(-1)} IN ('so', 'this') THEN h.v * {NEVER_FACTOR}D
+        WHEN {word} = 'without' AND {_at(-1)} = 'doubt' THEN h.v""",
+        3: f"""
+        WHEN ({word} = 'never' AND {_at(-2)} IN ('so', 'this')) OR {_at(-1)} IN ('so', 'this')
+            THEN h.v * {NEVER_FACTOR}D
+        WHEN {word} = 'without' AND ({_at(-2)} = 'doubt' OR {_at(-1)} = 'doubt') THEN h.v""",
+    }[distance]
+    return f"""
+    CASE WHEN NOT {_unlisted(distance)} THEN h.v {special}
+        WHEN {_NEGATION_OF(word)} IS NOT NULL OR contains({word}, 'n\\'t')
+            THEN h.v * {NEGATION_FACTOR}D ELSE h.v END"""
+
+
+# A phrase that starts with the hit outranks those that end before or at it.
+_IDIOM_SPANS = [(0, 2), (0, 1), (-1, 0), (-2, 0), (-2, -1), (-3, -1), (-3, -2)]
+_IDIOM = f"""
+    CASE WHEN {_unlisted(3)} THEN coalesce(
+        {", ".join(_IDIOM_OF(_phrase(a, b)) for a, b in _IDIOM_SPANS)}, h.v) ELSE h.v END"""
+
+_PHRASE_LIST = ", ".join(f"'{p}'" for p in DAMPENER_PHRASES)
+_PHRASE_BOOST = f"""
+    CASE WHEN {_unlisted(3)} THEN h.v - {BOOST}D * (
+        CAST({_phrase(-3, -2)} IN ({_PHRASE_LIST}) AS INT)
+        + CAST({_phrase(-2, -1)} IN ({_PHRASE_LIST}) AS INT)) ELSE h.v END"""
+
+_LEAST = f"""
+    CASE WHEN {_unlisted(1)} AND {_at(-1)} = 'least'
+            AND coalesce({_at(-2)}, '') NOT IN ('at', 'very')
+        THEN h.v * {NEGATION_FACTOR}D ELSE h.v END"""
+
+_CONTRAST = f"""
+    CASE WHEN _but >= 0 AND h.i < _but THEN h.v * {BUT_BEFORE}D
+        WHEN _but >= 0 AND h.i > _but THEN h.v * {BUT_AFTER}D ELSE h.v END"""
+
+RULES = [
+    _NO, _CAPS, _booster(1), _negation(1), _booster(2), _negation(2), _booster(3), _negation(3),
+    _IDIOM, _PHRASE_BOOST, _LEAST, _CONTRAST,
+]
+
+
 def read_lexicon(lexicon: DataFrame) -> dict[str, float]:
     """Collect a ``(token, valence)`` table after checking that it is lexicon-sized."""
     rows = lexicon.select("token", F.col("valence").cast("double")).limit(MAX_ENTRIES + 1).collect()
@@ -84,22 +187,11 @@ def read_lexicon(lexicon: DataFrame) -> dict[str, float]:
     return {token: valence for token, valence in rows}
 
 
-def _is_upper(word: Column, lowered: Column) -> Column:
-    return (word != lowered) & (word == F.upper(word))
-
-
 def _strip(token: Column) -> Column:
     bare = F.btrim(token, F.lit(PUNCTUATION))
     return F.when(F.char_length(bare) <= 2, token).otherwise(bare)
 
 
-def _is(word: Column, *options: str) -> Column:
-    test = F.lit(False)
-    for option in options:
-        test = test | (word == option)
-    return F.coalesce(test, F.lit(False))
-
-
 def with_sentiment(
     df: DataFrame, text_col: str = "text", lexicon: Mapping[str, float] | None = None
 ) -> DataFrame:
@@ -108,31 +200,30 @@ def with_sentiment(
     The rules run as a chain of small transforms over the few scored tokens of a document.
     """
     listed = word_lookup(DEMO_LEXICON if lexicon is None else lexicon)
-    rules = _Rules()
     text = T.clean_text(F.col(text_col))
     tokens = F.transform(F.regexp_extract_all(text, F.lit(T.NON_SPACE + "+"), F.lit(0)), _strip)
     staged = (
         df.withColumn("_tok", tokens)
         .withColumn("_low", F.transform("_tok", F.lower))
-        .withColumn("_val", F.transform("_low", listed))
-    )
-    shouted = F.size(F.filter("_tok", lambda w, i: _is_upper(w, F.get("_low", i))))
-    staged = staged.withColumns(
-        {
-            "_mixed": (shouted > 0) & (shouted < F.size("_tok")),
-            "_but": F.array_position("_low", "but").cast("int") - 1,
-            "_hits": rules.scored_tokens(),
-        }
+        .withColumns(
+            {
+                "_val": F.transform("_low", listed),
+                "_shouted": F.expr(f"size(filter(_tok, (t, i) -> {_is_upper('t', 'get(_low, i)')}))"),
+                "_but": F.expr("array_position(_low, 'but') - 1"),
+            }
+        )
+        .withColumn("_mixed", F.expr("_shouted > 0 AND _shouted < size(_tok)"))
+        .withColumn("_hits", F.expr(SCORED_TOKENS))
     )
-    hits = F.col("_hits")
-    for change in rules.steps():
-        hits = F.transform(hits, _set_valence(change))
+    hits = "_hits"
+    for rule in RULES:
+        hits = f"transform({hits}, h -> named_struct('i', h.i, 'w', h.w, 'v', {rule}))"
 
     n_exclaim, n_question = T.literal_count(text, "!"), T.literal_count(text, "?")
     emphasis = F.least(n_exclaim, F.lit(float(EXCLAIM_MAX))) * EXCLAIM_STEP + F.when(
         n_question <= 1, 0.0
     ).when(n_question <= 3, n_question * QUESTION_STEP).otherwise(QUESTION_TOP)
-    staged = staged.withColumns({"_v": F.transform(hits, lambda h: h["v"]), "_emph": emphasis})
+    staged = staged.withColumns({"_v": F.expr(f"transform({hits}, h -> h.v)"), "_emph": emphasis})
 
     def total(array: Column) -> Column:
         return F.aggregate(array, F.lit(0.0), lambda acc, v: acc + v)
@@ -162,139 +253,3 @@ def with_sentiment(
             "vader_compound"
         ),
     )
-
-
-def _set_valence(change: Callable[[Column], Column]) -> Callable[[Column], Column]:
-    return lambda h: h.withField("v", change(h))
-
-
-class _Rules:
-    """The rules as changes of a hit's valence.
-
-    A hit is a struct ``(i, w, v)``: token position, lower-cased token, valence so far.  Columns
-    ``_tok``, ``_low`` and ``_val`` hold all tokens, their lower-case forms and lexicon valences
-    (NULL if not listed); ``_mixed`` says that some but not all tokens are upper case.
-    """
-
-    def __init__(self) -> None:
-        self.boost = word_lookup(
-            {**{w: BOOST for w in INTENSIFIERS}, **{w: -BOOST for w in DAMPENERS}}
-        )
-        self.negation = word_set(NEGATIONS)
-        self.idiom = word_lookup(IDIOMS)
-        self.dampener_phrase = word_set(DAMPENER_PHRASES)
-
-    def scored_tokens(self) -> Column:
-        """Tokens with a lexicon valence: not boosters, and not the ``kind`` of ``kind of``."""
-        listed = F.transform(
-            "_low", lambda w, i: F.struct(i.alias("i"), w.alias("w"), F.get("_val", i).alias("v"))
-        )
-        return F.filter(
-            listed,
-            lambda h: h["v"].isNotNull()
-            & self.boost(h["w"]).isNull()
-            & ~((h["w"] == "kind") & _is(F.get("_low", h["i"] + 1), "of")),
-        )
-
-    def steps(self) -> list[Callable[[Column], Column]]:
-        """In order of application."""
-        near = [
-            rule
-            for distance in (1, 2, 3)
-            for rule in (self._booster(distance), self._negation(distance))
-        ]
-        return [
-            self._no, self._caps, *near, self._idioms, self._phrase_boosters, self._least,
-            self._contrast,
-        ]
-
-    @staticmethod
-    def _at(h: Column, offset: int) -> Column:
-        """The lower-cased token ``offset`` places away, NULL beyond either end."""
-        return F.get("_low", h["i"] + offset)
-
-    def _unlisted(self, h: Column, distance: int) -> Column:
-        """There is a token ``distance`` earlier and the lexicon does not list it."""
-        return (h["i"] >= distance) & F.get("_val", h["i"] - distance).isNull()
-
-    def _no(self, h: Column) -> Column:
-        negated = (
-            _is(self._at(h, -1), "no")
-            | _is(self._at(h, -2), "no")
-            | (_is(self._at(h, -3), "no") & _is(self._at(h, -1), "or", "nor"))
-        )
-        muted = (h["w"] == "no") & F.get("_val", h["i"] + 1).isNotNull()
-        return F.when(negated, h["v"] * NEGATION_FACTOR).when(muted, 0.0).otherwise(h["v"])
-
-    @staticmethod
-    def _louder(v: Column) -> Column:
-        return F.when(v > 0, CAPS_BOOST).otherwise(-CAPS_BOOST)
-
-    def _caps(self, h: Column) -> Column:
-        shouted = F.col("_mixed") & _is_upper(F.get("_tok", h["i"]), h["w"])
-        return F.when(shouted, h["v"] + self._louder(h["v"])).otherwise(h["v"])
-
-    def _booster(self, distance: int) -> Callable[[Column], Column]:
-        def change(h: Column) -> Column:
-            word = self._at(h, -distance)
-            base = self.boost(word)
-            signed = F.when(h["v"] < 0, -base).otherwise(base)
-            shouted = F.col("_mixed") & _is_upper(F.get("_tok", h["i"] - distance), word)
-            loud = F.when(shouted, self._louder(h["v"])).otherwise(0.0)
-            shift = F.coalesce((signed + loud) * DAMPING[distance], F.lit(0.0))
-            return F.when(self._unlisted(h, distance), h["v"] + shift).otherwise(h["v"])
-
-        return change
-
-    def _negation(self, distance: int) -> Callable[[Column], Column]:
-        def change(h: Column) -> Column:
-            word = self._at(h, -distance)
-            out = F.when(~self._unlisted(h, distance), h["v"])
-            emphatic = [_is(self._at(h, -d), "so", "this") for d in range(1, distance)]
-            doubted = [_is(self._at(h, -d), "doubt") for d in range(1, distance)]
-            if distance == 2:
-                out = out.when(_is(word, "never") & emphatic[0], h["v"] * NEVER_FACTOR)
-                out = out.when(_is(word, "without") & doubted[0], h["v"])
-            if distance == 3:
-                never = (_is(word, "never") & emphatic[1]) | emphatic[0]
-                out = out.when(never, h["v"] * NEVER_FACTOR)
-                out = out.when(_is(word, "without") & (doubted[0] | doubted[1]), h["v"])
-            negates = self.negation(word) | F.coalesce(word.contains("n't"), F.lit(False))
-            return out.when(negates, h["v"] * NEGATION_FACTOR).otherwise(h["v"])
-
-        return change
-
-    @staticmethod
-    def _phrase(h: Column, start: int, stop: int) -> Column:
-        """Tokens from ``i + start`` to ``i + stop``."""
-        low = F.greatest(h["i"] + start, F.lit(0))
-        return F.array_join(F.slice("_low", low + 1, h["i"] + stop - low + 1), " ")
-
-    def _idioms(self, h: Column) -> Column:
-        # A phrase that starts with the hit outranks those that end before or at it.
-        spans = [(0, 2), (0, 1), (-1, 0), (-2, 0), (-2, -1), (-3, -1), (-3, -2)]
-        found = F.coalesce(*[self.idiom(self._phrase(h, a, b)) for a, b in spans], h["v"])
-        return F.when(self._unlisted(h, 3), found).otherwise(h["v"])
-
-    def _phrase_boosters(self, h: Column) -> Column:
-        count = sum(
-            self.dampener_phrase(self._phrase(h, a, b)).cast("int") for a, b in ((-3, -2), (-2, -1))
-        )
-        return F.when(self._unlisted(h, 3), h["v"] - BOOST * count).otherwise(h["v"])
-
-    def _least(self, h: Column) -> Column:
-        applies = (
-            self._unlisted(h, 1)
-            & _is(self._at(h, -1), "least")
-            & ~_is(self._at(h, -2), "at", "very")
-        )
-        return F.when(applies, h["v"] * NEGATION_FACTOR).otherwise(h["v"])
-
-    @staticmethod
-    def _contrast(h: Column) -> Column:
-        but = F.col("_but")
-        return (
-            F.when((but >= 0) & (h["i"] < but), h["v"] * BUT_BEFORE)
-            .when((but >= 0) & (h["i"] > but), h["v"] * BUT_AFTER)
-            .otherwise(h["v"])
-        )
