@@ -5,7 +5,7 @@ All of them accept grouping columns; a quotient with a zero denominator is 0.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,9 +16,10 @@ def _share(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
-def _cells(df: DataFrame, group: Sequence[str]) -> DataFrame:
+def _cells(df: DataFrame, group: Sequence[str], also: Sequence[Column] = ()) -> DataFrame:
     """Counts of the four binary cells: ``c_tp`` is true label t, predicted p."""
     return df.groupBy(*group).agg(
+        *also,
         *[
             F.count_if((F.col("y_true") == t) & (F.col("y_pred") == p)).alias(f"c_{t}{p}")
             for t in (0, 1)
@@ -27,12 +28,16 @@ def _cells(df: DataFrame, group: Sequence[str]) -> DataFrame:
     )
 
 
-def binary_metrics(df: DataFrame, group: Sequence[str] = ()) -> DataFrame:
-    """Accuracy, and F1, precision and recall of class 1."""
+def binary_metrics(
+    df: DataFrame, group: Sequence[str] = (), also: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Accuracy, and F1, precision and recall of class 1; ``also`` adds named aggregates."""
+    also = also or {}
     c = {k: F.col(f"c_{k}") for k in ("00", "01", "10", "11")}
     total = c["00"] + c["01"] + c["10"] + c["11"]
-    return _cells(df, group).select(
+    return _cells(df, group, [a.alias(name) for name, a in also.items()]).select(
         *group,
+        *also,
         _share(c["00"] + c["11"], total).alias("accuracy"),
         _share(2 * c["11"], 2 * c["11"] + c["01"] + c["10"]).alias("f1"),
         _share(c["11"], c["11"] + c["01"]).alias("precision"),

@@ -109,11 +109,11 @@ def generated_label(text: Column) -> Column:
 def judge_generations(df: DataFrame, text_col: str = "generated") -> DataFrame:
     """Metrics over ``(generated, y_true)``; unreadable answers are counted, not guessed."""
     parsed = df.select("y_true", generated_label(F.col(text_col)).alias("y_pred"))
-    counts = parsed.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("y_pred").isNull()).alias("n_unreadable")
-    )
-    # One row each.
-    return counts.join(F.broadcast(binary_metrics(parsed)))
+    counts = {
+        "n_rows": F.count(F.lit(1)),
+        "n_unreadable": F.count_if(F.col("y_pred").isNull()),
+    }
+    return binary_metrics(parsed, also=counts)
 
 
 def generation_report(df: DataFrame, text_col: str = "generated") -> DataFrame:

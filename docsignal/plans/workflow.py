@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from docsignal.functions import text as T
 from docsignal.operators.folds import stratified_split
@@ -43,14 +43,19 @@ class Prepared:
 def assign_splits(
     corpus: DataFrame, val_size: float = 0.2, test_size: float = 0.0, seed: int = 42
 ) -> DataFrame:
-    """``train``/``val`` from a corpus, after setting a ``test`` share aside if there is none."""
-    if not test_size:
-        return stratified_split(corpus, val_size, seed)
-    held = stratified_split(corpus.select("doc_id", "label"), test_size, seed + 1)
-    test = held.where(F.col("split") == "val").select("doc_id", F.lit("test").alias("split"))
-    rest = stratified_split(held.where(F.col("split") == "train").drop("split"), val_size, seed)
-    splits = rest.select("doc_id", "split").unionByName(test)
-    return corpus.join(splits, "doc_id")
+    """Append ``split``: ``train``/``val``, after setting a ``test`` share aside if asked.
+
+    Ranks are taken over keys and labels only; texts or features join the result once.
+    """
+    keys = corpus.select("doc_id", "label")
+    if test_size:
+        held = stratified_split(keys, test_size, seed + 1)
+        test = held.where(F.col("split") == "val").select("doc_id", F.lit("test").alias("split"))
+        keys = held.where(F.col("split") == "train").drop("split")
+    splits = stratified_split(keys, val_size, seed).select("doc_id", "split")
+    if test_size:
+        splits = splits.unionByName(test)
+    return corpus.join(materialize(splits, "splits"), "doc_id")
 
 
 def prepare(
@@ -157,7 +162,3 @@ def full_study(
     return experiment_suite(
         prepared, tuned.best, [bool(b) for b in outcome.mask], grids, genetic.n_splits, seed
     )
-
-
-def summary_frame(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, SUMMARY_SCHEMA)
