@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docsignal.functions import text as T
 from docsignal.functions.lookup import constant
+from docsignal.functions.sentiment import DEMO_LEXICON, read_lexicon
 from docsignal.operators.signals import engineered_block
 from docsignal.operators.tfidf import TfidfConfig, TfidfModel, fit_tfidf, with_tfidf_array
 
@@ -24,6 +25,19 @@ class FeatureModel:
     def names(self) -> list[str]:
         return T.ENGINEERED_NAMES + self.tfidf.feature_names
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Vocabulary, corpus settings and lexicon as small tables; replaces the target."""
+        self.tfidf.save(spark, f"{path}/tfidf")
+        lexicon = DEMO_LEXICON if self.lexicon is None else self.lexicon
+        spark.createDataFrame(list(lexicon.items()), "token string, valence double").write.mode(
+            "overwrite"
+        ).parquet(f"{path}/lexicon")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> FeatureModel:
+        lexicon = read_lexicon(spark.read.parquet(f"{path}/lexicon"))
+        return cls(TfidfModel.load(spark, f"{path}/tfidf"), lexicon)
+
     def transform(self, df: DataFrame, text_col: str = "text") -> DataFrame:
         """Replace the text by ``features``; row-local, so it also runs on a stream."""
         keep = [c for c in df.columns if c != text_col]

@@ -490,6 +490,11 @@ def binary_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(metrics.binary_metrics(predictions(spark, sf)), *metrics.METRIC_NAMES)
 
 
+@register
+def metrics_key_values(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.key_values(binary_metrics(spark, sf))
+
+
 @register
 def class_report(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.class_report(predictions(spark, sf))
@@ -658,6 +663,12 @@ def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     return reports.top_weights(model.weights_table(spark, prepared.names))
 
 
+@register
+def train_and_judge(spark: SparkSession, sf: str) -> DataFrame:
+    prepared = prepared_corpus(spark, sf, test_size=0.2)
+    return workflow.train_and_judge(prepared, "linear_svc", {"C": [0.5, 1.0]}, 3)[1]
+
+
 @register
 def outlier_tuning(spark: SparkSession, sf: str) -> DataFrame:
     train = prepared_corpus(spark, sf).split("train")

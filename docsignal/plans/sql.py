@@ -626,6 +626,10 @@ FROM log JOIN bx USING (combine) GROUP BY combine""",
     / nullif(count(*) FILTER (y_true = k), 0), 0), 6) AS pred_1
 FROM p, (VALUES (0), (1)) s(k) GROUP BY k""",
     "binary_metrics": _with(PREDICTIONS) + METRICS.format(extra=""),
+    "metrics_key_values": "UNPIVOT ("
+    + _with(PREDICTIONS, "mt AS (" + METRICS.format(extra="") + ")")
+    + "SELECT accuracy::VARCHAR AS accuracy, f1::VARCHAR AS f1, precision::VARCHAR AS precision, "
+    "recall::VARCHAR AS recall FROM mt) ON accuracy, f1, precision, recall INTO NAME key VALUE value",
     "class_report": _with(PREDICTIONS) + ", " + REPORT,
     "cv_mean": CV_MEAN,
     "best_grid_point": f"SELECT * FROM ({CV_MEAN}) ORDER BY mean_acc DESC, grid_idx LIMIT 1",

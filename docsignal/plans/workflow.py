@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from docsignal.functions import text as T
+from docsignal.operators import metrics
 from docsignal.operators.folds import stratified_split
 from docsignal.operators.frame import FeatureModel, fit_features, mask_array
 from docsignal.operators.metrics import METRIC_NAMES
@@ -17,6 +18,7 @@ from docsignal.operators.selection import GeneticConfig, search_subset
 from docsignal.operators.tfidf import TfidfConfig
 from docsignal.operators.tuning import SearchSpace, Trial, clean_with, tune_outliers
 from docsignal.session import materialize
+from docsignal.sources import sinks, tables
 
 SUMMARY_SCHEMA = (
     "scenario string, model string, cv_acc double, cv_f1 double, "
@@ -84,6 +86,57 @@ def select_features(frame: DataFrame, mask: Sequence[bool]) -> DataFrame:
     return frame.withColumn("features", mask_array(F.col("features"), mask))
 
 
+def train_and_judge(
+    prepared: Prepared,
+    model_type: str,
+    grid: Mapping[str, Sequence] | None = None,
+    n_splits: int = 5,
+    seed: int = 42,
+    class_weight: str | None = None,
+    final_on_val_too: bool = True,
+) -> tuple[FittedModel, DataFrame]:
+    """Search on train, fit, and one metric line per (fit, judged rows).
+
+    ``val_held_out`` judges the fit on train alone; ``val_in_sample`` judges the final fit, which
+    has seen those rows when it includes them.
+    """
+    spark = prepared.frame.sparkSession
+    train, val, test = (prepared.split(s) for s in ("train", "val", "test"))
+    found = cv_search(train, model_type, grid, n_splits, seed, class_weight)
+    first = fit_final(train, model_type, found.best_params, class_weight)
+    lines = [("val_held_out", evaluate(first, val))]
+    final = first
+    if final_on_val_too:
+        both = prepared.split("train", "val")
+        final = fit_final(both, model_type, found.best_params, class_weight)
+        lines.append(("val_in_sample", evaluate(final, val)))
+    lines.append(("test", evaluate(final, test)))
+    rows = [
+        (model_type, judged, found.cv_acc, found.cv_f1, *[scores[m] for m in METRIC_NAMES])
+        for judged, scores in lines
+    ]
+    schema = "model string, judged string, cv_acc double, cv_f1 double, " + ", ".join(
+        f"{m} double" for m in METRIC_NAMES
+    )
+    return final, spark.createDataFrame(rows, schema)
+
+
+def save_evaluation(model: FittedModel, test: DataFrame, path: str) -> None:
+    """Model, metrics, class report, predictions and both confusion matrices under ``path``."""
+    spark = test.sparkSession
+    model.save(spark, f"{path}/model")
+    sinks.write_csv(model.predict(test), f"{path}/predictions")
+    # What is judged is what was written; predictions are not computed again.
+    said = tables.read_csv(
+        spark, f"{path}/predictions", "doc_id string, y_true int, y_pred int"
+    )
+    named = metrics.binary_metrics(said).withColumnsRenamed({m: f"test_{m}" for m in METRIC_NAMES})
+    sinks.write_json(named, f"{path}/metrics")
+    sinks.write_csv(metrics.class_report(said), f"{path}/report")
+    sinks.write_csv(metrics.confusion_matrix(said), f"{path}/confusion")
+    sinks.write_csv(metrics.confusion_matrix(said, True), f"{path}/confusion_normalized")
+
+
 def run_scenario(
     scenario: str,
     model_type: str,

@@ -1,4 +1,4 @@
-"""Session helpers: cutting lineage, spreading small scans, size-checked broadcasts."""
+"""Session helpers: cutting lineage and spreading small scans."""
 
 from __future__ import annotations
 
@@ -7,9 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-BROADCAST_ROW_LIMIT = 100_000
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -47,8 +44,3 @@ def spread(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() * 2 > want:
         return df
     return df.repartition(want)
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` has at most ``limit`` rows."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

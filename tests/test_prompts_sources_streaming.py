@@ -183,6 +183,21 @@ def test_experiment_suite(spark, tmp_path):
     assert 0 < clean.count() <= 48
 
 
+def test_train_judge_and_save(spark, tmp_path):
+    prepared = workflow.prepare(workflow.assign_splits(corpus(spark), test_size=0.25), SMALL)
+    model, table = workflow.train_and_judge(prepared, "linear_svc", {"C": [1.0]}, 2)
+    assert {r.judged for r in table.collect()} == {"val_held_out", "val_in_sample", "test"}
+    path = str(tmp_path / "run")
+    workflow.save_evaluation(model, prepared.split("test"), path)
+    saved = spark.read.json(f"{path}/metrics").first()
+    assert saved.test_accuracy == table.where("judged = 'test'").first().accuracy
+    assert spark.read.option("header", True).csv(f"{path}/confusion").count() == 2
+    prepared.model.save(spark, f"{path}/features")
+    again = frame.FeatureModel.load(spark, f"{path}/features")
+    docs = corpus(spark, 10).drop("label")
+    assert as_dicts(again.transform(docs)) == as_dicts(prepared.model.transform(docs))
+
+
 def test_full_study(spark):
     from docsignal.operators.selection import GeneticConfig
     from docsignal.operators.tuning import SearchSpace
