@@ -109,8 +109,10 @@ def _phrase(start: int, stop: int) -> str:
 
 
 SCORED_TOKENS = f"""
-    filter(transform(_low, (w, i) -> named_struct('i', i, 'w', w, 'v', get(_val, i))),
-        h -> h.v IS NOT NULL AND {_BOOST_OF("h.w")} IS NULL
+    filter(
+        transform(_val, (v, i) ->
+            CASE WHEN v IS NOT NULL THEN named_struct('i', i, 'w', get(_low, i), 'v', v) END),
+        h -> h IS NOT NULL AND {_BOOST_OF("h.w")} IS NULL
             AND NOT (h.w = 'kind' AND coalesce({_at(1)}, '') = 'of'))"""
 
 _NO = f"""
@@ -187,11 +189,6 @@ def read_lexicon(lexicon: DataFrame) -> dict[str, float]:
     return {token: valence for token, valence in rows}
 
 
-def _strip(token: Column) -> Column:
-    bare = F.btrim(token, F.lit(PUNCTUATION))
-    return F.when(F.char_length(bare) <= 2, token).otherwise(bare)
-
-
 def with_sentiment(
     df: DataFrame, text_col: str = "text", lexicon: Mapping[str, float] | None = None
 ) -> DataFrame:
@@ -201,9 +198,11 @@ def with_sentiment(
     """
     listed = word_lookup(DEMO_LEXICON if lexicon is None else lexicon)
     text = T.clean_text(F.col(text_col))
-    tokens = F.transform(F.regexp_extract_all(text, F.lit(T.NON_SPACE + "+"), F.lit(0)), _strip)
     staged = (
-        df.withColumn("_tok", tokens)
+        df.withColumn("_raw", F.regexp_extract_all(text, F.lit(T.NON_SPACE + "+"), F.lit(0)))
+        .withColumn("_bare", F.transform("_raw", lambda w: F.btrim(w, F.lit(PUNCTUATION))))
+        # Emoticons and other short leftovers keep their punctuation.
+        .withColumn("_tok", F.expr("zip_with(_raw, _bare, (r, b) -> if(length(b) <= 2, r, b))"))
         .withColumn("_low", F.transform("_tok", F.lower))
         .withColumns(
             {

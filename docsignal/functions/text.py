@@ -20,7 +20,8 @@ WORD_CHAR = "[A-Za-z']"
 SPACE_CHARS = r" \t\n\x0B\f\r\x1c\x1d\x1e\x1f\x85\p{Z}"
 NON_SPACE = f"[^{SPACE_CHARS}]"
 PUNCTUATION = rf"[^\p{{L}}\p{{N}}_{SPACE_CHARS}]"
-URL = f"(?iu)(https?://{NON_SPACE}+|www\\.{NON_SPACE}+)"
+# "http(s)://..." or "www...." in any case; the first class rejects most characters at once.
+URL = rf"[hHwW](?iu)(?:(?<=h)ttps?://|(?<=w)ww\.){NON_SPACE}+"
 SENTENCE_BREAK = "[.!?]+"
 TERM = r"[\p{L}\p{N}_]{2,}"
 # Digits in the wide sense: decimal digits plus superscripts, subscripts and circled forms.  The
@@ -49,7 +50,7 @@ def clean_text(text: Column) -> Column:
 
 
 def ratio(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
+    return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
 
 
 def pattern_count(text: Column, pattern: str) -> Column:
@@ -102,7 +103,7 @@ def style_columns(text: Column, word_array: Column, lower_array: Column) -> dict
     distinct = F.size(F.array_distinct(lower_array)).cast("double")
     stops = F.size(F.filter(lower_array, word_set(ENGLISH_STOP_WORDS))).cast("double")
     shouting = pattern_count(
-        text, f"(?<!{WORD_CHAR})(?:'*+[A-Z]){{3}}[A-Z']*+(?!{WORD_CHAR})"
+        text, f"(?=[A-Z'])(?<!{WORD_CHAR})(?:'*+[A-Z]){{3}}[A-Z']*+(?!{WORD_CHAR})"
     )
     return {
         "char_len": chars,

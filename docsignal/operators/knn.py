@@ -72,7 +72,7 @@ def nearest(a: np.ndarray, b: np.ndarray, k: int, p: float, same: bool) -> np.nd
         if m < len(b):
             slack = 1e-10 * ((rows * rows).sum(1) + b_sq.max())
             edge = np.take_along_axis(approx, picks, 1).max(1)
-            for i in np.nonzero(edge - slack <= best[:, -1])[0]:
+            for i in np.nonzero((edge - slack <= best[:, -1]) & (best[:, -1] > 0))[0]:
                 wide = np.nonzero(approx[i] <= best[i, -1] + slack[i])[0]
                 redo = ((b[wide] - rows[i]) ** 2).sum(1)
                 redo[~np.isfinite(approx[i, wide])] = np.inf
