@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docsignal.llm import exact, packing
+from docsignal.llm import exact, packing, warc
 from docsignal.llm.common import read
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_summary(warc.archive_pages(read(spark, sf_dir, "pages")))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicate(read(spark, sf_dir, "documents"))
 
@@ -23,6 +27,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_packing": op8_packing,
 }

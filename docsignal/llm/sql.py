@@ -1,6 +1,22 @@
 """DuckDB equivalents of the registered queries, where SQL can express them."""
 
 ORACLES = {
+    "op1_warc": """
+        with p as (
+          select page_id, strlen(coalesce(html, '')) as n, sha1(coalesce(html, '')) as h from pages),
+        d as (
+          select *, min(page_id) over (partition by h) as first_id,
+                 array_to_string(list_transform(range(32), lambda i: substr(
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + (((((instr('0123456789abcdef', substr(h, 1 + (5 * i) // 4, 1)) - 1) * 16
+                     + instr('0123456789abcdef', substr(h, 2 + (5 * i) // 4, 1)) - 1)
+                     >> (3 - (5 * i) % 4)) & 31))::bigint, 1)), '') as b32
+          from p)
+        select page_id, n as payload_bytes, b32 as payload_digest,
+               case when page_id = first_id then 'response' else 'revisit' end as record_type,
+               case when page_id = first_id then null else first_id end as refers_to
+        from d
+    """,
     "op6_exact_dedup": """
         with t as (
           select doc_id,
