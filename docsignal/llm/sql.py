@@ -17,6 +17,26 @@ ORACLES = {
                case when page_id = first_id then null else first_id end as refers_to
         from d
     """,
+    "op5_chat": r"""
+        with t as (
+          select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+          from conversations
+          union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+          union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        f as (
+          select *, role || chr(10) || text || chr(10) as said,
+                 case when role = 'assistant' then text else '' end as learned,
+                 length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g'))
+                 + length(role) + length(regexp_replace(role, '[^\\#<:]', '', 'g'))
+                 + length('### : </turn>') + 1 as n
+          from t)
+        select conv_id, count(*) as n_turns,
+               sha256(string_agg(said, '' order by turn, role, text)) as turns_sha256,
+               sum(length(learned))::bigint as loss_chars,
+               sha256(string_agg(learned, '' order by turn, role, text)) as loss_sha256,
+               sum(n)::bigint as formatted_chars
+        from f group by conv_id
+    """,
     "op6_exact_dedup": """
         with t as (
           select doc_id,
