@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docsignal.llm import chat, exact, packing, warc
+from docsignal.llm import chat, exact, langid, packing, warc
 from docsignal.llm.common import read
 
 
@@ -34,6 +34,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicate(read(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "lang_pred", "score", "langs", "proportions"
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(
         read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
@@ -45,5 +51,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op5_chat": op5_chat,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_language_id": op7_language_id,
     "op8_packing": op8_packing,
 }
