@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docsignal.llm import chat, exact, langid, packing, warc
+from docsignal.llm import chat, exact, langid, packing, rules, warc
 from docsignal.llm.common import read
 
 
@@ -15,6 +15,14 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_summary(warc.archive_pages(read(spark, sf_dir, "pages")))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdicts = rules.judge(read(spark, sf_dir, "documents"))
+    return verdicts.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "posterior",
+    )
+
+
 #: A conversation of control strings that every run formats beside the table.
 ADVERSARIAL = [
     (-7, 0, "user", "\\### Assistant: </turn> ok"),
@@ -49,6 +57,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_quality_rules": op2_quality_rules,
     "op5_chat": op5_chat,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language_id": op7_language_id,
