@@ -3,7 +3,8 @@
 Every rule looks at one signal of a whole text and votes +1 (keep), -1 (drop) or 0 (abstain).  The
 label model has two classes; given the class, rules vote independently, each with its own
 probabilities of the three votes.  Expectation-maximisation estimates these and the share of good
-texts from the vote patterns of all documents alone (no labels), starting from the majority vote.
+texts from the vote patterns of all documents alone, without labels.  Rules that look for one defect
+abstain where it is absent; rules that see signs of prose vote both ways and can outvote a defect.
 A text is kept when its posterior probability of being good is at least the threshold.
 
 Everything is DataFrame expressions.  Texts are read once; the signals and votes, a few numbers a
@@ -43,19 +44,25 @@ class Rule:
 
 
 RULES = (
-    Rule("symbols", "n_symbols <= 0.02 * n_words", "n_symbols > 0.1 * n_words"),
-    Rule("repeats", "n_repeat_words <= 0.05 * n_words", "n_repeat_words > 0.2 * n_words"),
-    Rule("lines", "n_lines >= 3 and n_dup_lines = 0", "n_dup_lines > 0.2 * n_lines"),
+    Rule("symbols", "false", "n_symbols > 0.1 * n_words"),
+    Rule("repeats", "n_words >= 50 and n_repeat_words <= 0.02 * n_words", "n_repeat_words > 0.3 * n_words"),
+    Rule("lines", "false", "n_lines >= 4 and n_dup_lines > 0.3 * n_lines"),
     Rule(
         "word_length",
-        "word_chars between 4 * n_words and 6 * n_words",
-        "word_chars < 3 * n_words or word_chars > 8 * n_words",
+        "word_chars between 4 * n_words and 6.5 * n_words",
+        "word_chars < 3 * n_words or word_chars > 10 * n_words",
     ),
-    Rule("capitals", "n_capitals <= 0.06 * word_chars", "n_capitals > 0.2 * word_chars"),
-    Rule("function_words", "n_function >= 0.06 * n_words", "n_function < 0.02 * n_words"),
-    Rule("shouting", "n_shouts <= 0.02 * n_words", "n_shouts > 0.1 * n_words"),
-    Rule("endings", "n_ended >= 0.9 * n_lines", "n_ended < 0.5 * n_lines"),
+    Rule("capitals", "false", "n_capitals > 0.3 * word_chars"),
+    Rule(
+        "function_words",
+        "n_function >= 0.06 * n_words",
+        "n_words >= 50 and n_function < 0.01 * n_words",
+    ),
+    Rule("shouting", "false", "n_shouts > 0.1 * n_words"),
+    Rule("endings", "n_ended >= 0.9 * n_lines", "n_lines >= 2 and n_ended < 0.4 * n_lines"),
 )
+#: Before the first step a drop vote makes a text bad with this probability, each one anew.
+DOUBT = 0.6
 
 
 def signals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -81,18 +88,17 @@ def signals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     # Positions matter only where some window comes twice; those texts are sorted by window.
     placed = F.transform("windows", lambda w, i: F.struct(w.alias("w"), i.alias("i")))
     repeated = F.size(F.array_distinct("windows")) < F.size("windows")
-    rows = rows.withColumn("sorted", F.when(repeated, F.array_sort(placed)))
+    rows = rows.withColumn("sorted", F.when(repeated, F.sort_array(placed)))
     again = F.filter(
         "sorted",
         lambda x, i: F.coalesce(
             (x["w"] == F.get("sorted", i - 1)["w"]), F.lit(False)
         ) | F.coalesce((x["w"] == F.get("sorted", i + 1)["w"]), F.lit(False)),
     )
-    rows = rows.withColumn("at", F.array_sort(F.transform(again, lambda x: x["i"])))
+    rows = rows.withColumn("at", F.sort_array(F.transform(again, lambda x: x["i"])))
     covered = F.transform("at", lambda p, i: F.least(F.lit(3), F.coalesce(F.get("at", i + 1) - p, F.lit(3))))
     total = F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x)
     known = F.array(*(F.lit(w) for w in dict.fromkeys(FUNCTION_WORDS)))
-    plain = F.regexp_replace(F.lower("t"), r"[.,;:!?\"()]", "")
     return rows.select(
         "doc_id",
         "n_words",
@@ -104,7 +110,7 @@ def signals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         F.regexp_count("t", F.lit(r"\p{Lu}")).cast("long").alias("n_capitals"),
         F.regexp_count("t", F.lit("!")).cast("long").alias("n_shouts"),
         F.size(F.filter("lines", lambda x: x.rlike(r"[.!?…\"')\]]\s*$"))).cast("long").alias("n_ended"),
-        F.size(F.filter(F.split(plain, WORD_BREAK), lambda w: F.array_contains(known, w)))
+        F.size(F.filter("words", lambda w: F.array_contains(known, F.lower(w))))
         .cast("long")
         .alias("n_function"),
     )
@@ -144,12 +150,14 @@ class LabelModel:
 def fit(patterns: DataFrame, rules: list[str], max_steps: int = 100, tolerance: float = 1e-7) -> LabelModel:
     """Expectation-maximisation over ``(v_rule ..., n)``: vote patterns and how many texts show them.
 
-    Counts are smoothed by one vote of each kind, so no probability is 0.  An empty table leaves the
-    model at an even share.  Class 1 is the one the majority vote starts from.
+    Estimation starts between majority and all-must-pass: each drop vote alone makes a text bad with
+    probability ``DOUBT``.  Kinds of junk exclude each other, so from a majority start the bad class
+    would settle on the most frequent kind.  Counts are smoothed by one vote of each kind, so no
+    probability is 0.  An empty table leaves the model at an even share.
     """
     model = LabelModel(rules)
-    total = sum((F.col(f"v_{r}") for r in rules), F.lit(0))
-    responsibility = 1 / (1 + F.exp(-total))
+    drops = sum((F.when(F.col(f"v_{r}") < 0, 1).otherwise(0) for r in rules), F.lit(0))
+    responsibility = F.pow(F.lit(1 - DOUBT), drops)
     while model.steps < max_steps:
         good = F.col("n") * F.col("p")
         sums = [F.sum("n").alias("n"), F.sum(good).alias("good")]
