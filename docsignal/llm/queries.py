@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docsignal.llm import chat, exact, langid, packing, rules, warc
+from docsignal.llm import chat, exact, langid, packing, pieces, rules, warc
 from docsignal.llm.common import read
 
 
@@ -23,6 +23,15 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    decoded = pieces.decode(pieces.encode(read(spark, sf_dir, "documents"), model), model)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "n_byte_ids", "ids_crc32",
+        F.sha2("decoded", 256).alias("decoded_sha256"), pieces.restored().alias("restored"),
+    )
+
+
 #: A conversation of control strings that every run formats beside the table.
 ADVERSARIAL = [
     (-7, 0, "user", "\\### Assistant: </turn> ok"),
@@ -49,15 +58,16 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(
+    packed = packing.pack(
         read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
     )
-    return packing.piece_digests(pieces)
+    return packing.piece_digests(packed)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_chat": op5_chat,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language_id": op7_language_id,
