@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docsignal.llm import chat, exact, langid, packing, pieces, rules, warc
+from docsignal.llm import chat, exact, langid, licences, packing, pieces, rules, warc
 from docsignal.llm.common import read
 
 
@@ -64,6 +64,16 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packed)
 
 
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan_corpus(read(spark, sf_dir, "documents"))
+    known = F.filter("spans", lambda s: s["family"] != licences.UNKNOWN)
+    families = F.array_sort(F.array_distinct(F.transform(known, lambda s: s["family"])))
+    return found.select(
+        "doc_id", families.alias("families"), F.size("spans").cast("long").alias("n_spans"),
+        F.size(known).cast("long").alias("n_confirmed"), "spans",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
@@ -72,4 +82,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language_id": op7_language_id,
     "op8_packing": op8_packing,
+    "op10_licences": op10_licences,
 }
