@@ -182,9 +182,10 @@ def deduplicate(
 
 
 def hit_texts(docs: DataFrame, found: DataFrame, key: str, text: str, hex_digits: int) -> DataFrame:
-    """``(doc_id, text_sha256, digest, content)`` of the rows whose digest is in ``found``.
+    """``(doc_id, text_sha256, digest, content)`` of the rows whose digest may be in ``found``.
 
-    A second pass over the texts; a bitmap of fixed size leaves most others out before the join.
+    A second pass over the texts; a bitmap of fixed size leaves out most rows of other digests.
+    What is grouped afterwards is combined within tasks first, so a hot digest ships few texts.
     """
     spark = docs.sparkSession
     bitmap = spark.sparkContext.broadcast(
@@ -209,6 +210,4 @@ def hit_texts(docs: DataFrame, found: DataFrame, key: str, text: str, hex_digits
             )
 
     schema = "doc_id long, text_sha256 string, digest string, content string"
-    return map_batches(_thin(docs, key, text), run, schema).join(
-        found.select("digest"), "digest", "left_semi"
-    )
+    return map_batches(_thin(docs, key, text), run, schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docsignal.llm import chat, exact, langid, licences, packing, pieces, rules, warc
+from docsignal.llm import chat, exact, jaccard, langid, licences, packing, pieces, rules, warc
 from docsignal.llm.common import read
 
 
@@ -23,6 +23,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_components(read(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     decoded = pieces.decode(pieces.encode(read(spark, sf_dir, "documents"), model), model)
@@ -77,6 +81,7 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
+    "op3_jaccard": op3_jaccard,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_chat": op5_chat,
     "op6_exact_dedup": op6_exact_dedup,
