@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docsignal.llm import chat, exact, jaccard, langid, licences, packing, pieces, rules, warc
+from docsignal.llm import chat, exact, jaccard, langid, licences, packing, pieces, rules, suffixes, warc
 from docsignal.llm.common import read
 
 
@@ -68,6 +68,15 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packed)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.remove_repeats(read(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan_corpus(read(spark, sf_dir, "documents"))
     known = F.filter("spans", lambda s: s["family"] != licences.UNKNOWN)
@@ -87,5 +96,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language_id": op7_language_id,
     "op8_packing": op8_packing,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_licences": op10_licences,
 }
