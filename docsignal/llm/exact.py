@@ -14,7 +14,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from docsignal.llm.common import (
-    key_back, key_bitmap, key_column, map_batches, materialize, maybe_in,
+    NULL_KEY, key_back, key_bitmap, key_column, map_batches, materialize, maybe_in,
 )
 from docsignal.session import checkpoint_root
 
@@ -55,8 +55,14 @@ def _digest(value: pa.Scalar, hex_digits: int) -> tuple[str, str, int]:
     return full, full[:hex_digits], data.size
 
 
-def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", hex_digits: int = 64) -> DataFrame:
-    """``(doc_id, n_bytes, text_sha256, digest)`` of every row.
+def digests(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    hex_digits: int = 64,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """``(doc_id, n_bytes, text_sha256, digest)`` of every row, and the columns in ``carry``.
 
     ``digest`` is the state key: the leading ``hex_digits`` of the SHA-256 of the normalised text
     (fewer than 64 only to provoke collisions in tests).
@@ -68,12 +74,16 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", hex_digits
             full, short, size = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size, pa.int64()), pa.array(full, pa.string()),
-                 pa.array(short, pa.string())],
-                names=["doc_id", "n_bytes", "text_sha256", "digest"],
+                 pa.array(short, pa.string()), *batch.columns[2:]],
+                names=["doc_id", "n_bytes", "text_sha256", "digest", *carry],
             )
 
     schema = "doc_id long, n_bytes long, text_sha256 string, digest string"
-    return map_batches(_thin(docs, key, text), run, schema)
+    schema += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    own = [key_column(key).alias("doc_id"), F.col(f"`{text}`").alias("text")]
+    return map_batches(
+        docs.select(*own, *[F.col(c).alias(f"carry_{c}") for c in carry]), run, schema
+    )
 
 
 def group_state(stream: DataFrame) -> DataFrame:
@@ -181,6 +191,18 @@ def deduplicate(
     return rows.withColumns({c: key_back(c) for c in ("doc_id", "keep_id")}).select(*out)
 
 
+def unique_rows(docs: DataFrame, columns: Sequence[str], key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``columns`` of the rows of ``docs`` that stay: one of each group of equal texts."""
+    stays = deduplicate(docs, key, text).where("kept").select(
+        F.coalesce("doc_id", F.lit(NULL_KEY)).alias("doc_id"), "text_sha256"
+    )
+    others = [c for c in columns if c != key]
+    rows = digests(docs, key, text, carry=others).drop("n_bytes", "digest")
+    both = ["doc_id", "text_sha256"]
+    rows = rows.join(stays, both).dropDuplicates(both)
+    return rows.withColumn("doc_id", key_back("doc_id")).withColumnRenamed("doc_id", key).select(*columns)
+
+
 def hit_texts(docs: DataFrame, found: DataFrame, key: str, text: str, hex_digits: int) -> DataFrame:
     """``(doc_id, text_sha256, digest, content)`` of the rows whose digest may be in ``found``.
 

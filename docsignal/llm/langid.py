@@ -10,7 +10,7 @@ is taken, with proportions estimated anew for each candidate set.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -179,9 +179,12 @@ def predict(
     key: str = "doc_id",
     text: str = "text",
     penalty: float = PENALTY,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """``doc_id, lang_pred, score, langs, proportions`` of every row, from its whole text alone.
 
+    Columns named in ``carry`` are passed through beside them.
+
     ``langs`` is the chosen set, by falling proportion, ``lang_pred`` its first, ``score`` that
     one's proportion.  NULL, empty or letterless text, or a model without languages: ``und``, 0,
     empty lists.  Ties go to the alphabetically first language.  NULL keys and repeated rows are
@@ -210,9 +213,15 @@ def predict(
                 for n in np.flatnonzero(~has & (np.diff(offsets) > 0)):
                     has[n] = regex.search(r"\p{L}", texts[i + int(n)].as_py()) is not None
                 proportions, chosen = infer(sums, row, j - i, penalty)
-                yield _rows(batch.column(0).slice(i, j - i), names, proportions, chosen, has)
-
-    return map_batches(docs.select(key, text), run, PREDICTED)
+                own = _rows(batch.column(0).slice(i, j - i), names, proportions, chosen, has)
+                extra = [c.slice(i, j - i) for c in batch.columns[2:]]
+                yield pa.RecordBatch.from_arrays([*own.columns, *extra], names=fields)
+
+    rows = docs.select(key, text, *[F.col(c).alias(f"carry_{c}") for c in carry])
+    types = [docs.schema[c].dataType.simpleString() for c in carry]
+    schema = ", ".join([PREDICTED, *(f"`{c}` {t}" for c, t in zip(carry, types))])
+    fields = ["doc_id", "lang_pred", "score", "langs", "proportions", *carry]
+    return map_batches(rows, run, schema)
 
 
 def _rows(keys, names, proportions, chosen, has) -> pa.RecordBatch:

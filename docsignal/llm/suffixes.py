@@ -22,7 +22,7 @@ documents share) is not sorted in one task: its windows are grouped by a shuffle
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -449,9 +449,14 @@ def remove_repeats(
     limit: int = LIMIT,
     key: str = "doc_id",
     text: str = "text",
+    as_text: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """``doc_id, n_bytes, spans, kept`` of every row: maximal removed byte spans, remaining bytes.
 
+    ``as_text`` gives ``kept`` as a string, without characters that lost some of their bytes.
+    Columns named in ``carry`` are passed through.
+
     A byte goes if a string of ``length`` bytes that covers it also starts in a document with a
     smaller key, judged on the texts as they came.
 
@@ -463,23 +468,30 @@ def remove_repeats(
         key_column(key).alias("doc_id"),
         F.xxhash64(f"`{text}`").bitwiseAND(0xFFFF).cast("int").alias("tag"),
         F.col(f"`{text}`").alias("text"),
+        *[F.col(c).alias(f"carry_{c}") for c in carry],
     )
-    spans = repeated_spans(docs, length, gram, limit)
+    extra = [f"carry_{c}" for c in carry]
+    spans = repeated_spans(docs.select("doc_id", "tag", "text"), length, gram, limit)
     grouped = spans.groupBy("doc_id", "tag").agg(
         F.collect_list(F.struct("start", "end")).alias("spans")
     )
-    rows = docs.join(grouped, ["doc_id", "tag"], "left").select("doc_id", "text", "spans")
+    rows = docs.join(grouped, ["doc_id", "tag"], "left").select("doc_id", "text", "spans", *extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                yield _cut_texts(batch.slice(at, 500))
-
-    schema = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
+                part = batch.slice(at, 500)
+                own = _cut_texts(part, as_text)
+                yield pa.RecordBatch.from_arrays([*own, *part.columns[3:]], names=names)
+
+    kind = "string" if as_text else "binary"
+    schema = f"doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept {kind}"
+    schema += "".join(f", `{c}` {docs.schema[f'carry_{c}'].dataType.simpleString()}" for c in carry)
+    names = ["doc_id", "n_bytes", "spans", "kept", *carry]
     return map_batches(rows, run, schema).withColumn("doc_id", key_back("doc_id"))
 
 
-def _cut_texts(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _cut_texts(batch: pa.RecordBatch, as_text: bool) -> list[pa.Array]:
     data, offsets = text_buffer(batch.column(1))
     size, out, kept = np.diff(offsets), [], []
     column = batch.column(2)
@@ -496,10 +508,11 @@ def _cut_texts(batch: pa.RecordBatch) -> pa.RecordBatch:
         parts.append(text[at:])
         kept.append(b"".join(p.tobytes() for p in parts))
     pairs = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    return pa.RecordBatch.from_arrays(
-        [batch.column(0), pa.array(size, pa.int64()), pa.array(out, pairs), pa.array(kept, pa.binary())],
-        names=["doc_id", "n_bytes", "spans", "kept"],
-    )
+    if as_text:
+        left = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
+    else:
+        left = pa.array(kept, pa.binary())
+    return [batch.column(0), pa.array(size, pa.int64()), pa.array(out, pairs), left]
 
 
 def unite(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
