@@ -107,7 +107,7 @@ def align_columns(df: DataFrame, reference: Sequence[str]) -> DataFrame:
     """Restore a reference column list: a missing column fails, extra ones go."""
     missing = [c for c in reference if c not in df.columns]
     if missing:
-        raise ValueError(f"missing columns not in reference frame: {missing[:5]}")
+        raise ValueError(f"cannot align: the frame lacks {', '.join(missing)}")
     return df.select(*reference)
 
 

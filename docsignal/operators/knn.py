@@ -23,7 +23,7 @@ from docsignal.operators.matrix import to_lists, to_matrix
 from docsignal.session import materialize
 
 CHUNK_ROWS = 4096
-MAX_PIVOTS = 4096
+MAX_PIVOTS = 4096  # beyond chunk_rows times this many rows, cells are split by key hash instead
 BLOCK_ROWS = 256
 SPARE = 8  # candidates kept beyond k before exact distances decide
 
@@ -147,11 +147,7 @@ def knn_distances(
     )
     counts = {r.grp: r.n for r in rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).collect()}
     id_type = rows.schema["id"].dataType.simpleString()
-    done = (
-        _in_one_chunk(rows, k, p, id_type)
-        if all(n <= chunk_rows for n in counts.values())
-        else _in_cells(rows, counts, k, p, chunk_rows, id_type)
-    )
+    done = _in_cells(rows, counts, k, p, chunk_rows, id_type)
     keys = [F.col("id").alias(key)] + ([F.col("grp").alias(group)] if group else [])
     return done.select(*keys, "distances")
 
@@ -168,13 +164,6 @@ def _self_search(keys: list[str], carry: list[str], k: int, p: float):
     return run
 
 
-def _in_one_chunk(rows: DataFrame, k: int, p: float, id_type: str) -> DataFrame:
-    return rows.groupBy("grp").applyInArrow(
-        _self_search(["id", "grp"], [], k, p),
-        f"id {id_type}, grp int, distances array<double>",
-    )
-
-
 def _chunk_of(chunks: Column) -> Column:
     return F.pmod(F.xxhash64("id"), chunks).cast("int")
 
@@ -250,6 +239,8 @@ def _in_cells(
                     at = np.nonzero(grp == g)[0]
                     c = cells[g]
                     full = min(k, c.n - 1)
+                    if not full:
+                        continue  # a group of one row has no neighbours
                     reach = np.array(
                         [found[i][-1] if len(found[i]) >= full else np.inf for i in at]
                     )

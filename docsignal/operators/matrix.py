@@ -17,17 +17,31 @@ from pyspark.sql import DataFrame, functions as F, types as S
 
 from docsignal.functions.lookup import constant
 
-ROWS_PER_TASK = 20_000
 SUM_SCHEMA = "key int, row int, total array<double>"
 
 
 def to_matrix(column: pa.Array) -> np.ndarray:
-    """An Arrow list column as a 2-D float64 matrix (rows must have equal length, no NULLs)."""
+    """An Arrow list column as a 2-D float64 matrix.
+
+    A NULL row, rows of different lengths or a NULL value fail: they would shift other values.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     n = len(column)
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    return flat.reshape(n, -1) if n else np.zeros((0, 0))
+    if not n:
+        return np.zeros((0, 0))
+    if column.null_count:
+        raise ValueError(f"{column.null_count} of {n} feature vectors are NULL")
+    offsets = column.offsets.to_numpy()
+    width = int(offsets[1] - offsets[0])
+    uneven = np.flatnonzero(np.diff(offsets) != width)
+    if len(uneven):
+        other = int(offsets[uneven[0] + 1] - offsets[uneven[0]])
+        raise ValueError(f"feature vectors of different lengths: {width} and {other}")
+    values = column.flatten()
+    if values.null_count:
+        raise ValueError(f"{values.null_count} feature values are NULL")
+    return values.to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(n, width)
 
 
 def to_lists(matrix: np.ndarray) -> pa.Array:
@@ -38,24 +52,23 @@ def to_lists(matrix: np.ndarray) -> pa.Array:
 
 
 def as_double_array(df: DataFrame, features: str = "features") -> DataFrame:
-    return df.withColumn(features, F.col(features).cast("array<double>"))
-
-
-def is_small(n_rows: int) -> bool:
-    """Few enough rows for one task; their partial sums may be added on the driver."""
-    return n_rows <= ROWS_PER_TASK
+    """Feature arrays of doubles; NULL and NaN values count as 0."""
+    numbers = F.transform(
+        F.col(features).cast("array<double>"), lambda x: F.coalesce(F.nanvl(x, F.lit(0.0)), F.lit(0.0))
+    )
+    return df.withColumn(features, numbers)
 
 
-def compact(df: DataFrame, n_rows: int) -> DataFrame:
-    """Fewer tasks for a small matrix (no shuffle); a large one keeps its partitions."""
-    return df.coalesce(max(1, -(-n_rows // ROWS_PER_TASK)))
+def few_tasks(df: DataFrame) -> DataFrame:
+    """At most a few tasks per core, without a shuffle, so that each sums many rows."""
+    return df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
 
 
-def sum_by_key(partials: DataFrame, small: bool) -> dict[int, dict[int, np.ndarray]]:
+def sum_by_key(partials: DataFrame) -> dict[int, dict[int, np.ndarray]]:
     """Add partial sums ``(key, row, total)`` element by element: ``{key: {row: total}}``.
 
     A hash shuffle on (key, row) spreads the adding over the executors; the driver receives one
-    line per (key, row).  The few partials of a small matrix skip the shuffle.
+    line per (key, row).
     """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,8 +79,7 @@ def sum_by_key(partials: DataFrame, small: bool) -> dict[int, dict[int, np.ndarr
         if totals:
             yield sums_batch(totals)
 
-    if not small:
-        partials = partials.repartition("key", "row").mapInArrow(add, SUM_SCHEMA)
+    partials = partials.repartition("key", "row").mapInArrow(add, SUM_SCHEMA)
     out: dict[int, dict[int, np.ndarray]] = {}
     for batch in partials.toArrow().to_batches():
         for (key, row), part in _lines(batch):
@@ -246,8 +258,7 @@ def gram_sums(
             yield sums_batch(totals)
 
     source = df.select(features, (F.col(fold) if fold else F.lit(-1)).alias("_fold"))
-    n_rows = max(s.n for s in scalers.values())
-    sums = sum_by_key(compact(source, n_rows).mapInArrow(partial, SUM_SCHEMA), is_small(n_rows))
+    sums = sum_by_key(few_tasks(source).mapInArrow(partial, SUM_SCHEMA))
     out = {}
     for key, group in enumerate(groups):
         d = len(scalers[group].mean)

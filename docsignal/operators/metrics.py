@@ -16,8 +16,15 @@ def _share(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
+def _binary(name: str) -> Column:
+    """A label column; anything but 0 or 1 fails, since it would leave the denominators unseen."""
+    message = F.concat(F.lit(f"{name} must be 0 or 1, found "), F.coalesce(F.col(name).cast("string"), F.lit("NULL")))
+    return F.when(F.col(name).isin(0, 1), F.col(name)).otherwise(F.raise_error(message))
+
+
 def _cells(df: DataFrame, group: Sequence[str], also: Sequence[Column] = ()) -> DataFrame:
     """Counts of the four binary cells: ``c_tp`` is true label t, predicted p."""
+    df = df.withColumns({c: _binary(c) for c in ("y_true", "y_pred")})
     return df.groupBy(*group).agg(
         *also,
         *[

@@ -24,6 +24,7 @@ from docsignal.operators.svm import (
 MODEL_TYPES = ("linear_svc", "svc_rbf", "random_forest", "xgboost")
 UNLIMITED_DEPTH = 30  # Spark's deepest tree
 PARALLEL_FITS = 4
+FOURIER_SIZE = 256
 SEED = 0
 
 # Default grids.
@@ -120,22 +121,33 @@ def cv_search(
     return SearchResult(model_type, points, scores, class_weight)
 
 
+def fourier_map(d: int, point: Mapping[str, Any]) -> FourierMap:
+    """The feature map of an RBF grid point; ``fourier_size`` (default 256) sets its accuracy."""
+    return FourierMap.draw(d, point["gamma"], int(point.get("fourier_size") or FOURIER_SIZE))
+
+
+def check_weight(class_weight: str | None) -> None:
+    if class_weight not in (None, "balanced"):
+        raise ValueError(f"class_weight must be None or 'balanced', not {class_weight!r}")
+
+
 def _search_svm(folded, model_type, points, n_splits, class_weight):
     """All grid points and folds are fitted together, one data pass per Newton step."""
     scalers = fit_fold_scalers(folded)
     tasks, at = [], []
     lifts = {}
+    by_fold = {
+        fold: balanced_weights(folded.where(F.col("fold") != fold)) if class_weight else (1.0, 1.0)
+        for fold in range(n_splits)
+    }
     for idx, point in enumerate(points):
         for fold in range(n_splits):
-            weights = (
-                balanced_weights(folded.where(F.col("fold") != fold)) if class_weight else (1.0, 1.0)
-            )
             lift = None
             if model_type == "svc_rbf":
-                lift = lifts.setdefault(
-                    point["gamma"], FourierMap.draw(len(scalers[None].mean), point["gamma"])
-                )
-            tasks.append(Task(fold=fold, c=point["C"], weights=weights, lift=lift))
+                if point["gamma"] not in lifts:
+                    lifts[point["gamma"]] = fourier_map(len(scalers[None].mean), point)
+                lift = lifts[point["gamma"]]
+            tasks.append(Task(fold=fold, c=point["C"], weights=by_fold[fold], lift=lift))
             at.append((idx, fold))
     found = validate_linear(folded, fit_linear(folded, tasks, scalers))
     return [(i, f, s["accuracy"], s["f1"]) for (i, f), s in zip(at, found)]
@@ -171,7 +183,9 @@ def with_vectors(df: DataFrame) -> DataFrame:
 def tree_estimator(model_type: str, point: Mapping[str, Any], seed: int = SEED):
     """Spark ML estimator of a grid point; trees need no scaling."""
     depth = point["max_depth"]
-    depth = UNLIMITED_DEPTH if depth is None else min(int(depth), UNLIMITED_DEPTH)
+    if depth is not None and int(depth) > UNLIMITED_DEPTH:
+        raise ValueError(f"max_depth {depth} is beyond Spark's deepest tree ({UNLIMITED_DEPTH})")
+    depth = UNLIMITED_DEPTH if depth is None else int(depth)
     common = {"featuresCol": "features", "labelCol": "label", "maxDepth": depth, "seed": seed}
     if model_type == "random_forest":
         return RandomForestClassifier(
@@ -274,6 +288,7 @@ def fit_final(
     df: DataFrame, model_type: str, params: Mapping[str, Any], class_weight: str | None = None
 ) -> FittedModel:
     """Fit one parameter point on all rows given (usually train + val)."""
+    check_weight(class_weight)
     if model_type in ("random_forest", "xgboost"):
         vectors = with_vectors(as_double_array(df)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -285,7 +300,7 @@ def fit_final(
     lift = None
     if model_type == "svc_rbf":
         d = len(df.select("features").first()[0])
-        lift = FourierMap.draw(d, params["gamma"])
+        lift = fourier_map(d, params)
     task = Task(c=params["C"], weights=weights, lift=lift)
     return FittedModel(model_type, dict(params), refit(task, df))
 

@@ -107,15 +107,19 @@ def generated_label(text: Column) -> Column:
 
 
 def judge_generations(df: DataFrame, text_col: str = "generated") -> DataFrame:
-    """Metrics over ``(generated, y_true)``; unreadable answers are counted, not guessed."""
-    parsed = df.select("y_true", generated_label(F.col(text_col)).alias("y_pred"))
-    counts = {
-        "n_rows": F.count(F.lit(1)),
-        "n_unreadable": F.count_if(F.col("y_pred").isNull()),
-    }
-    return binary_metrics(parsed, also=counts)
+    """Metrics over all rows of ``(generated, y_true)``; an unreadable answer counts as wrong."""
+    counts = {"n_rows": F.count(F.lit(1)), "n_unreadable": F.count_if(F.col("unreadable"))}
+    return binary_metrics(_answers(df, text_col), also=counts)
 
 
 def generation_report(df: DataFrame, text_col: str = "generated") -> DataFrame:
-    parsed = df.select("y_true", generated_label(F.col(text_col)).alias("y_pred"))
-    return class_report(parsed.where(F.col("y_pred").isNotNull()))
+    """Per-class report over all rows; an unreadable answer counts as the other class."""
+    return class_report(_answers(df, text_col))
+
+
+def _answers(df: DataFrame, text_col: str) -> DataFrame:
+    said = generated_label(F.col(text_col))
+    wrong = 1 - F.col("y_true")
+    return df.select(
+        "y_true", F.coalesce(said, wrong).alias("y_pred"), said.isNull().alias("unreadable")
+    )

@@ -167,8 +167,12 @@ def test_table(summary: DataFrame) -> DataFrame:
 
 
 def key_values(df: DataFrame) -> DataFrame:
-    """A one-row table as ``(key, value)`` lines; an empty one gives no line."""
+    """A one-row table as ``(key, value)`` lines; an empty one gives no line, more rows fail."""
     pairs = [
         F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("value")) for c in df.columns
     ]
-    return df.limit(1).select(F.inline(F.array(*pairs)))
+    rows = df.limit(2).agg(F.collect_list(F.array(*pairs)).alias("rows"))
+    many = F.raise_error(F.lit("key_values wants one row, found more"))
+    only = F.when(F.size("rows") > 1, many.cast("string"))
+    lines = F.when(only.isNull(), F.try_element_at("rows", F.lit(1)))
+    return rows.select(F.inline(lines))

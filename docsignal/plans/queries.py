@@ -23,7 +23,7 @@ from docsignal.operators.tfidf import (
 from docsignal.plans import workflow
 from docsignal.session import materialize
 from docsignal.sources.sinks import normalize_newlines
-from docsignal.sources.tables import INDEX_COLUMN, read_table, read_texts, standardize, with_labels
+from docsignal.sources.tables import INDEX_COLUMN, read_table, standardize, with_labels
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +32,7 @@ BIGRAMS = TfidfConfig(max_terms=150, min_df=0.01, max_df=0.9, ngram_range=(1, 2)
 CHARS = TfidfConfig(max_terms=100, analyzer="char", ngram_range=(3, 5))
 RARE_WORDS = TfidfConfig(max_terms=120, min_df=0.5)
 PAIR = ["avg_word_len", "unique_word_ratio"]
+CELL_ROWS = 128  # low, so that small tables too are searched in several cells
 PAIR_OUTLIERS = outliers.OutlierConfig(e_md=1.5, e_knn=1.0, k=10)
 TRIALS = [
     tuning.Trial(1.5, 1.0, 5),
@@ -52,7 +53,7 @@ def register(query: Query) -> Query:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return read_texts(spark, sf).select("doc_id", "text")
+    return read_table(spark, sf, "documents").select("doc_id", "text")
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
@@ -204,7 +205,7 @@ def tfidf_vocab(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def tfidf_fallback_vocab(spark: SparkSession, sf: str) -> DataFrame:
     """Too few frequent words, so the fit falls back to character n-grams."""
-    return _vocabulary(spark, read_texts(spark, sf, "benchmark"), RARE_WORDS)
+    return _vocabulary(spark, read_table(spark, sf, "benchmark"), RARE_WORDS)
 
 
 def _weights(spark: SparkSession, sf: str, config: TfidfConfig) -> DataFrame:
@@ -311,7 +312,7 @@ def ledoit_wolf_covariance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _near(spark: SparkSession, sf: str, k: int, mode: str, p: float = 2.0) -> DataFrame:
-    near = knn_distances(embeddings(spark, sf), k, "vec_id", p=p)
+    near = knn_distances(embeddings(spark, sf), k, "vec_id", p=p, chunk_rows=CELL_ROWS)
     score = knn_score(F.col("distances"), k, mode).alias("knn_score")
     return near.select("vec_id", score)
 
@@ -358,7 +359,7 @@ def mahalanobis_empirical(spark: SparkSession, sf: str) -> DataFrame:
 
 def _pair_scores(spark: SparkSession, sf: str, combine: str = "intersection") -> DataFrame:
     config = outliers.OutlierConfig(**{**vars(PAIR_OUTLIERS), "combine": combine})
-    return outliers.score_outliers(two_signals(spark, sf), config)
+    return outliers.score_outliers(two_signals(spark, sf), config, chunk_rows=CELL_ROWS)
 
 
 @register
@@ -391,7 +392,7 @@ def _trial_rows(spark: SparkSession, sf: str) -> DataFrame:
     points = materialize(two_signals(spark, sf), "pairs")
     scored = outliers.mahalanobis_scores(points, standardize=True).select("doc_id", "md_score")
     scaled = scale(points, fit_scaler(points))
-    near = knn_distances(scaled, max(t.k for t in TRIALS))
+    near = knn_distances(scaled, max(t.k for t in TRIALS), chunk_rows=CELL_ROWS)
     flagged = tuning.trial_flags(materialize(scored.join(near, "doc_id"), "trial-scores"), TRIALS)
     return tuning.trial_rows(flagged, TRIALS, ["doc_id"])
 

@@ -469,7 +469,7 @@ PREDICTIONS = "p AS (SELECT quality AS y_true, 1 - toxic AS y_pred FROM labels)"
 GENERATIONS = """g AS (SELECT conv_id, turn, (turn % 2)::INT AS y_true,
     nullif(regexp_extract(text || CASE WHEN conv_id % 3 < 2 THEN (conv_id % 3)::VARCHAR ELSE '' END,
         '[01]'), '')::INT AS y_pred FROM conversations),
-p AS (SELECT y_true, y_pred FROM g WHERE y_pred IS NOT NULL)"""
+p AS (SELECT y_true, coalesce(y_pred, 1 - y_true) AS y_pred FROM g)"""
 METRICS = """SELECT {extra} round(avg((y_true = y_pred)::INT), 6) AS accuracy,
   round(coalesce(2.0::DOUBLE * sum(y_true * y_pred) / nullif(sum(y_true) + sum(y_pred), 0), 0), 6) AS f1,
   round(coalesce(1.0::DOUBLE * sum(y_true * y_pred) / nullif(sum(y_pred), 0), 0), 6) AS precision,

@@ -1,26 +1,19 @@
-"""Session helpers: cutting lineage and spreading small scans."""
+"""Session helpers: the shared folder, and cutting lineage through it."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own (tests).
-    """
+def checkpoint_root(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, which driver and executors must share."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="docsignal-")
-    spark.conf.set("spark.checkpoint.dir", root)
+    if not root:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     return root
 
 
@@ -33,14 +26,3 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition a scan that has fewer splits than the cluster has cores.
-
-    Only scans of a few files qualify; a large table has more splits and passes unchanged.
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 > want:
-        return df
-    return df.repartition(want)

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import as_dicts
 from pyspark.sql import functions as F
@@ -115,16 +116,25 @@ def test_scalers_by_fold(spark):
         assert sums[f].quartic == pytest.approx((((z**2).sum(1)) ** 2).sum())
 
 
-def test_summing_on_executors_equals_summing_on_the_driver(spark, monkeypatch):
+def test_sums_do_not_depend_on_the_layout(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(200, 6))
-    df = vectors(spark, enumerate(x), 5)
-    s = M.fit_scaler(df)
-    direct = M.gram_sums(df, {None: s})[None]
-    monkeypatch.setattr(M, "ROWS_PER_TASK", 50)
-    shuffled = M.gram_sums(df, {None: s})[None]
-    assert shuffled.gram == pytest.approx(direct.gram)
-    assert shuffled.n == direct.n == 200
+    for parts in (1, 7):
+        df = vectors(spark, enumerate(x), parts)
+        s = M.fit_scaler(df)
+        sums = M.gram_sums(df, {None: s})[None]
+        z = s.apply(x)
+        assert sums.n == 200 and sums.gram == pytest.approx(z.T @ z)
+
+
+def test_bad_vectors_fail_and_missing_values_count_as_zero(spark):
+    for bad in ([[1.0, 2.0], None], [[1.0, 2.0, 3.0], [4.0]], [[1.0, None], [2.0, 3.0]]):
+        column = pa.array(bad, pa.list_(pa.float64()))
+        with pytest.raises(ValueError):
+            M.to_matrix(column)
+    assert M.to_matrix(pa.array([[1.0, 2.0], [3.0, 4.0]])).tolist() == [[1.0, 2.0], [3.0, 4.0]]
+    df = spark.createDataFrame([(1, [1.0, float("nan")]), (2, [None, 2.0])], "id int, features array<double>")
+    assert [r.features for r in M.as_double_array(df).orderBy("id").collect()] == [[1.0, 0.0], [0.0, 2.0]]
 
 
 def test_one_row_and_one_column(spark):

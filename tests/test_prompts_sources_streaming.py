@@ -58,8 +58,8 @@ def test_generated_labels(spark):
     assert said == [1, 0, None, None, 1]
     judged = prompts.judge_generations(df).first()
     assert (judged.n_rows, judged.n_unreadable) == (5, 2)
-    assert judged.accuracy == pytest.approx(2 / 3)
-    assert prompts.generation_report(df).where("name = 'accuracy'").first().support == 3
+    assert judged.accuracy == pytest.approx(2 / 5)
+    assert prompts.generation_report(df).where("name = 'accuracy'").first().support == 5
 
 
 def test_coercion(spark):
