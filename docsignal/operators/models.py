@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import json
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -10,7 +11,9 @@ from typing import Any
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import (
+    GBTClassificationModel, GBTClassifier, RandomForestClassificationModel, RandomForestClassifier,
+)
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -107,6 +110,7 @@ def cv_search(
 
     ``df`` is a materialised frame with ``key``, ``label`` and ``features``.
     """
+    check_weight(class_weight)
     points = param_grid(model_type, grid)
     folded = df if "fold" in df.columns else stratified_folds(df, n_splits, seed, key)
     folded = as_double_array(folded).select(key, "label", "features", "fold")
@@ -249,9 +253,15 @@ class FittedModel:
         return spark.createDataFrame(rows, "feature string, weight double, kind string")
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Trees as Spark ML models, linear models as a table; an existing target is replaced."""
+        """``path/kind`` names type and parameters, ``path/model`` holds a Spark ML model or a table.
+
+        An existing target is replaced.
+        """
+        kind = [(self.model_type, json.dumps(self.params))]
+        kinds = spark.createDataFrame(kind, "model_type string, params string")
+        kinds.coalesce(1).write.mode("overwrite").parquet(f"{path}/kind")
         if not isinstance(self.inner, LinearModel):
-            self.inner.write().overwrite().save(path)
+            self.inner.write().overwrite().save(f"{path}/model")
             return
         m = self.inner
         lift = m.task.lift
@@ -267,21 +277,33 @@ class FittedModel:
             "std array<double>, n bigint, c double, columns array<int>, "
             "frequencies array<array<double>>, phases array<double>"
         )
-        spark.createDataFrame([row], schema).coalesce(1).write.mode("overwrite").parquet(path)
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
+
+
+def load_model(spark: SparkSession, path: str) -> FittedModel:
+    """A model that ``FittedModel.save`` wrote, of any type."""
+    kind = spark.read.parquet(f"{path}/kind").first()
+    params = json.loads(kind.params)
+    if kind.model_type == "random_forest":
+        inner = RandomForestClassificationModel.load(f"{path}/model")
+    elif kind.model_type == "xgboost":
+        inner = GBTClassificationModel.load(f"{path}/model")
+    else:
+        inner = _load_linear(spark, f"{path}/model")
+    return FittedModel(kind.model_type, params, inner)
 
 
-def load_linear(spark: SparkSession, path: str) -> FittedModel:
+def _load_linear(spark: SparkSession, path: str) -> LinearModel:
     r = spark.read.parquet(path).first()
     lift = (
         None if r.frequencies is None else FourierMap(np.array(r.frequencies), np.array(r.phases))
     )
     columns = None if r.columns is None else tuple(r.columns)
-    model = LinearModel(
+    return LinearModel(
         Task(columns=columns, c=r.c, lift=lift),
         Scaler(np.array(r["mean"]), np.array(r["std"]), r.n),
         np.array(r.coefficients), r.intercept, 0.0, 0.0, 0,
     )
-    return FittedModel(r.model_type, {"C": r.c}, model)
 
 
 def fit_final(

@@ -7,7 +7,8 @@ Spark ML transformers over a broadcast vocabulary, with no shuffle and no window
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import asdict, dataclass, field
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
@@ -60,19 +61,17 @@ class TfidfModel:
     def save(self, spark: SparkSession, path: str) -> None:
         """Persist as two small tables; an existing target is replaced."""
         self.vocabulary(spark).write.mode("overwrite").parquet(f"{path}/vocabulary")
-        c = self.config
-        spark.createDataFrame(
-            [(self.n_docs, c.analyzer, *c.ngram_range, c.lowercase)],
-            "n_docs bigint, analyzer string, ngram_min int, ngram_max int, lowercase boolean",
-        ).write.mode("overwrite").parquet(f"{path}/corpus")
+        fitted = [(self.n_docs, json.dumps(asdict(self.config)))]
+        spark.createDataFrame(fitted, "n_docs bigint, config string").write.mode("overwrite").parquet(
+            f"{path}/corpus"
+        )
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> TfidfModel:
         rows = spark.read.parquet(f"{path}/vocabulary").orderBy("idx").collect()
         c = spark.read.parquet(f"{path}/corpus").first()
-        config = TfidfConfig(
-            analyzer=c.analyzer, ngram_range=(c.ngram_min, c.ngram_max), lowercase=c.lowercase
-        )
+        config = json.loads(c.config)
+        config = TfidfConfig(**config | {"ngram_range": tuple(config["ngram_range"])})
         return cls(
             [r.term for r in rows], [r.df for r in rows], [r.tf_total for r in rows],
             [r.idf for r in rows], c.n_docs, config,

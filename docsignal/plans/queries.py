@@ -10,7 +10,7 @@ from docsignal.functions import text as T
 from docsignal.functions.lookup import constant
 from docsignal.functions.numeric import coerce_features, recode
 from docsignal.functions.sentiment import DEMO_LEXICON, read_lexicon, with_sentiment
-from docsignal.operators import folds, frame, metrics, models, outliers, prompts, reports, tuning
+from docsignal.operators import folds, frame, metrics, models, outliers, prompts, reports, svm, tuning
 from docsignal.operators.knn import knn_distances, knn_score
 from docsignal.operators.matrix import (
     Scaler, as_double_array, covariance, fit_scaler, gram_sums, ledoit_wolf, scale,
@@ -43,6 +43,10 @@ TRIALS = [
     tuning.Trial(1.6, 3.0, 25, "intersection"),
 ]
 LENGTH_LIMITS = [200, 400, 800, 1600, 3200]
+SVM_COSTS = [0.25, 1.0, 4.0]
+FOREST = {"n_estimators": 20, "max_depth": 10, "min_samples_leaf": 1}
+BOOSTED = {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.2, "subsample": 1.0}
+STUDY_ROWS = list(zip(sorted(reports.SHORT_NAMES)[:5], LENGTH_LIMITS))
 PRIORITIES = {"1-URGENT": "URG", "2-HIGH": "HI", "5-LOW": "LO"}
 SMALL_TFIDF = TfidfConfig(max_terms=100)
 
@@ -66,8 +70,8 @@ def embeddings(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
 def _labels(spark: SparkSession, sf: str) -> DataFrame:
@@ -420,6 +424,57 @@ def best_trial(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(best, "mean_acc", "mean_f1")
 
 
+@register
+def applied_trial(spark: SparkSession, sf: str) -> DataFrame:
+    """One trial's parameters applied to the whole frame."""
+    points = materialize(two_signals(spark, sf), "pairs")
+    return tuning.clean_with(points, TRIALS[1], chunk_rows=CELL_ROWS).select("doc_id")
+
+
+@register
+def tuning_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The report of a finished search: best parameters and scores in one row."""
+    log = _trial_log(spark, sf).orderBy("trial_number").collect()
+    found = tuning.TuningResult(TRIALS, [r.mean_acc for r in log], [r.mean_f1 for r in log])
+    return rounded(found.report(spark), "cv_mean_acc", "cv_mean_f1")
+
+
+@register
+def guarded_clean(spark: SparkSession, sf: str) -> DataFrame:
+    """Flags that cover one whole source: there nothing is removed, elsewhere what is flagged."""
+    rows = read_table(spark, sf, "documents").select("doc_id", "source", "n_chars")
+    flag = ((F.col("source") == "src3") | (F.col("n_chars") > 2000)).cast("int")
+    kept = outliers.keep_inliers(rows.withColumn("flag", flag), "flag", "source")
+    return kept.select("doc_id", "source")
+
+
+def _study_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """A summary as a study writes it: text length limits stand for the models of its scenarios."""
+    names = F.array(*[F.struct(F.lit(n).alias("scenario"), F.lit(x).alias("limit")) for n, x in STUDY_ROWS])
+    lengths = read_table(spark, sf, "documents").select("doc_id", "n_chars")
+    judged = _labels(spark, sf).join(lengths, "doc_id").select(
+        F.col("label").alias("y_true"), "n_chars", F.inline(names)
+    )
+    judged = judged.withColumn("y_pred", (F.col("n_chars") > F.col("limit")).cast("int"))
+    found = metrics.binary_metrics(judged, ["scenario"])
+    return found.select(
+        "scenario", F.lit("linear_svc").alias("model"), F.col("accuracy").alias("cv_acc"),
+        F.col("f1").alias("cv_f1"), F.col("accuracy").alias("test_accuracy"),
+        F.col("f1").alias("test_f1"), F.col("precision").alias("test_precision"),
+        F.col("recall").alias("test_recall"), F.lit("nowhere").alias("model_path"),
+    )
+
+
+@register
+def cv_table(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.cv_table(_study_summary(spark, sf))
+
+
+@register
+def test_table(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.test_table(_study_summary(spark, sf))
+
+
 @register
 def trials_by_combine(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(reports.trials_by_combine(_trial_log(spark, sf)), "mean_acc")
@@ -629,6 +684,62 @@ def _fit(spark: SparkSession, sf: str, model_type: str, params: dict) -> DataFra
     return _judged(models.fit_final(prepared.split("train"), model_type, params), prepared)
 
 
+@register
+def svm_optimum(spark: SparkSession, sf: str) -> DataFrame:
+    """The linear SVM on two signals for several costs: its unique optimum and its accuracy."""
+    points = materialize(two_signals(spark, sf).join(_labels(spark, sf), "doc_id"), "svm-pairs")
+    costs = {i: svm.Task(c=c) for i, c in enumerate(SVM_COSTS)}
+    rows = []
+    for i, model in svm.fit_numbered(points, costs).items():
+        accuracy = metrics.binary_metrics(model.predict(points)).first().accuracy
+        rows.append((SVM_COSTS[i], *map(float, model.coefficients), float(model.intercept), accuracy))
+    fitted = spark.createDataFrame(rows, "c double, wx double, wy double, b double, accuracy double")
+    return rounded(fitted, "wx", "wy", "b", "accuracy", digits=5)
+
+
+def _model_checks(spark: SparkSession, sf: str, model_type: str, params: dict) -> DataFrame:
+    """Properties of a fit that the tables alone decide: ``(property, value)``."""
+    prepared = prepared_corpus(spark, sf, test_size=0.2)
+    model = models.fit_final(prepared.split("train"), model_type, params)
+    said = materialize(model.predict(prepared.split("val")), "checked-predictions")
+    cells = said.agg(
+        F.count("*").alias("predictions"),
+        F.countDistinct("doc_id").alias("documents"),
+        F.sum(F.col("y_true")).alias("positives"),
+        F.count_if(F.col("y_pred").isin(0, 1)).alias("zero_or_one"),
+        F.count_if(F.col("y_true") == F.col("y_pred")).alias("right"),
+    ).first()
+    shown = metrics.binary_metrics(said).first().accuracy
+    found = {k: int(cells[k]) for k in ("predictions", "documents", "positives", "zero_or_one")}
+    found["accuracy_is_right_share"] = int(abs(shown * cells.predictions - cells.right) < 1e-6)
+    found["beats_chance"] = int(cells.right * 2 > cells.predictions)
+    weights = model.importances()
+    if weights and weights[0] == "importance":
+        found["importances_sum_to_one"] = int(abs(weights[1].sum() - 1) < 1e-9)
+        found["negative_importances"] = int((weights[1] < 0).sum())
+    return spark.createDataFrame(list(found.items()), "property string, value long")
+
+
+@register
+def svm_checks(spark: SparkSession, sf: str) -> DataFrame:
+    return _model_checks(spark, sf, "linear_svc", {"C": 1.0})
+
+
+@register
+def rbf_checks(spark: SparkSession, sf: str) -> DataFrame:
+    return _model_checks(spark, sf, "svc_rbf", {"C": 1.0, "gamma": 0.01})
+
+
+@register
+def forest_checks(spark: SparkSession, sf: str) -> DataFrame:
+    return _model_checks(spark, sf, "random_forest", FOREST)
+
+
+@register
+def boosted_checks(spark: SparkSession, sf: str) -> DataFrame:
+    return _model_checks(spark, sf, "xgboost", BOOSTED)
+
+
 @register
 def svm_fit(spark: SparkSession, sf: str) -> DataFrame:
     return _fit(spark, sf, "linear_svc", {"C": 1.0})
@@ -641,7 +752,7 @@ def rbf_fit(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def forest_fit(spark: SparkSession, sf: str) -> DataFrame:
-    params = {"n_estimators": 20, "max_depth": 10, "min_samples_leaf": 1}
+    params = FOREST
     return _fit(spark, sf, "random_forest", params)
 
 

