@@ -35,8 +35,8 @@ from docsignal.llm.common import (
 )
 
 LENGTH, GRAM = 50, 16
-SLICE = 1 << 21
-CHUNK = 50_000  # blocks sorted at once in a task
+SLICE = 1 << 20
+CHUNK = 16_000  # blocks sorted at once in a task
 LIMIT = 1 << 15
 BITMAP_BITS = 27
 
@@ -75,10 +75,12 @@ def find_blocks(data: np.ndarray, offsets: np.ndarray, hasher: PrefixHash, lengt
 
 
 def _cut_bytes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
-    """The byte strings ``data[start : start + size]`` as an Arrow column."""
+    """The byte strings ``data[start : start + size]`` (none empty) as an Arrow column."""
     ends = np.concatenate([[0], np.cumsum(size)])
-    at = np.repeat(start - ends[:-1], size) + np.arange(ends[-1])
-    flat = data[at] if len(at) else np.zeros(0, np.uint8)
+    at = np.ones(ends[-1], np.int32)
+    at[ends[:-1]] = start
+    at[ends[1:-1]] -= (start + size - 1)[:-1].astype(np.int32)
+    flat = data[np.cumsum(at, out=at)] if len(at) else np.zeros(0, np.uint8)
     return pa.Array.from_buffers(
         pa.large_binary(), len(size), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(flat)]
     )
@@ -141,28 +143,26 @@ def shared_blocks(docs: DataFrame, bitmap: np.ndarray, length: int, gram: int) -
         hasher = PrefixHash()
         for batch in batches:
             ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for i, _, data, offsets in text_slices(*text_buffer(batch.column(2)), 4 * SLICE):
-                parts = []
-                for a, _, piece, inner in text_slices(data, offsets, SLICE):
-                    key, row, start, count = find_blocks(piece, inner, hasher, length, gram)
-                    take = maybe_in(shared.value, key)
-                    parts.append(
-                        (key[take], row[take] + a, start[take] + offsets[a], count[take])
-                    )
-                key, row, start, count = (np.concatenate(c) for c in zip(*parts))
+            parts, blocks = [], []
+            for i, _, data, offsets in text_slices(*text_buffer(batch.column(2)), SLICE):
+                key, row, start, count = find_blocks(data, offsets, hasher, length, gram)
+                take = maybe_in(shared.value, key)
+                key, row, start, count = (c[take] for c in (key, row, start, count))
                 size = count + length - 1
-                doc, block = ids[i + row], _cut_bytes(data, start, size)
-                code = block.dictionary_encode().indices.to_numpy()
-                covered = doc > _least_by(code, doc)[code]
-                block = block.cast(pa.binary())
-                mask = pa.array(covered)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((key >> np.uint64(33)).astype(np.int32)), pa.array(doc),
-                     pa.array(tags[i + row]), pa.array(start - offsets[row]),
-                     pa.array(size.astype(np.int32)),
-                     pc.if_else(mask, pa.scalar(None, pa.binary()), block)],
-                    names=BLOCK_NAMES,
-                )
+                blocks.append(_cut_bytes(data, start, size))
+                parts.append((key, row + i, start - offsets[row], size))
+            if not parts:
+                continue
+            key, row, start, size = (np.concatenate(c) for c in zip(*parts))
+            doc, block = ids[row], pa.concat_arrays(blocks)
+            code = block.dictionary_encode().indices.to_numpy()
+            travels = pa.array(doc <= _least_by(code, doc)[code])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((key >> np.uint64(33)).astype(np.int32)), pa.array(doc),
+                 pa.array(tags[row]), pa.array(start), pa.array(size.astype(np.int32)),
+                 pc.if_else(travels, block.cast(pa.binary()), pa.scalar(None, pa.binary()))],
+                names=BLOCK_NAMES,
+            )
 
     return map_batches(docs, run, BLOCK_SCHEMA)
 
@@ -300,6 +300,7 @@ SPAN_NAMES = ["doc_id", "tag", "start", "end", "window"]
 def bucket_spans(blocks: DataFrame, length: int, limit: int = LIMIT) -> DataFrame:
     """Covered spans ``(doc_id, tag, start, end)`` of blocks that met by key.
 
+    Blocks known to be covered (``block`` NULL) come along, so that the texts are read once.
     Keys with more than ``limit`` different blocks give their windows instead (``window`` set).
     """
 
@@ -307,6 +308,9 @@ def bucket_spans(blocks: DataFrame, length: int, limit: int = LIMIT) -> DataFram
         waiting: pa.RecordBatch | None = None
         hot = None
         for batch in batches:
+            direct = batch.column(5).is_null()
+            yield _whole_blocks(batch.filter(direct))
+            batch = batch.filter(pc.invert(direct))
             if waiting is not None:
                 batch = pa.concat_batches([waiting, batch])
             waiting = batch
@@ -357,6 +361,11 @@ def _columns(batch: pa.RecordBatch):
     return batch.column(0).to_numpy(), doc, tag, start, size.astype(np.int64)
 
 
+def _whole_blocks(batch: pa.RecordBatch) -> pa.RecordBatch:
+    _, doc, tag, start, size = _columns(batch)
+    return _span_batch(doc, tag, start, start + size)
+
+
 def _windows(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
     """Every window of the blocks as a row of its own."""
     _, doc, tag, start, size = _columns(batch)
@@ -431,15 +440,12 @@ def repeated_spans(
     keys = materialize(repeated(gram_keys(docs, length, gram)), "suffix-grams")
     bitmap = key_bitmap(keys, "key", BITMAP_BITS)
     blocks = shared_blocks(docs, bitmap, length, gram)
-    direct = blocks.where("block is null").select(
-        "doc_id", "tag", "start", (F.col("start") + F.col("size")).alias("end")
-    )
-    found = materialize(bucket_spans(blocks.where("block is not null"), length, limit), "suffix-spans")
+    found = materialize(bucket_spans(blocks, length, limit), "suffix-spans")
     spans = found.where("window is null").select("doc_id", "tag", "start", "end")
     windows = found.where("window is not null")
     least = windows.groupBy("window").agg(F.min("doc_id").alias("first"))
     more = windows.join(least, "window").where("doc_id > first")
-    return direct.union(spans).union(more.select("doc_id", "tag", "start", "end"))
+    return spans.union(more.select("doc_id", "tag", "start", "end"))
 
 
 def remove_repeats(
