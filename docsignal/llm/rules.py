@@ -147,7 +147,7 @@ class LabelModel:
         return out
 
 
-def fit(patterns: DataFrame, rules: list[str], max_steps: int = 100, tolerance: float = 1e-7) -> LabelModel:
+def fit(patterns: DataFrame, rules: list[str], max_steps: int = 50, tolerance: float = 1e-4) -> LabelModel:
     """Expectation-maximisation over ``(v_rule ..., n)``: vote patterns and how many texts show them.
 
     Estimation starts between majority and all-must-pass: each drop vote alone makes a text bad with

@@ -69,12 +69,12 @@ def test_estimation_equals_plain_python(spark):
         )
         patterns[vote] = patterns.get(vote, 0) + 1
     df = spark.createDataFrame([(*p, n) for p, n in patterns.items()], "v_a int, v_b int, v_c int, n long")
-    model = rules.fit(df, ["a", "b", "c"], max_steps=6)
+    model = rules.fit(df, ["a", "b", "c"], max_steps=6, tolerance=0)
     share, post = plain_fit(patterns, 6)
     assert abs(model.good - share) < 1e-9
     for r in df.withColumn("p", model.posterior()).collect():
         assert abs(r.p - post[(r.v_a, r.v_b, r.v_c)]) < 1e-9
-    fitted = rules.fit(df, ["a", "b", "c"], max_steps=300)
+    fitted = rules.fit(df, ["a", "b", "c"], max_steps=300, tolerance=1e-7)
     assert fitted.converged and all(0.7 < a < 0.95 for a in fitted.accuracy().values())
 
 
