@@ -31,7 +31,7 @@ from docsignal.llm.common import (
 )
 
 BUCKETS = 1 << 14
-WINDOW, STRIDE = 32, 16
+WINDOW, STRIDE, CONTEXT = 12, 6, 24  # words
 SAMPLE_DOCS = 1000
 SAMPLE_LINES = 8000
 COPIES = 24
@@ -167,6 +167,9 @@ def _bigrams(words: list[str]) -> set[tuple[str, str]]:
     return set(zip(words, words[1:])) or {(w, "") for w in words}
 
 
+GENERIC_PATTERNS = [
+    {b for b in _bigrams(words_of(t.format("{}"))) if "{}" not in b} for t in GENERIC
+]
 PATTERNS = {f: [_bigrams(words_of(t)) for t in ts] for f, ts in TEMPLATES.items()}
 
 
@@ -176,6 +179,12 @@ def similarity(words: list[str], family: str) -> float:
     return max(len(own & t) / len(t) for t in PATTERNS[family])
 
 
+def generic_similarity(words: list[str]) -> float:
+    """The largest share of a generic notice that stands in ``words``."""
+    own = _bigrams(words)
+    return max(len(own & t) / len(t) for t in GENERIC_PATTERNS)
+
+
 def closest(words: list[str]) -> tuple[str, float]:
     """The family whose template is contained best; of equals, the one with the longest template."""
     own = _bigrams(words)
@@ -192,14 +201,19 @@ def training_rows(lines: list[str], seed: int = 7) -> list[tuple[str, str]]:
     """``(text, class)`` rows: altered templates, generic notices, and labelled corpus lines."""
     chance = random.Random(seed)
     names = [w for line in lines[:500] for w in line.split()[:2]] or ["Sample"]
-    ordinary = [" ".join(line.split()[: 2 * WINDOW]) for line in lines]
+    ordinary = [" ".join(line.split()[:WINDOW]) for line in lines]
     rows = []
 
     def around(text: str) -> str:
         if ordinary and chance.random() < 0.5:
-            words = chance.choice(ordinary).split()[: chance.randrange(1, 12)]
+            words = chance.choice(ordinary).split()[: chance.randrange(1, WINDOW // 2)]
             text = f"{text} {' '.join(words)}" if chance.random() < 0.5 else f"{' '.join(words)} {text}"
-        return text
+        return part(text, WINDOW)
+
+    def part(text: str, size: int) -> str:
+        words = text.split()
+        at = chance.randrange(max(1, len(words) - size + 1))
+        return " ".join(words[at : at + size])
 
     for family, templates in TEMPLATES.items():
         for text in templates:
@@ -215,9 +229,7 @@ def training_rows(lines: list[str], seed: int = 7) -> list[tuple[str, str]]:
         if value >= 0.9:
             rows.append((line, family))
         elif value < 0.5:
-            words = line.split()
-            at = chance.randrange(max(1, len(words) - WINDOW))
-            rows.append((" ".join(words[at : at + chance.randrange(3, WINDOW)]), NONE))
+            rows.append((part(line, chance.randrange(3, WINDOW + 1)), NONE))
     chance.shuffle(rows)
     return rows
 
@@ -368,7 +380,7 @@ def _report(model, data, offsets, start, end, line, row, span, found) -> None:
     doc = int(row[first])
     best = int(p[2:].argmax()) + 2
     proposed, probability = model.names[best], float(p[best])
-    lo, hi = max(first - STRIDE, 0), min(stop + STRIDE, len(start))
+    lo, hi = max(first - CONTEXT, 0), min(stop + CONTEXT, len(start))
     while line[lo] != line[first] or row[lo] != doc:
         lo += 1
     while line[hi - 1] != line[first] or row[hi - 1] != doc:
@@ -376,7 +388,7 @@ def _report(model, data, offsets, start, end, line, row, span, found) -> None:
     words = words_of(bytes(data[start[lo] : end[hi - 1]]).decode("utf-8", "replace"))
     alike = similarity(words, proposed)
     sure = probability >= model.threshold and alike >= CONFIRM
-    if not sure and p[1] < 0.5 and alike < HINT:
+    if not sure and max(alike, generic_similarity(words)) < HINT:
         return  # nothing but the classifier speaks for a licence
     a, b = int(start[first] - offsets[doc]), int(end[stop - 1] - offsets[doc])
     entry = {
