@@ -48,7 +48,7 @@ FOREST = {"n_estimators": 20, "max_depth": 10, "min_samples_leaf": 1}
 BOOSTED = {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.2, "subsample": 1.0}
 STUDY_ROWS = list(zip(sorted(reports.SHORT_NAMES)[:5], LENGTH_LIMITS))
 PRIORITIES = {"1-URGENT": "URG", "2-HIGH": "HI", "5-LOW": "LO"}
-SMALL_TFIDF = TfidfConfig(max_terms=100)
+TFIDF = TfidfConfig()
 
 
 def register(query: Query) -> Query:
@@ -249,7 +249,7 @@ def top_terms_per_doc(spark: SparkSession, sf: str) -> DataFrame:
 def prepared_corpus(spark: SparkSession, sf: str, test_size: float = 0.0) -> workflow.Prepared:
     """Labelled documents, split, features fitted on the train rows."""
     corpus = workflow.assign_splits(labelled(spark, sf), test_size=test_size)
-    return workflow.prepare(corpus, SMALL_TFIDF)
+    return workflow.prepare(corpus, TFIDF)
 
 
 @register
@@ -262,7 +262,7 @@ def feature_long(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def feature_wide(spark: SparkSession, sf: str) -> DataFrame:
     prepared = prepared_corpus(spark, sf)
-    names = T.ENGINEERED_NAMES + [f"term_{i}" for i in range(10)]
+    names = T.ENGINEERED_NAMES + [f"term_{i}" for i in range(TFIDF.max_terms)]
     wide = frame.wide_features(prepared.frame, names, ["doc_id", "label", "split"])
     return rounded(wide, *names)
 
@@ -778,13 +778,13 @@ def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def train_and_judge(spark: SparkSession, sf: str) -> DataFrame:
     prepared = prepared_corpus(spark, sf, test_size=0.2)
-    return workflow.train_and_judge(prepared, "linear_svc", {"C": [0.5, 1.0]}, 3)[1]
+    return workflow.train_and_judge(prepared, "linear_svc", None, 5)[1]
 
 
 @register
 def outlier_tuning(spark: SparkSession, sf: str) -> DataFrame:
     train = prepared_corpus(spark, sf).split("train")
-    return tuning.tune_outliers(train, tuning.SearchSpace().draw(8)).table(spark)
+    return tuning.tune_outliers(train, tuning.SearchSpace().draw(30)).table(spark)
 
 
 @register
@@ -809,4 +809,4 @@ def experiment_suite(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def cleaned_corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: texts -> features -> outlier scores -> clean train rows."""
-    return workflow.cleaned_corpus(labelled(spark, sf), tfidf=SMALL_TFIDF)
+    return workflow.cleaned_corpus(labelled(spark, sf), tfidf=TFIDF)

@@ -306,7 +306,7 @@ def _corpus(splits: str) -> list[str]:
     count = "(SELECT count(*) FROM splits WHERE split = 'train')"
     return [
         lab, splits, LAB_DOCS, *ENGINEERED_PARTS, ENG, _terms(WORD_TERMS),
-        _fit(count, "2", "1.0 * n", 100, IN_TRAIN), WEIGHTS,
+        _fit(count, "2", "1.0 * n", Q.TFIDF.max_terms, IN_TRAIN), WEIGHTS,
     ]
 
 
@@ -320,16 +320,21 @@ FROM splits s JOIN (
   UNION ALL SELECT doc_id, 'tfidf:' || term, value FROM weights) f USING (doc_id)"""
 )
 FEATURE_WIDE = (
-    _with(*_corpus(SPLIT_TWO))
+    _with(
+        *_corpus(SPLIT_TWO),
+        "wide AS (SELECT doc_id, "
+        + ", ".join(
+            f"max(value) FILTER (idx = {i}) AS term_{i}" for i in range(Q.TFIDF.max_terms)
+        )
+        + " FROM weights GROUP BY doc_id)",
+    )
     + "SELECT s.doc_id, s.label, s.split, "
     + _round(T.ENGINEERED_NAMES)
     + ", "
     + ", ".join(
-        f"round(coalesce((SELECT value FROM weights w WHERE w.doc_id = s.doc_id AND idx = {i}), 0.0), 6) "
-        f"AS term_{i}"
-        for i in range(10)
+        f"round(coalesce(term_{i}, 0.0), 6) AS term_{i}" for i in range(Q.TFIDF.max_terms)
     )
-    + " FROM splits s JOIN eng USING (doc_id)"
+    + " FROM splits s JOIN eng USING (doc_id) LEFT JOIN wide USING (doc_id)"
 )
 
 

@@ -96,6 +96,7 @@ def test_save_and_load_replaces_target(spark, tmp_path):
     model.save(spark, path)
     again = TfidfModel.load(spark, path)
     assert (again.terms, again.idf, again.n_docs) == (model.terms, model.idf, 4)
+    assert again.config == OPEN
 
 
 def test_partitions_and_order_do_not_matter(spark):
