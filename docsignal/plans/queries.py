@@ -15,7 +15,7 @@ from docsignal.operators.knn import knn_distances, knn_score
 from docsignal.operators.matrix import (
     Scaler, as_double_array, covariance, fit_scaler, gram_sums, ledoit_wolf, scale,
 )
-from docsignal.operators.selection import GeneticConfig, search_subset
+from docsignal.operators.selection import Breeding, Scoring, search_subset
 from docsignal.operators.signals import engineered_block, with_readability, with_style
 from docsignal.operators.tfidf import (
     TfidfConfig, fit_tfidf, term_statistics, tfidf_rows, with_tfidf_array,
@@ -784,14 +784,14 @@ def train_and_judge(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def outlier_tuning(spark: SparkSession, sf: str) -> DataFrame:
     train = prepared_corpus(spark, sf).split("train")
-    return tuning.tune_outliers(train, tuning.SearchSpace().draw(30)).table(spark)
+    return tuning.tune_outliers(train, tuning.random_trials()).table(spark)
 
 
 @register
 def subset_search(spark: SparkSession, sf: str) -> DataFrame:
     train = prepared_corpus(spark, sf).split("train")
-    config = GeneticConfig(pop_size=8, generations=2, n_splits=3)
-    return search_subset(train, config).history_table(spark)
+    found = search_subset(train, Breeding(pop_size=8, generations=2), Scoring(n_splits=3))
+    return found.history_table(spark)
 
 
 @register

@@ -549,7 +549,7 @@ CV_MEAN = (
     _with(
         LABELS,
         _ranked("rk", "lab", 42),
-        f"""j AS (SELECT grid_idx, lim, (r - 1) % 5 AS fold, label AS y_true, (n_chars > lim)::INT AS y_pred
+        f"""j AS (SELECT grid_idx, lim, ((r - 1) * 5 // m) AS fold, label AS y_true, (n_chars > lim)::INT AS y_pred
     FROM rk JOIN documents USING (doc_id), (VALUES {LIMIT_ROWS}) v(grid_idx, lim))""",
         """s AS (SELECT grid_idx, lim, fold, avg((y_true = y_pred)::INT) AS acc,
     coalesce(2.0::DOUBLE * sum(y_true * y_pred) / nullif(sum(y_true) + sum(y_pred), 0), 0) AS f1
@@ -682,7 +682,7 @@ ORDER BY log.mean_acc DESC, trial_number LIMIT 1""",
 FROM log JOIN bx USING (combine) GROUP BY combine""",
     "stratified_split": _with(LABELS, SPLIT_TWO) + "SELECT * FROM splits",
     "stratified_folds": _with(LABELS, _ranked("rk", "lab", 42))
-    + "SELECT doc_id, label, ((r - 1) % 5)::INT AS fold FROM rk",
+    + "SELECT doc_id, label, ((r - 1) * 5 // m)::INT AS fold FROM rk",
     "label_counts": "SELECT quality AS label, count(*) AS n_rows FROM labels GROUP BY 1",
     "split_sizes": _with(LABELS, SPLIT_THREE) + "SELECT split, count(*) AS n_rows FROM splits GROUP BY 1",
     "trainval_union": _with(LABELS, SPLIT_THREE) + "SELECT * FROM splits WHERE split <> 'test'",

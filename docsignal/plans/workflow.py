@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from docsignal.functions import text as T
 from docsignal.operators import metrics
-from docsignal.operators.folds import stratified_split
+from docsignal.operators.folds import first_share
 from docsignal.operators.frame import FeatureModel, fit_features, mask_array
 from docsignal.operators.metrics import METRIC_NAMES
 from docsignal.operators.models import FittedModel, cv_search, evaluate, fit_final
 from docsignal.operators.outliers import OutlierConfig, keep_inliers, score_outliers
-from docsignal.operators.selection import GeneticConfig, search_subset
+from docsignal.operators.selection import Breeding, Scoring, search_subset
 from docsignal.operators.tfidf import TfidfConfig
-from docsignal.operators.tuning import SearchSpace, Trial, clean_with, tune_outliers
+from docsignal.operators.tuning import Trial, clean_with, random_trials, tune_outliers
 from docsignal.session import materialize
 from docsignal.sources import sinks, tables
 
@@ -47,17 +47,17 @@ def assign_splits(
 ) -> DataFrame:
     """Append ``split``: ``train``/``val``, after setting a ``test`` share aside if asked.
 
-    Ranks are taken over keys and labels only; texts or features join the result once.
+    Boundaries are found over keys and labels; the split is then an expression over each row.
     """
     keys = corpus.select("doc_id", "label")
+    is_test = None
     if test_size:
-        held = stratified_split(keys, test_size, seed + 1)
-        test = held.where(F.col("split") == "val").select("doc_id", F.lit("test").alias("split"))
-        keys = held.where(F.col("split") == "train").drop("split")
-    splits = stratified_split(keys, val_size, seed).select("doc_id", "split")
-    if test_size:
-        splits = splits.unionByName(test)
-    return corpus.join(materialize(splits, "splits"), "doc_id")
+        is_test = first_share(keys, test_size, seed + 1)
+        keys = keys.where(~is_test)
+    split = F.when(first_share(keys, val_size, seed), "val").otherwise("train")
+    if is_test is not None:
+        split = F.when(is_test, "test").otherwise(split)
+    return corpus.withColumn("split", split)
 
 
 def prepare(
@@ -66,7 +66,7 @@ def prepare(
     lexicon: Mapping[str, float] | None = None,
 ) -> Prepared:
     """Fit on the train rows of ``(doc_id, text, label, split)``, featurise all rows."""
-    corpus = materialize(corpus.select("doc_id", "text", "label", "split"), "corpus")
+    corpus = corpus.select("doc_id", "text", "label", "split")
     model = fit_features(corpus.where(F.col("split") == "train"), config, lexicon)
     return Prepared(materialize(model.transform(corpus), "features"), model)
 
@@ -199,9 +199,9 @@ def experiment_suite(
 def full_study(
     corpus: DataFrame,
     grids: Mapping[str, Mapping[str, Sequence]],
-    n_trials: int = 30,
-    genetic: GeneticConfig = GeneticConfig(),
-    space: SearchSpace = SearchSpace(),
+    trials: Sequence[Trial] | None = None,
+    breeding: Breeding = Breeding(),
+    scoring: Scoring = Scoring(),
     tfidf: TfidfConfig = TfidfConfig(),
     test_size: float = 0.2,
     seed: int = 42,
@@ -209,9 +209,9 @@ def full_study(
     """Everything in order: split, featurise, tune cleaning, search a subset, compare models."""
     prepared = prepare(assign_splits(corpus, test_size=test_size, seed=seed), tfidf)
     train = prepared.split("train")
-    tuned = tune_outliers(train, space.draw(n_trials, seed), genetic.n_splits, seed)
+    tuned = tune_outliers(train, trials or random_trials(seed=seed), scoring.n_splits, seed)
     cleaned = materialize(clean_with(train.drop("split"), tuned.best), "study-clean")
-    outcome = search_subset(cleaned, genetic)
+    outcome = search_subset(cleaned, breeding, scoring)
     return experiment_suite(
-        prepared, tuned.best, [bool(b) for b in outcome.mask], grids, genetic.n_splits, seed
+        prepared, tuned.best, [bool(b) for b in outcome.mask], grids, scoring.n_splits, seed
     )

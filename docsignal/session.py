@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, which driver and executors must share."""
+    """The folder named by ``spark.checkpoint.dir``, which driver and executors must share.
+
+    Where it is unset, a folder in the session's warehouse, which they share as well.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
-    if not root:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return root
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_docsignal"
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -65,6 +65,7 @@ def make_session(cpus="8"):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", "/tmp/docsignal-check")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -15,9 +15,16 @@ def test_rank_equals_the_global_rank(spark):
     df = labels(spark)
     order = F.md5(F.concat_ws(":", F.lit(7), F.col("doc_id")))
     plain = df.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy(order, "doc_id")))
-    got = as_dicts(folds.stratified_rank(df, seed=7))
-    want = as_dicts(plain)
-    assert all(got[k]["rank_in_label"] == want[k]["r"] for k in want)
+    want = {r.r: r.doc_id for r in plain.where("label = 1").collect()}
+    ranks = lambda n: F.array(F.lit(1), F.lit(2), n, n + 1, F.lit(0))
+    got = folds.rank_boundaries(df, ranks, 7, "doc_id", "label")
+    ones = {place: key for label, place, _, key in got if label == 1}
+    assert ones == {0: want[1], 1: want[2], 2: want[max(want)]}
+    split = as_dicts(folds.stratified_split(df, 0.3, seed=7))
+    for label in (0, 1):
+        ranked = {r.doc_id: r.r for r in plain.where(F.col("label") == label).collect()}
+        first = round(0.3 * len(ranked))
+        assert {k for k in ranked if split[k]["split"] == "val"} == {k for k, r in ranked.items() if r <= first}
 
 
 def test_strata_are_spread_evenly_and_stable(spark):

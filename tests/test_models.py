@@ -8,7 +8,7 @@ from docsignal.operators import models, svm, tuning
 from docsignal.operators.folds import stratified_folds
 from docsignal.operators.knn import knn_distances, knn_score
 from docsignal.operators.outliers import OutlierConfig, score_outliers
-from docsignal.operators.selection import GeneticConfig, SubsetFitness, _offspring, _repair, search_subset
+from docsignal.operators.selection import Breeding, Scoring, SubsetFitness, _offspring, _repair, search_subset
 
 
 def points(n=240, d=5, seed=0):
@@ -199,8 +199,8 @@ def test_tuning_is_repeatable_and_never_reads_validation_rows(spark):
     x, y = points(120, seed=13)
     x[:4] += 40  # gross outliers
     df = frame(spark, x, y)
-    trials = tuning.SearchSpace(k_range=(3, 8)).draw(5)
-    assert trials == tuning.SearchSpace(k_range=(3, 8)).draw(5)
+    trials = tuning.random_trials(5, k=(3, 8))
+    assert trials == tuning.random_trials(5, k=(3, 8))
     assert all(1.5 <= t.e_md <= 4.0 and 3 <= t.k <= 8 for t in trials)
     first = tuning.tune_outliers(df, trials, n_splits=3)
     assert first == tuning.tune_outliers(df.repartition(1), trials, n_splits=3)
@@ -243,7 +243,7 @@ def test_genetic_steps_keep_their_invariants():
     assert masks.sum(1).min() >= 7
     sparse = rng.random((4, 10)) < 0.3
     assert (_repair(sparse, 0, rng) == sparse).all() and (_repair(sparse, 5, rng) >= sparse).all()
-    config = GeneticConfig(pop_size=9, min_features=7, mutation_prob=0.0, crossover_prob=0.0)
+    config = Breeding(pop_size=9, min_features=7, mutation_prob=0.0, crossover_prob=0.0)
     children = _offspring(masks, np.arange(9.0), config, rng)
     assert children.shape == (8, 30)
     parents = {m.tobytes() for m in masks}
@@ -253,7 +253,7 @@ def test_genetic_steps_keep_their_invariants():
 def test_subset_fitness_equals_a_search_on_the_subset(spark):
     x, y = points(150, seed=15)
     df = frame(spark, x, y)
-    config = GeneticConfig(n_splits=3)
+    config = Scoring(n_splits=3)
     fitness = SubsetFitness(df, config)
     mask = np.array([True, False, False, True, True])
     cut = frame(spark, x[:, mask], y)
@@ -267,14 +267,14 @@ def test_subset_fitness_equals_a_search_on_the_subset(spark):
 def test_search_is_repeatable_and_monotone(spark):
     x, y = points(120, seed=16)
     df = frame(spark, x, y)
-    config = GeneticConfig(pop_size=4, generations=3, min_features=2, n_splits=2, mutation_prob=0.2)
-    a, b = search_subset(df, config), search_subset(df, config)
+    config, scoring = Breeding(pop_size=4, generations=3, min_features=2, mutation_prob=0.2), Scoring(n_splits=2)
+    a, b = search_subset(df, config, scoring), search_subset(df, config, scoring)
     assert (a.mask == b.mask).all() and a.history == b.history
     best = [h[1] for h in a.history]
     assert best == sorted(best) and a.score == best[-1]
     assert a.mask.sum() >= 2 and len(a.selected(list("abcde"))) == a.mask.sum()
     assert a.report(spark).first().best_score == pytest.approx(a.score)
-    stopped = search_subset(df, GeneticConfig(pop_size=2, generations=9, min_features=99, n_splits=2, early_stop_patience=2))
+    stopped = search_subset(df, Breeding(pop_size=2, generations=9, min_features=99, early_stop_patience=2), scoring)
     assert stopped.mask.all() and len(stopped.history) == 3
 
 

@@ -199,12 +199,12 @@ def test_train_judge_and_save(spark, tmp_path):
 
 
 def test_full_study(spark):
-    from docsignal.operators.selection import GeneticConfig
-    from docsignal.operators.tuning import SearchSpace
+    from docsignal.operators.selection import Breeding, Scoring
+    from docsignal.operators.tuning import random_trials
 
     table, fitted = workflow.full_study(
-        corpus(spark), {"linear_svc": {"C": [1.0]}}, n_trials=2,
-        genetic=GeneticConfig(pop_size=3, generations=1, min_features=3, n_splits=2),
-        space=SearchSpace(k_range=(2, 4)), tfidf=SMALL,
+        corpus(spark), {"linear_svc": {"C": [1.0]}}, trials=random_trials(2, k=(2, 4)),
+        breeding=Breeding(pop_size=3, generations=1, min_features=3), scoring=Scoring(n_splits=2),
+        tfidf=SMALL,
     )
     assert table.count() >= 3 and len(fitted) == table.count()

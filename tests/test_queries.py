@@ -1,4 +1,4 @@
-"""Every registered query beside its SQL, on the smallest tables."""
+"""Every registered query on the smallest tables, beside its SQL where it has one."""
 
 from pathlib import Path
 
@@ -6,9 +6,9 @@ import pytest
 
 import __spark_entry__ as entry
 from check_queries import compare, duck
+from docsignal.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"experiment_suite", "outlier_tuning", "subset_search", "tfidf_char_rows"}
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables absent")
 
 
@@ -17,11 +17,13 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
-def test_query_equals_sql(spark, con, name):
-    if name in SLOW:
-        pytest.skip("run by tests/check_queries.py")
-    assert compare(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name]) is None
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_runs_and_equals_its_sql(spark, con, name):
+    result, sql = entry.queries()[name](spark, SF), entry.oracle_sql().get(name)
+    if sql is None:
+        assert result.count() > 0
+    else:
+        assert compare(result, con, sql) is None
 
 
 def test_every_oracle_has_a_query():
