@@ -227,8 +227,16 @@ def tfidf_entries(weights: Column, terms: list[str]) -> Column:
 def tfidf_rows(
     df: DataFrame, model: TfidfModel, key: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Long sparse form ``(key, term, value)``."""
-    weighted = with_tfidf_array(df.select(key, text_col), model, text_col)
+    """Long form ``(key, term, value)``; only the terms a document has are ever touched."""
     if not model.terms:
-        return weighted.select(key, F.lit("").alias("term"), F.lit(0.0).alias("value")).limit(0)
-    return weighted.select(key, F.inline(tfidf_entries(F.col("tfidf"), model.terms)))
+        return df.select(key, F.lit("").alias("term"), F.lit(0.0).alias("value")).limit(0)
+    sparse = with_tfidf_vector(df.select(key, text_col), model, text_col).select(
+        key, F.unwrap_udt("tfidf").alias("v")
+    )
+    terms = constant(model.terms, "string")
+    entries = F.zip_with(
+        "v.indices",
+        "v.values",
+        lambda i, x: F.struct(F.get(terms, i).alias("term"), x.alias("value")),
+    )
+    return sparse.select(key, F.inline(F.filter(entries, lambda e: e["value"] > 0)))
