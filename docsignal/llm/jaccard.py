@@ -5,6 +5,9 @@ first ``n - ceil(4n/5) + 1`` shingles of each in any fixed order of all shingles
 rarest first (by a counting sketch of fixed size over all documents, ties by hash), so passages that
 many documents share come last and tiles stay small.
 
+More is asked of each class before it takes part: with a prefix longer by ``n // 20`` shingles, two
+linked classes share more than ``n // 25`` of them, so a class with fewer shared ones has no link.
+
 A *tile* holds the classes of one size band that share such a shingle.  Each class carries a bitmap
 signature: bit ``h mod width`` is the parity of the shingles hashed there.  Every bit in which two
 signatures differ is a shingle that only one of the sets has, so the number of differing bits bounds
@@ -13,8 +16,10 @@ intersecting the sorted shingle arrays.
 
 Near copies make tiles in which all pairs are similar.  These are not written out: first each class
 is only compared with the smallest class of its tiles, and the links found join classes into
-components; then only pairs of different components are compared, tile by tile, in blocks of
-bounded size.  No link between different components can be lost, no pair within one is needed.
+components.  Then pairs of different components are compared, tile by tile, in blocks of bounded
+size; of those that may link a task passes on a spanning forest of the closest, until that joins
+nothing more.  At last all pairs still between different components are decided.  No link between
+different components can be lost, no pair within one is needed.
 
 Shingles and set digests are 64-bit hashes.
 """
@@ -38,7 +43,9 @@ SKETCH_BITS, SKETCH_BLOCK = 20, 4096
 BLOCK = 2048  # classes of a tile compared in one task
 MEMBERS = 2000  # texts verified against one class in one task
 
-PASS_SCHEMA = "doc_id long, cls long, n long, bits binary, block int, counts binary"
+FOREST_PAIRS = 1 << 20  # pairs held by a task before they are thinned to a forest
+
+PASS_SCHEMA = "doc_id long, cls long, n long, block int, counts binary"
 
 
 # ---- shingles -----------------------------------------------------------------------------------
@@ -80,8 +87,8 @@ def set_digest(own: np.ndarray) -> int:
 
 
 def signature_width(n: int) -> int:
-    """Bits of the signature of a set of ``n``: a power of two of at least 2n and 64."""
-    return max(64, 1 << (2 * n - 1).bit_length())
+    """Bits of the signature of a set of ``n``: a power of two of at least 4n and 64."""
+    return max(64, 1 << (4 * n - 1).bit_length())
 
 
 def signature(own: np.ndarray) -> np.ndarray:
@@ -92,7 +99,8 @@ def signature(own: np.ndarray) -> np.ndarray:
 
 
 def prefix_length(n: int) -> int:
-    return n - (4 * n + 4) // 5 + 1 if n else 0
+    """Length of the prefix in which linked sets share more than ``n // 25`` shingles."""
+    return n - (4 * n + 4) // 5 + 1 + n // 20 if n else 0
 
 
 def fold(words: np.ndarray, to: int) -> np.ndarray:
@@ -123,24 +131,23 @@ def _sets_of_batch(batch: pa.RecordBatch, hasher: PrefixHash) -> Iterator[tuple[
 
 
 def summarise(docs: DataFrame) -> DataFrame:
-    """One pass: a row per document (class, size, signature), and the task's part of the sketch."""
+    """One pass: a row per document (class, size), and the task's part of the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = PrefixHash()
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            cls, sizes, bits, held = [], [], [], []
+            cls, sizes, held = [], [], []
             for _, own in _sets_of_batch(batch, hasher):
                 cls.append(set_digest(own))
                 sizes.append(len(own))
-                bits.append(signature(own).tobytes())
                 held.append((own & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int32))
             if held:
                 counts += np.bincount(np.concatenate(held), minlength=1 << SKETCH_BITS)
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(cls, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array(bits, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
                 names=PASS_NAMES,
             )
         parts = [
@@ -150,9 +157,8 @@ def summarise(docs: DataFrame) -> DataFrame:
         ]
         if parts:
             n = len(parts)
-            nothing = [pa.nulls(n, pa.int64())] * 3 + [pa.nulls(n, pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [*nothing, pa.array([k for k, _ in parts], pa.int32()),
+                [*[pa.nulls(n, pa.int64())] * 3, pa.array([k for k, _ in parts], pa.int32()),
                  pa.array([c for _, c in parts], pa.binary())],
                 names=PASS_NAMES,
             )
@@ -160,7 +166,7 @@ def summarise(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), run, PASS_SCHEMA)
 
 
-PASS_NAMES = ["doc_id", "cls", "n", "bits", "block", "counts"]
+PASS_NAMES = ["doc_id", "cls", "n", "block", "counts"]
 
 
 def _pack_counts(part: np.ndarray) -> bytes:
@@ -197,10 +203,11 @@ def sketch_of(summary: DataFrame) -> np.ndarray:
         )
 
     parts = summary.where("block is not null").select("block", "counts").repartition("block")
-    total = np.zeros((1 << SKETCH_BITS) // SKETCH_BLOCK * SKETCH_BLOCK, np.int64)
-    for row in map_batches(parts, add, "block int, counts binary").toLocalIterator():
-        at = row["block"] * SKETCH_BLOCK
-        total[at : at + SKETCH_BLOCK] = np.frombuffer(row["counts"], np.int64)
+    total = np.zeros(1 << SKETCH_BITS, np.int64)
+    found = map_batches(parts, add, "block int, counts binary").toArrow()  # 8 MB at most
+    for block, counts in zip(found["block"].to_pylist(), found["counts"].to_pylist()):
+        at = block * SKETCH_BLOCK
+        total[at : at + SKETCH_BLOCK] = np.frombuffer(counts, np.int64)
     return np.minimum(total, (1 << 32) - 1).astype(np.uint32)
 
 
@@ -274,6 +281,49 @@ def _tile_rows(token, cls, n) -> pa.RecordBatch:
     )
 
 
+def enough_shared(tiles: DataFrame) -> DataFrame:
+    """The tile rows of the classes that share enough of their prefix to have a link at all."""
+    counts = tiles.groupBy("cls").agg(F.count("*").alias("shared"), F.first("n").alias("size"))
+    able = counts.where("shared > cast(floor(size / 25) as long)").select("cls")
+    return tiles.join(able, "cls").select("token", "cls", "n")
+
+
+def some_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``(doc_id, text)`` of the rows whose key may be in ``ids.doc_id`` (an exact join follows)."""
+    bitmap = docs.sparkSession.sparkContext.broadcast(
+        key_bitmap(ids.select(F.xxhash64("doc_id").alias("h")), "h")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            take = pa.array(maybe_in(bitmap.value, batch.column(2).to_numpy()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).filter(take), batch.column(1).filter(take)], names=["doc_id", "text"]
+            )
+
+    hashed = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h"))
+    return map_batches(hashed, run, "doc_id long, text string")
+
+
+def signatures(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """``(cls, bits)`` of the classes in ``reps(cls, rep)``, from the text of their first document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = PrefixHash()
+        for batch in batches:
+            cls, bits = [], []
+            for _, own in _sets_of_batch(batch, hasher):
+                cls.append(set_digest(own))
+                bits.append(signature(own).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cls, pa.int64()), pa.array(bits, pa.binary())], names=["cls", "bits"]
+            )
+
+    texts = some_texts(docs, reps.select(F.col("rep").alias("doc_id")))
+    found = map_batches(texts, run, "cls long, bits binary").join(reps.select("cls"), "cls")
+    return found.dropDuplicates(["cls"])
+
+
 # ---- pairs --------------------------------------------------------------------------------------
 
 
@@ -295,9 +345,8 @@ def star_pairs(tiles: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def signed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose signatures allow a link."""
-    bits = classes.select("cls", "bits")
+def signed(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """The pairs whose signatures ``(cls, bits)`` allow a link."""
     rows = pairs.join(bits.toDF("a", "bits_a"), "a").join(bits.toDF("b", "bits_b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,10 +388,10 @@ def differing_bits(a: _Signatures, i: np.ndarray, b: _Signatures, j: np.ndarray)
     return out
 
 
-def cross_pairs(tiles: DataFrame, classes: DataFrame, comps: DataFrame) -> DataFrame:
+def cross_pairs(tiles: DataFrame, bits: DataFrame, comps: DataFrame, forest: bool) -> DataFrame:
     """Pairs of classes of one token but of different components that may link.
 
-    A tile of more than ``BLOCK`` classes is cut into blocks; each task compares two blocks, so no
+    With ``forest`` a task returns only as many of the closest as join what they can join.  A tile of more than ``BLOCK`` classes is cut into blocks; each task compares two blocks, so no
     tile has to fit into one task.
     """
     rows = tiles.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
@@ -355,7 +404,7 @@ def cross_pairs(tiles: DataFrame, classes: DataFrame, comps: DataFrame) -> DataF
         "blocks", F.ceil(F.col("members") / BLOCK).cast("int")
     )
     rows = rows.select("token", "cls", "n", "comp").join(tokens.select("token", "blocks"), "token")
-    rows = rows.join(classes.select("cls", "bits"), "cls")
+    rows = rows.join(bits, "cls")
     own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = rows.withColumn("own", own).withColumn("other", other)
@@ -375,21 +424,22 @@ def cross_pairs(tiles: DataFrame, classes: DataFrame, comps: DataFrame) -> DataF
             cut = int(np.flatnonzero(change)[-1]) if change.any() else 0
             waiting = batch.slice(cut)
             if cut:
-                yield _compare(batch.slice(0, cut))
+                yield _compare(batch.slice(0, cut), forest)
         if waiting is not None and waiting.num_rows:
-            yield _compare(waiting)
+            yield _compare(waiting, forest)
 
     dealt = rows.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "n", "cls")
     return map_batches(dealt, run, "a long, b long, na long, nb long").distinct()
 
 
-def _compare(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _compare(batch: pa.RecordBatch, forest: bool) -> pa.RecordBatch:
     """Pairs within runs of equal (token, lo, hi), rows sorted by size; each pair of blocks once."""
     token, lo, hi, own, n, cls, comp = (batch.column(k).to_numpy() for k in range(7))
     bits = _Signatures(batch.column(7))
     run = np.zeros(len(token), np.int64)
     run[1:] = np.cumsum((token[1:] != token[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]))
-    found, seen = [], np.zeros((0, 2), np.int64)
+    comp = np.unique(comp, return_inverse=True)[1]
+    found, held = [], 0
     left, step = np.arange(len(token)), 0
     while len(left):
         step += 1
@@ -401,24 +451,58 @@ def _compare(batch: pa.RecordBatch) -> pa.RecordBatch:
         ask = (comp[left] != comp[right]) & ((lo[left] == hi[left]) | (own[left] != own[right]))
         i, j = left[ask], right[ask]
         if len(i):
-            ok = may_link(n[i], n[j], differing_bits(bits, i, bits, j))
-            i, j = i[ok], j[ok]
-            swap = cls[i] > cls[j]
-            found.append(np.stack([np.where(swap, j, i), np.where(swap, i, j)], 1))
-    at = np.concatenate(found) if found else seen
+            differing = differing_bits(bits, i, bits, j)
+            ok = may_link(n[i], n[j], differing)
+            i, j, differing = i[ok], j[ok], differing[ok]
+            found.append((i, j, differing / (n[i] + n[j])))
+            held += len(i)
+        if forest and held > FOREST_PAIRS:
+            found = [_forest(*(np.concatenate(c) for c in zip(*found)), comp)]
+            held = len(found[0][0])
+    if found:
+        i, j, far = (np.concatenate(c) for c in zip(*found))
+        if forest:
+            i, j, far = _forest(i, j, far, comp)
+    else:
+        i = j = np.zeros(0, np.int64)
+    swap = cls[i] > cls[j]
+    i, j = np.where(swap, j, i), np.where(swap, i, j)
     return pa.RecordBatch.from_arrays(
-        [pa.array(c) for c in (cls[at[:, 0]], cls[at[:, 1]], n[at[:, 0]], n[at[:, 1]])],
-        names=["a", "b", "na", "nb"],
+        [pa.array(c) for c in (cls[i], cls[j], n[i], n[j])], names=["a", "b", "na", "nb"]
     )
 
 
+def _forest(i: np.ndarray, j: np.ndarray, far: np.ndarray, comp: np.ndarray):
+    """Of pairs ``(i, j)`` at distances ``far`` a spanning forest of the closest over ``comp``."""
+    label = np.arange(comp.max() + 1)
+    rank = np.argsort(np.argsort(far, kind="stable"), kind="stable")  # no two distances are equal
+    taken = np.zeros(len(i), bool)
+    while True:
+        a, b = label[comp[i]], label[comp[j]]
+        open_ = np.flatnonzero(a != b)
+        if not len(open_):
+            return i[taken], j[taken], far[taken]
+        best = np.full(len(label), len(i))
+        np.minimum.at(best, a[open_], rank[open_])
+        np.minimum.at(best, b[open_], rank[open_])
+        pick = open_[(best[a[open_]] == rank[open_]) | (best[b[open_]] == rank[open_])]
+        taken[pick] = True
+        while True:  # the picked pairs join their components: least labels until nothing changes
+            least = np.minimum(label[comp[i[pick]]], label[comp[j[pick]]])
+            before = label.copy()
+            np.minimum.at(label, before[comp[i[pick]]], least)
+            np.minimum.at(label, before[comp[j[pick]]], least)
+            label = label[label]
+            if (label == before).all():
+                break
+
+
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs ``(a, b, common)`` that do link, by intersecting their sorted shingle arrays.
 
     Texts of the classes concerned are sent to the pair's first class; one with more than
     ``MEMBERS`` partners is dealt over several tasks, each with a copy of that one text.
     """
-    spark = docs.sparkSession
     pairs = pairs.select("a", "b")
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     first = classes.join(wanted, "cls").select(F.col("cls").alias("b"), F.col("rep").alias("doc_id"))
@@ -429,19 +513,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
         "a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("part")
     )
     wanted_ids = materialize(dealt.union(heads).join(first, "b"), "jaccard-pairs")
-    ids = spark.sparkContext.broadcast(
-        key_bitmap(wanted_ids.select(F.xxhash64("doc_id").alias("h")), "h")
-    )
-
-    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            take = pa.array(maybe_in(ids.value, batch.column(2).to_numpy()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(take), batch.column(1).filter(take)], names=["doc_id", "text"]
-            )
-
-    hashed = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h"))
-    texts = map_batches(hashed, some, "doc_id long, text string")
+    texts = some_texts(docs, wanted_ids)
     rows = wanted_ids.join(texts, "doc_id").select("a", "part", (F.col("a") != F.col("b")).alias("member"), "b", "text")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -484,21 +556,36 @@ def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "tex
     """
     docs = docs.select(key_column(key).alias("doc_id"), F.col(f"`{text}`").alias("text"))
     summary = materialize(summarise(docs), "jaccard-summary")
-    thin = summary.where("block is null").select("doc_id", "cls", "n", "bits")
+    thin = summary.where("block is null").select("doc_id", "cls", "n")
     classes = materialize(
-        thin.where("n > 0").groupBy("cls").agg(
-            F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")
-        ),
+        thin.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")),
         "jaccard-classes",
-    )
-    tiles = materialize(shared_only(postings(docs, sketch_of(summary))), "jaccard-tiles")
-    near = verified(materialize(signed(star_pairs(tiles), classes), "jaccard-star"), docs, classes)
-    near = materialize(near, "jaccard-links")
-    comps = materialize(components(near), "jaccard-components")
-    rest = materialize(cross_pairs(tiles, classes, comps), "jaccard-cross")
-    if not rest.isEmpty():
-        more = materialize(verified(rest, docs, classes), "jaccard-links")
-        comps = components(near.select("a", "b").union(more.select("a", "b")))
+    )
+    tiles = materialize(shared_only(postings(docs, sketch_of(summary))), "jaccard-shared")
+    tiles = materialize(enough_shared(tiles), "jaccard-tiles")
+    bits = materialize(
+        signatures(docs, tiles.select("cls").distinct().join(classes, "cls")), "jaccard-signatures"
+    )
+
+    def decide(pairs: DataFrame) -> DataFrame:
+        return materialize(verified(materialize(pairs, "jaccard-pairs"), docs, classes), "jaccard-links")
+
+    tested = materialize(signed(star_pairs(tiles), bits), "jaccard-star")
+    links = decide(tested)
+    comps = materialize(components(links), "jaccard-components")
+    forest = True
+    while True:
+        pairs = cross_pairs(tiles, bits, comps, forest).join(tested, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "jaccard-cross")
+        more = decide(pairs) if not pairs.isEmpty() else None
+        joins = more is not None and not more.isEmpty()
+        if joins:
+            links = links.select("a", "b").union(more.select("a", "b"))
+            comps = materialize(components(links), "jaccard-components")
+        if not forest:
+            break
+        tested = tested.select("a", "b").union(pairs.select("a", "b"))
+        forest = joins  # when a forest joins nothing more, all pairs are asked
     reps = classes.join(comps.withColumnRenamed("node", "cls"), "cls", "left").select(
         "cls", "rep", F.coalesce("component", "cls").alias("comp")
     )
