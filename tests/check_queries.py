@@ -4,6 +4,7 @@ usage: python tests/check_queries.py <sf_dir> [query ...]
 """
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -55,7 +56,7 @@ def compare(spark_df, con, sql):
     return None
 
 
-def make_session(cpus="8"):
+def make_session(cpus=os.environ.get("CHECK_CPUS", "8")):
     from pyspark.sql import SparkSession
 
     spark = (
