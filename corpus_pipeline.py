@@ -62,8 +62,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences, as ``op8_packing`` returns them."""
-    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    return packing.piece_digests(pieces)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

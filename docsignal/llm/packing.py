@@ -31,7 +31,7 @@ END_ID = 1
 BUFFER_PIECES = 2048
 SCHEMA = (
     "doc_id long, start long, length long, ids array<int>, doc_tokens long, sequence_id long,"
-    " offset long"
+    " offset long, ids_crc32 long"
 )
 
 
@@ -143,8 +143,8 @@ def pack(
 ) -> DataFrame:
     """Pieces of all documents with their ids and their place in a sequence.
 
-    Returns ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``.  Every id lies in one
-    piece; the pieces of a sequence stand gapless from offset 0 to at most ``capacity``.
+    Returns ``doc_id, start, length, ids, doc_tokens, sequence_id, offset, ids_crc32`` (unsigned, of
+    the ids as little-endian unsigned 32-bit numbers).  Every id lies in one piece; the pieces of a sequence stand gapless from offset 0 to at most ``capacity``.
 
     NULL or empty text: the closing id alone.  NULL keys are kept.  Repeated rows and texts are
     packed as often as they come.  A text of any length is cut into windows; it must fit in a
@@ -172,7 +172,8 @@ def pack(
             out.clear()
             columns = [pa.array(c, pa.int64()) for c in (doc, start, length)]
             columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32())))
-            columns += [pa.array(c, pa.int64()) for c in (tokens, seq, offset)]
+            crc = [crc_of_ids(x) for x in ids]
+            columns += [pa.array(c, pa.int64()) for c in (tokens, seq, offset, crc)]
             return pa.RecordBatch.from_arrays(columns, names=NAMES)
 
         for batch in batches:
@@ -205,7 +206,7 @@ def pack(
     return map_batches(docs.select(key, text), run, SCHEMA)
 
 
-NAMES = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+NAMES = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "ids_crc32"]
 
 
 def _cut(pieces: list[tuple[int, tuple]], sizes: list[int]) -> Iterator[list[tuple[int, tuple]]]:
@@ -225,18 +226,3 @@ def _cut(pieces: list[tuple[int, tuple]], sizes: list[int]) -> Iterator[list[tup
 
 def crc_of_ids(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes())
-
-
-def piece_digests(pieces: DataFrame) -> DataFrame:
-    """``pack``'s rows with ``ids_crc32`` (of the little-endian 32-bit ids) in place of the ids."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(3)
-            flat = ids.values.to_numpy(zero_copy_only=False)
-            ends = ids.offsets.to_numpy()
-            crc = [crc_of_ids(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
-            columns = [*batch.columns[:3], pa.array(crc, pa.int64()), *batch.columns[4:]]
-            yield pa.RecordBatch.from_arrays(columns, names=NAMES[:3] + ["ids_crc32"] + NAMES[4:])
-
-    return map_batches(pieces, run, SCHEMA.replace("ids array<int>", "ids_crc32 long"))

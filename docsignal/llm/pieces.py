@@ -28,8 +28,9 @@ from docsignal.llm.common import list_array, map_batches
 
 BLANK = "▁"  # fixed value: how pieces write a space
 UNKNOWN_PENALTY = 10.0  # fixed value: an unknown scores this much below the worst piece
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 ENCODED = "doc_id long, text string, ids array<int>"
+DECODED = ", decoded string, ids_crc32 long, n_byte_ids long"
 
 
 class PieceModel:
@@ -149,8 +150,10 @@ def zipf_score(rank: int) -> float:
     return -round(math.log(rank + 2) * 1024) / 1024
 
 
-def encode(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, text, ids`` of every row.
+def encode(
+    docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text", back: bool = False
+) -> DataFrame:
+    """``doc_id, text, ids`` of every row; with ``back`` also what ``decode`` adds, in one pass.
 
     NULL and empty texts have no ids.  NULL keys and repeated rows are kept as they come; other
     columns are ignored; an empty table gives no rows.  Texts are searched whole.
@@ -163,12 +166,13 @@ def encode(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "t
                 ids = [model.encode(t or "") for t in rows.column(1).to_pylist()]
                 flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
                 sizes = np.array([len(x) for x in ids], np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0).cast(pa.int64()), rows.column(1), list_array(flat, sizes)],
-                    names=["doc_id", "text", "ids"],
-                )
+                columns = [rows.column(0).cast(pa.int64()), rows.column(1), list_array(flat, sizes)]
+                if back:
+                    columns += _decoded(model, ids)
+                yield pa.RecordBatch.from_arrays(columns, names=NAMES[: len(columns)])
 
-    return map_batches(docs.select(F.col(key).cast("long"), text), run, ENCODED)
+    schema = ENCODED + DECODED if back else ENCODED
+    return map_batches(docs.select(F.col(key).cast("long"), text), run, schema)
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
@@ -179,25 +183,27 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = PieceModel(model_path)
-        is_byte = np.zeros(len(model.bytes), bool)
-        is_byte[list(model.byte_ids.values())] = True
         for batch in batches:
-            ids = batch.column(2)
-            flat, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-            texts, crc, n_bytes = [], [], []
-            for a, b in zip(ends[:-1], ends[1:]):
-                own = flat[a:b]
-                texts.append(model.decode(own))
-                crc.append(zlib.crc32(np.ascontiguousarray(own, "<u4").tobytes()))
-                n_bytes.append(int(is_byte[own].sum()))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string()), pa.array(crc, pa.int64()),
-                 pa.array(n_bytes, pa.int64())],
-                names=["doc_id", "text", "ids", "decoded", "ids_crc32", "n_byte_ids"],
-            )
-
-    schema = ENCODED + ", decoded string, ids_crc32 long, n_byte_ids long"
-    return map_batches(encoded.select("doc_id", "text", "ids"), run, schema)
+            for rows in _portions(batch):
+                column = rows.column(2)
+                flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+                ids = [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+                yield pa.RecordBatch.from_arrays([*rows.columns, *_decoded(model, ids)], names=NAMES)
+
+    return map_batches(encoded.select("doc_id", "text", "ids"), run, ENCODED + DECODED)
+
+
+NAMES = ["doc_id", "text", "ids", "decoded", "ids_crc32", "n_byte_ids"]
+
+
+def _decoded(model: PieceModel, ids: list[np.ndarray]) -> list[pa.Array]:
+    is_byte = np.zeros(len(model.bytes), bool)
+    is_byte[list(model.byte_ids.values())] = True
+    return [
+        pa.array([model.decode(x) for x in ids], pa.string()),
+        pa.array([zlib.crc32(np.ascontiguousarray(x, "<u4").tobytes()) for x in ids], pa.int64()),
+        pa.array([int(is_byte[x].sum()) for x in ids], pa.int64()),
+    ]
 
 
 def restored(text: str = "text", decoded: str = "decoded") -> Column:
@@ -205,6 +211,6 @@ def restored(text: str = "text", decoded: str = "decoded") -> Column:
     return F.replace(F.coalesce(text, F.lit("")), F.lit(BLANK), F.lit(" ")) == F.col(decoded)
 
 
-def _portions(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+def _portions(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)

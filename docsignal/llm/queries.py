@@ -29,7 +29,7 @@ def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    decoded = pieces.decode(pieces.encode(read(spark, sf_dir, "documents"), model), model)
+    decoded = pieces.encode(read(spark, sf_dir, "documents"), model, back=True)
     return decoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "n_byte_ids", "ids_crc32",
         F.sha2("decoded", 256).alias("decoded_sha256"), pieces.restored().alias("restored"),
@@ -65,7 +65,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(
         read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
     )
-    return packing.piece_digests(packed)
+    return packed.drop("ids")
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,6 +80,8 @@ def test_tables(spark, model):
     encoded = pieces.encode(documents(spark, rows, clashing=True), PATH)
     out = pieces.decode(encoded, PATH).withColumn("same", pieces.restored())
     found = out.collect()
+    at_once = pieces.encode(documents(spark, rows, clashing=True), PATH, back=True)
+    assert bag(at_once) == bag(out.drop("same"))
     assert len(found) == len(rows) and all(r.same for r in found)
     wanted = sorted(((k, model.encode(t or "").tolist()) for k, t, _ in rows), key=repr)
     assert sorted(((r.doc_id, r.ids) for r in found), key=repr) == wanted
