@@ -143,26 +143,33 @@ def shared_blocks(docs: DataFrame, bitmap: np.ndarray, length: int, gram: int) -
         hasher = PrefixHash()
         for batch in batches:
             ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            parts, blocks = [], []
-            for i, _, data, offsets in text_slices(*text_buffer(batch.column(2)), SLICE):
+            parts, blocks, held = [], [], 0
+            buffer, ends = text_buffer(batch.column(2))
+            for i, j, data, offsets in text_slices(buffer, ends, SLICE):
                 key, row, start, count = find_blocks(data, offsets, hasher, length, gram)
                 take = maybe_in(shared.value, key)
                 key, row, start, count = (c[take] for c in (key, row, start, count))
                 size = count + length - 1
                 blocks.append(_cut_bytes(data, start, size))
                 parts.append((key, row + i, start - offsets[row], size))
-            if not parts:
-                continue
-            key, row, start, size = (np.concatenate(c) for c in zip(*parts))
-            doc, block = ids[row], pa.concat_arrays(blocks)
-            code = block.dictionary_encode().indices.to_numpy()
-            travels = pa.array(doc <= _least_by(code, doc)[code])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((key >> np.uint64(33)).astype(np.int32)), pa.array(doc),
-                 pa.array(tags[row]), pa.array(start), pa.array(size.astype(np.int32)),
-                 pc.if_else(travels, block.cast(pa.binary()), pa.scalar(None, pa.binary()))],
-                names=BLOCK_NAMES,
-            )
+                held += len(data)
+                if held >= 8 * SLICE or j == batch.num_rows:
+                    yield pack(ids, tags, parts, blocks)
+                    parts, blocks, held = [], [], 0
+
+    def pack(ids, tags, parts, blocks) -> pa.RecordBatch:
+        key, row, start, size = (np.concatenate(c) for c in zip(*parts))
+        doc, block = ids[row], pa.concat_arrays(blocks)
+        code = block.dictionary_encode().indices.to_numpy()
+        travels = doc <= _least_by(code, doc)[code]
+        # Covered blocks need no meeting: spread by place, they make no bucket hot.
+        key = np.where(travels, key, mix(doc.astype(np.uint64) + start.astype(np.uint64)))
+        text = pc.if_else(pa.array(travels), block.cast(pa.binary()), pa.scalar(None, pa.binary()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array((key >> np.uint64(33)).astype(np.int32)), pa.array(doc),
+             pa.array(tags[row]), pa.array(start), pa.array(size.astype(np.int32)), text],
+            names=BLOCK_NAMES,
+        )
 
     return map_batches(docs, run, BLOCK_SCHEMA)
 
