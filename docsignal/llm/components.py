@@ -12,12 +12,12 @@ def components(edges: DataFrame) -> DataFrame:
 
     In each round a node joins its neighbour of least hash if that is less than its own, edges move
     to the joined nodes, and loops and repeats go.  With hashed priorities the number of edges falls
-    by a constant factor a round whatever the shape (chains too); a star takes two.  Every round is
-    written, so lineage stays short.
+    by a constant factor a round whatever the shape (chains too); a star takes two.  Every round's
+    joins and edges are written, so lineage stays short; at the end nodes follow the joins in turn.
     """
     edges = materialize(_clean(edges.select("a", "b")), "cc-edges")
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    labels = materialize(nodes.withColumn("label", F.col("node")), "cc-labels")
+    labels = nodes.withColumn("label", F.col("node"))
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
         least = F.min(F.struct(F.xxhash64("b").alias("h"), F.col("b").alias("id"))).alias("m")
@@ -28,7 +28,7 @@ def components(edges: DataFrame) -> DataFrame:
             .select(F.col("a").alias("old"), F.col("m.id").alias("new"))
         )
         joins = materialize(joins, "cc-joins")
-        labels = materialize(_renamed(labels, joins, "label"), "cc-labels")
+        labels = _renamed(labels, joins, "label")
         edges = materialize(_clean(_renamed(_renamed(edges, joins, "a"), joins, "b")), "cc-edges")
     least = labels.groupBy("label").agg(F.min("node").alias("component"))
     return labels.join(least, "label").select("node", "component")

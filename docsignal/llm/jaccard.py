@@ -5,8 +5,9 @@ first ``n - ceil(4n/5) + 1`` shingles of each in any fixed order of all shingles
 rarest first (by a counting sketch of fixed size over all documents, ties by hash), so passages that
 many documents share come last and tiles stay small.
 
-More is asked of each class before it takes part: with a prefix longer by ``n // 20`` shingles, two
-linked classes share more than ``n // 25`` of them, so a class with fewer shared ones has no link.
+More is asked of each class before it takes part: with a prefix longer by ``n // 5`` shingles, two
+linked classes share more than ``4 n // 25`` of them, so a class with fewer shared ones has no link.
+Shingles that meet by chance, of which a larger corpus has more, are thereby left out.
 
 A *tile* holds the classes of one size band that share such a shingle.  Each class carries a bitmap
 signature: bit ``h mod width`` is the parity of the shingles hashed there.  Every bit in which two
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from docsignal.llm.common import (
     PrefixHash, ascii_lower, key_back, key_bitmap, key_column, map_batches, materialize, maybe_in,
@@ -43,6 +44,7 @@ SKETCH_BITS, SKETCH_BLOCK = 20, 4096
 BLOCK = 2048  # classes of a tile compared in one task
 MEMBERS = 2000  # texts verified against one class in one task
 
+FOREST_TILES = 6
 FOREST_PAIRS = 1 << 20  # pairs held by a task before they are thinned to a forest
 
 PASS_SCHEMA = "doc_id long, cls long, n long, block int, counts binary"
@@ -99,8 +101,8 @@ def signature(own: np.ndarray) -> np.ndarray:
 
 
 def prefix_length(n: int) -> int:
-    """Length of the prefix in which linked sets share more than ``n // 25`` shingles."""
-    return n - (4 * n + 4) // 5 + 1 + n // 20 if n else 0
+    """Length of the prefix in which linked sets share more than ``4 n // 25`` shingles."""
+    return n - (4 * n + 4) // 5 + 1 + n // 5 if n else 0
 
 
 def fold(words: np.ndarray, to: int) -> np.ndarray:
@@ -282,10 +284,18 @@ def _tile_rows(token, cls, n) -> pa.RecordBatch:
 
 
 def enough_shared(tiles: DataFrame) -> DataFrame:
-    """The tile rows of the classes that share enough of their prefix to have a link at all."""
-    counts = tiles.groupBy("cls").agg(F.count("*").alias("shared"), F.first("n").alias("size"))
-    able = counts.where("shared > cast(floor(size / 25) as long)").select("cls")
-    return tiles.join(able, "cls").select("token", "cls", "n")
+    """The tile rows of the classes that share enough of their prefix to have a link at all.
+
+    Asked twice: shingles shared only with classes that went the first time count no more.
+    """
+    for again in (False, True):
+        if again:
+            tokens = tiles.groupBy("token").agg(F.count("*").alias("members"))
+            tiles = tiles.join(tokens.where("members > 1").select("token"), "token")
+        counts = tiles.groupBy("cls").agg(F.count("*").alias("shared"), F.first("n").alias("size"))
+        able = counts.where("shared > cast(floor(4 * size / 25) as long)").select("cls")
+        tiles = materialize(tiles.join(able, "cls").select("token", "cls", "n"), "jaccard-tiles")
+    return tiles
 
 
 def some_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -391,9 +401,14 @@ def differing_bits(a: _Signatures, i: np.ndarray, b: _Signatures, j: np.ndarray)
 def cross_pairs(tiles: DataFrame, bits: DataFrame, comps: DataFrame, forest: bool) -> DataFrame:
     """Pairs of classes of one token but of different components that may link.
 
-    With ``forest`` a task returns only as many of the closest as join what they can join.  A tile of more than ``BLOCK`` classes is cut into blocks; each task compares two blocks, so no
+    With ``forest`` a task returns only as many of the closest as join what they can join, and each
+    class is looked at in ``FOREST_TILES`` of its tiles (those of least hash, so like sets meet);
+    that only helps, since a pass over all tiles without ``forest`` follows.  A tile of more than ``BLOCK`` classes is cut into blocks; each task compares two blocks, so no
     tile has to fit into one task.
     """
+    if forest:
+        least = Window.partitionBy("cls").orderBy(F.xxhash64("token"), "token")
+        tiles = tiles.withColumn("at", F.row_number().over(least)).where(F.col("at") <= FOREST_TILES)
     rows = tiles.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "comp", F.coalesce("component", "cls")
     )
@@ -562,13 +577,13 @@ def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "tex
         "jaccard-classes",
     )
     tiles = materialize(shared_only(postings(docs, sketch_of(summary))), "jaccard-shared")
-    tiles = materialize(enough_shared(tiles), "jaccard-tiles")
+    tiles = enough_shared(tiles)
     bits = materialize(
         signatures(docs, tiles.select("cls").distinct().join(classes, "cls")), "jaccard-signatures"
     )
 
     def decide(pairs: DataFrame) -> DataFrame:
-        return materialize(verified(materialize(pairs, "jaccard-pairs"), docs, classes), "jaccard-links")
+        return materialize(verified(pairs, docs, classes), "jaccard-links")
 
     tested = materialize(signed(star_pairs(tiles), bits), "jaccard-star")
     links = decide(tested)
