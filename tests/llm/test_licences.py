@@ -68,6 +68,81 @@ def test_windows_cover_every_word_and_stay_in_lines():
     assert seen.all()
 
 
+# Wrapped as they stand in source files; none is a template.
+WRAPPED = [
+    ("mit", """The MIT License (MIT)
+
+Copyright (c) 2019 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""),
+    ("mit", """The above copyright notice and this permission notice shall be included in
+all copies or substantial portions of the Software."""),
+    ("gpl", """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""),
+    ("lgpl", """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""),
+    ("agpl", """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as published by
+the Free Software Foundation, either version 3 of the License."""),
+    ("bsd", """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""),
+    ("bsd", """Neither the name of the copyright holder nor the names of its
+contributors may be used to endorse or promote products derived from
+this software without specific prior written permission."""),
+    ("apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at"""),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above"""),
+    ("mit", "The code in this folder is available under the terms of\nthe MIT License; see COPYING."),
+    ("gpl", "You should have received a copy of the GNU General Public\nLicense along with this program."),
+]
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * "])
+def test_wrapped_notices_are_found(spark, model, mark):
+    rows, wanted = [], {}
+    for i, (family, notice) in enumerate(WRAPPED):
+        before, after = (" ".join(words(i + n, 40, 3000)) for n in (100, 200))
+        marked = "\n".join(mark + line for line in notice.split("\n"))
+        rows.append((i, f"{before}\n\n{marked}\n\n{after}"))
+        wanted[i] = [family]
+    got = families(licences.scan(documents(spark, rows), model))
+    assert {k: [f for f in v if f != "unknown"] for k, v in got.items()} == wanted
+
+
+def test_windows_cross_line_breaks_but_no_blank_line_and_no_document(spark, model):
+    cut = ["Permission is hereby granted, free of charge, to any person", "obtaining a copy of this software and associated documentation files"]
+    rows = [(1, "\n".join(cut)), (2, "\n\n".join(cut)), (3, cut[0]), (4, cut[1])]
+    got = families(licences.scan(documents(spark, rows).coalesce(1), model))
+    assert got[1] == ["mit"]
+    assert all("mit" not in got[k] for k in (2, 3, 4))
+
+
+def test_lines_around_a_notice_of_its_own_line_stay_ordinary(spark, model):
+    lines = [" ".join(words(i, 9, 3000)) for i in range(20)]
+    notice = "Released under the MIT License."
+    text = "\n".join([*lines[:10], notice, *lines[10:]])
+    spans = licences.scan(documents(spark, [(1, text)]), model).first().spans
+    assert [s.family for s in spans] == ["mit"] and notice[:-1] in text[spans[0].start : spans[0].end]
+
+
+def test_pieces_of_a_wrapped_notice_are_no_ordinary_training_lines(spark):
+    text = "\n".join([WRAPPED[2][1], *(" ".join(words(i, 9, 3000)) for i in range(40))])
+    rows = licences.training_rows(*licences.sample_lines(documents(spark, [(1, text)])))
+    ordinary = " ".join(t for t, c in rows if c == licences.NONE)
+    assert ordinary and "Free Software" not in ordinary
+
+
 def test_edges(spark, model):
     rows = edge_rows()
     found = licences.scan(documents(spark, rows, clashing=True), model).collect()
