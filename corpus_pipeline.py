@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages over ``documents``, each written as Parquet and read again.
 
-1. language: documents whose text has no letters, or of which no learned language covers even
-   ``LEAST_SHARE`` of the words, go.
+1. language: documents whose language is undetermined (no letters, or nothing learned) go; mixtures
+   stay, however small the share of their first language.
 2. exact: of equal texts the largest doc_id stays.
 3. near: of each group of near copies the smallest doc_id stays.
 4. passages: bytes of passages that a document with a smaller doc_id also has are cut out.
@@ -25,7 +25,7 @@ from docsignal.llm.common import read
 from docsignal.session import checkpoint_root
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-LEAST_SHARE = 0.3
+LEAST_SHARE = 0.0  # a clean document in many languages has a small share of each
 
 
 def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -37,8 +37,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Identify languages by what the held-in documents of this stage teach; undetermined ones go."""
     model = langid.learn(docs.where(~langid.held_out()))
     verdicts = langid.predict(docs.select(*COLUMNS), model, carry=COLUMNS[1:])
-    good = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SHARE)
-    return verdicts.where(good).select(*COLUMNS)
+    return verdicts.where(F.col("lang_pred") != langid.UNDETERMINED).select(*COLUMNS)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

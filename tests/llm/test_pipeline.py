@@ -2,6 +2,7 @@ import collections
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 import test_exact as exact_tests
 import test_jaccard as jaccard_tests
@@ -39,6 +40,18 @@ def test_language(spark, stages):
     assert set(stages["language"]) <= set(stages["input"])
 
 
+def test_language_keeps_documents_in_many_languages(spark):
+    docs = read(spark, "/root/testdata/sf0.01", "documents")
+    one = {r.lang: r.text[:1200] for r in docs.where("length(text) > 1500").orderBy("doc_id").collect()}
+    assert len(one) == 4
+    every = documents(spark, [(-1, "\n".join(one.values())), (-2, "12345 --- !!!")])
+    # The same language under four regional labels: no label has a large share.
+    english = docs.where("lang = 'en' and length(text) > 400").withColumn("lang", F.concat(F.lit("en-"), (F.col("doc_id") % 4).cast("string")))
+    mixed = corpus_pipeline.language(spark, docs.unionByName(every), "")
+    assert {r.doc_id for r in mixed.where("doc_id < 0").collect()} == {-1}
+    assert corpus_pipeline.language(spark, english, "").count() == english.count()
+
+
 def test_exact(stages):
     want = {r[0] for r in exact_tests.plain(pairs(stages["language"])) if r[3]}
     assert sorted(r.doc_id for r in stages["exact"]) == sorted(want)
