@@ -129,6 +129,19 @@ def estimate(
     return weights, np.add.reduceat(np.log(total), first)
 
 
+def most_likely(
+    likelihood: np.ndarray, first: np.ndarray, size: np.ndarray, weights: np.ndarray, value: np.ndarray
+) -> np.ndarray:
+    """An upper bound of each document's log-likelihood over all proportions.
+
+    ``value`` is the log-likelihood at ``weights``.  By Jensen's inequality no proportions exceed it by
+    more than the log of the largest mean ratio of a language's likelihood to the mixture's, a word.
+    """
+    mixture = (likelihood * np.repeat(weights, size, axis=0)).sum(axis=1, keepdims=True)
+    ratio = np.add.reduceat(likelihood / mixture, first, axis=0).max(axis=1) / size
+    return value + size * np.log(np.maximum(ratio, 1.0))
+
+
 def infer(words: np.ndarray, row: np.ndarray, rows: int, penalty: float) -> tuple[np.ndarray, np.ndarray]:
     """``(proportions, chosen)`` of each row from its words' log-likelihoods (rows x languages).
 
@@ -143,6 +156,8 @@ def infer(words: np.ndarray, row: np.ndarray, rows: int, penalty: float) -> tupl
     likelihood = np.maximum(np.exp(words - scale), 1e-30)
     even = np.full((len(docs), languages), 1.0 / languages)
     weights, full = estimate(likelihood, first, size, even)
+    # The estimate need not have converged, so it is no bound itself.
+    full = most_likely(likelihood, first, size, weights, full)
     order = np.argsort(-weights, axis=1, kind="stable")
     alone = np.add.reduceat(words - scale, first, axis=0)
     best_one = order[:, 0]

@@ -65,6 +65,24 @@ def test_estimate_equals_plain_expectation_maximisation():
         assert np.allclose(got[d], w) and np.isclose(value[d], np.log((own * w).sum(1)).sum())
 
 
+def test_a_larger_set_is_not_left_out_for_an_estimate_that_has_not_converged():
+    words = np.full((200, 102), np.log(0.6))
+    words[:100, 0], words[100:, 0] = 0.0, np.log(0.4)
+    words[:100, 1], words[100:, 1] = np.log(0.4), 0.0
+    proportions, chosen = langid.infer(words, np.zeros(200, int), 1, langid.PENALTY)
+    assert np.flatnonzero(chosen[0]).tolist() == [0, 1] and np.allclose(proportions[0, :2], 0.5)
+
+
+def test_the_bound_holds_for_converged_estimates():
+    rng = np.random.default_rng(3)
+    likelihood, size, first = rng.random((60, 8)), np.array([20, 40]), np.array([0, 20])
+    even = np.full((2, 8), 1 / 8)
+    weights, value = langid.estimate(likelihood, first, size, even)
+    _, converged = langid.estimate(likelihood, first, size, even, 5000)
+    bound = langid.most_likely(likelihood, first, size, weights, value)
+    assert (value < converged).all() and (converged <= bound + 1e-9).all()
+
+
 def test_edges(spark, model):
     rows = edge_rows()
     found = langid.predict(documents(spark, rows, clashing=True), model).collect()
