@@ -24,7 +24,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def as_dicts(df, key="doc_id"):
-    return {r[key]: r.asDict(recursive=True) for r in df.collect()}

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import as_dicts
+from frames import as_dicts
 from pyspark.sql import Window, functions as F
 
 from docsignal.operators import folds, metrics, reports

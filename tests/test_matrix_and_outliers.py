@@ -1,7 +1,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import as_dicts
+from frames import as_dicts
 from pyspark.sql import functions as F
 
 from docsignal.operators import matrix as M

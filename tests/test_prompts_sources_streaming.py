@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import as_dicts
+from frames import as_dicts
 from pyspark.sql import functions as F
 
 from docsignal.functions.numeric import coerce_features, recode, round_numbers, rounded_text
