@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docsignal.llm import chat, exact, jaccard, langid, licences, packing, pieces, rules, suffixes, warc
+from docsignal.llm import chat, exact, jaccard, langid, licences, packing, periodic, pieces, rules, suffixes, warc
 from docsignal.llm.common import read
 
 
@@ -87,6 +87,11 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.planted(read(spark, sf_dir, "documents"))
+    return periodic.digests(periodic.find_runs(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
@@ -98,4 +103,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_licences": op10_licences,
+    "op11_periodic_runs": op11_periodic_runs,
 }

@@ -6,7 +6,7 @@ entry = importlib.import_module("__spark_entry__")
 check = importlib.import_module("check_queries")
 
 SF = "/root/testdata/sf0.001"
-EVERY = ["op1_", "op2_", "op3_", "op4_", "op5_", "op6_", "op7_", "op8_", "op9_", "op10_"]
+EVERY = [f"op{n}_" for n in range(1, 12)]
 
 
 def test_all_are_registered():
