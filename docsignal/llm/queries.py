@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docsignal.llm import chat, exact, jaccard, langid, licences, packing, periodic, pieces, rules, suffixes, warc
+from docsignal.llm import chat, exact, fingerprints, jaccard, langid, licences, packing, periodic, pieces, rules, suffixes, warc
 from docsignal.llm.common import read
 
 
@@ -92,6 +92,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(periodic.find_runs(docs))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.compare_edited(read(spark, sf_dir, "documents"))
+    return found.withColumns(
+        {c: fingerprints.hexadecimal(c) for c in ("fingerprint", "edited_fingerprint")}
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
@@ -104,4 +111,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_licences": op10_licences,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_fingerprints": op12_fingerprints,
 }

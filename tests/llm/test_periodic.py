@@ -13,20 +13,14 @@ from docsignal.llm.queries import op11_periodic_runs
 def plain_runs(w):
     """Runs by definition: every stretch of every period, smallest period first."""
     seen, out = set(), []
+    ids = np.unique(w, return_inverse=True)[1] if len(w) else np.zeros(0)
     for q in range(1, len(w) // 3 + 1):
-        i = 0
-        while i + q < len(w):
-            if w[i] != w[i + q]:
-                i += 1
-                continue
-            j = i
-            while j + q < len(w) and w[j] == w[j + q]:
-                j += 1
-            start, end = i, j + q
+        equal = np.concatenate([[False], ids[:-q] == ids[q:], [False]]).astype(int)
+        edges = np.flatnonzero(np.diff(equal))
+        for start, end in zip(edges[::2].tolist(), (edges[1::2] + q).tolist()):
             if end - start >= max(24, 3 * q) and (start, end) not in seen:
                 seen.add((start, end))
                 out.append((start, end - start, q))
-            i = j + 1
     return sorted(out, key=lambda r: (r[0], r[2]))
 
 
