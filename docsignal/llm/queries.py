@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docsignal.llm import chat, exact, fingerprints, jaccard, langid, licences, packing, periodic, pieces, rules, suffixes, warc
+from docsignal.llm import chat, exact, fingerprints, jaccard, langid, licences, packing, periodic, pieces, rules, search, suffixes, warc
 from docsignal.llm.common import read
 
 
@@ -99,6 +99,11 @@ def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = search.index_documents(read(spark, sf_dir, "documents"))
+    return search.search(index, read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
@@ -112,4 +117,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_licences": op10_licences,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_fingerprints": op12_fingerprints,
+    "op13_ranked_search": op13_ranked_search,
 }

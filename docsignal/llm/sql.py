@@ -47,4 +47,32 @@ ORACLES = {
                doc_id = max(doc_id) over same as kept, sha256(norm) as text_sha256
         from t window same as (partition by norm)
     """,
+    "op13_ranked_search": r"""
+        with d as (
+          select row_number() over () as r, doc_id, regexp_extract_all(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[0-9a-z\x{80}-\x{10FFFF}]+') as terms
+          from documents),
+        x as (select r, doc_id, unnest(terms) as term from d),
+        f as (select r, doc_id, term, count(*) as tf from x group by all),
+        l as (select r, count(*) as n_terms from x group by r),
+        c as (select count(*) as n_docs, sum(n_terms)::bigint as n_all from l),
+        q as (
+          select distinct item_id, unnest(regexp_extract_all(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[0-9a-z\x{80}-\x{10FFFF}]+')) as term
+          from benchmark),
+        w as (
+          select term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::bigint as weight
+          from f, c where term in (select term from q) group by term, n_docs),
+        s as (
+          select item_id, r, doc_id, sum(weight * ((1000000000 * tf)
+                   // (1000 * tf + 8 * (100 - 90 + (90 * n_terms * n_docs) // n_all))))::bigint as score
+          from q join f using (term) join w using (term) join l using (r), c
+          group by item_id, r, doc_id),
+        o as (
+          select *, row_number() over (partition by item_id order by score desc, doc_id) as rank
+          from s where score > 0)
+        select item_id, rank::int as rank, doc_id, score from o where rank <= 10
+    """,
 }

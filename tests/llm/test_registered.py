@@ -6,7 +6,7 @@ entry = importlib.import_module("__spark_entry__")
 check = importlib.import_module("check_queries")
 
 SF = "/root/testdata/sf0.001"
-EVERY = [f"op{n}_" for n in range(1, 13)]
+EVERY = [f"op{n}_" for n in range(1, 14)]
 
 
 def test_all_are_registered():
