@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from docsignal.llm.common import LOWER, UPPER, key_back, key_column, materialize
 
 SHINGLE = 5
-BINS_LOG, BITS = 9, 4
-PROBES = 12
+BINS_LOG, BITS = 8, 4
+PROBES = 32
 WORD_BREAK = "[\\x20\\x09-\\x0D]+"
 
 
@@ -46,13 +46,9 @@ def _by_bin(hashes: str, bins_log: int) -> Column:
 
 
 def _least(by_bin: str, bins_log: int) -> Column:
-    """For every bin the first hash in it, or NULL if that is the end mark."""
-    shift = 64 - bins_log
-    low = F.lit((1 << shift) - 1)
-    first = F.filter(
-        by_bin,
-        lambda h, i: (i == 0) | (F.shiftright(h, shift) != F.shiftright(F.get(by_bin, i - 1), shift)),
-    )
+    """For every bin the hash after the end mark before, or NULL if that is an end mark too."""
+    low = F.lit((1 << (64 - bins_log)) - 1)
+    first = F.filter(by_bin, lambda h, i: (i == 0) | (F.get(by_bin, i - 1).bitwiseAND(low) == low))
     return F.transform(first, lambda h: F.when(h.bitwiseAND(low) != low, h))
 
 
@@ -61,8 +57,8 @@ def _densified(least: str, filled: str, bins_log: int) -> Column:
     bins, shift = 1 << bins_log, 64 - bins_log
 
     def value(h: Column, i: Column) -> Column:
-        draws = [F.pmod(F.xxhash64(i.cast("long"), F.lit(n)), F.lit(bins)) for n in range(PROBES)]
-        asked = [F.get(least, draw.cast("int")) for draw in draws]  # looked up one after the other
+        draws = [F.hash(i, F.lit(n)).bitwiseAND(F.lit(bins - 1)) for n in range(PROBES)]
+        asked = [F.get(least, draw) for draw in draws]  # looked up one after the other
         ranked = F.transform(
             filled, lambda v: F.struct(F.xxhash64(F.shiftright(v, shift), i).alias("r"), v.alias("v"))
         )
@@ -71,11 +67,15 @@ def _densified(least: str, filled: str, bins_log: int) -> Column:
     return F.transform(least, value)
 
 
-def _packed(values: str, bins_log: int, bits: int) -> Column:
-    """``bits`` low bits of the hash of (value, bin), 64 / bits bins to a long."""
-    each = 64 // bits
+def _low_bits(values: str, bits: int) -> Column:
+    """``bits`` low bits of the hash of (value, bin)."""
     mask = F.lit((1 << bits) - 1).cast("long")
-    low = F.transform(values, lambda v, i: F.xxhash64(v, i.cast("long")).bitwiseAND(mask))
+    return F.transform(values, lambda v, i: F.xxhash64(v, i).bitwiseAND(mask))
+
+
+def _packed(low: str, bins_log: int, bits: int) -> Column:
+    """The low bits of 64 / bits bins to a long."""
+    each = 64 // bits
     return F.transform(
         F.sequence(F.lit(0), F.lit((1 << bins_log) // each - 1)),
         lambda n: F.aggregate(
@@ -96,8 +96,8 @@ def with_fingerprint(
     """
     if bits not in (1, 2, 4, 8) or bits << bins_log < 64:
         raise ValueError("bits must be 1, 2, 4 or 8, and the bins must fill a long")
-    steps = [f"{name}__{n}" for n in ("words", "shingles", "by_bin", "least", "filled", "dense")]
-    words, shingles, by_bin, least, filled, dense = steps
+    steps = [f"{name}__{n}" for n in ("words", "shingles", "by_bin", "least", "filled", "dense", "low")]
+    words, shingles, by_bin, least, filled, dense, low = steps
     lower = F.translate(F.coalesce(F.col(f"`{text}`"), F.lit("")), UPPER, LOWER)
     split = F.array_remove(F.split(lower, WORD_BREAK), "")
     rows = rows.withColumn(words, F.transform(split, lambda w: F.xxhash64(w)))
@@ -106,8 +106,9 @@ def with_fingerprint(
     rows = rows.withColumn(least, _least(by_bin, bins_log))
     rows = rows.withColumn(filled, F.filter(least, lambda h: h.isNotNull()))
     rows = rows.withColumn(dense, _densified(least, filled, bins_log))
+    rows = rows.withColumn(low, _low_bits(dense, bits))
     none = F.array().cast("array<bigint>")
-    packed = F.when(F.col(dense).isNull(), none).otherwise(_packed(dense, bins_log, bits))
+    packed = F.when(F.col(low).isNull(), none).otherwise(_packed(low, bins_log, bits))
     return rows.withColumn(name, packed).drop(*steps)
 
 
