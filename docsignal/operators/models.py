@@ -11,12 +11,11 @@ from typing import Any
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml.classification import (
-    GBTClassificationModel, GBTClassifier, RandomForestClassificationModel, RandomForestClassifier,
-)
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from docsignal.operators.boosting import BoostedModel, Boosting, fit_boosted
 from docsignal.operators.folds import stratified_folds
 from docsignal.operators.matrix import Scaler, as_double_array, fit_fold_scalers
 from docsignal.operators.metrics import METRIC_NAMES, binary_metrics
@@ -158,16 +157,19 @@ def _search_svm(folded, model_type, points, n_splits, class_weight):
 
 
 def _search_trees(folded, model_type, points, n_splits, class_weight):
-    """Independent Spark ML fits, a few submitted at a time from the driver."""
-    vectors = with_vectors(folded).persist(StorageLevel.MEMORY_AND_DISK)
-    vectors.count()
+    """Independent fits, a few submitted at a time from the driver."""
+    frame = folded if model_type == "xgboost" else with_vectors(folded)
+    frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    frame.count()
 
     def one(job: tuple[int, int]) -> tuple[int, int, float, float]:
         idx, fold = job
-        train = vectors.where(F.col("fold") != fold)
-        model = fit_tree(train, model_type, points[idx], class_weight)
-        held = predict_tree(model, vectors.where(F.col("fold") == fold), ())
-        score = binary_metrics(held).first()
+        train, held = frame.where(F.col("fold") != fold), frame.where(F.col("fold") == fold)
+        if model_type == "xgboost":
+            said = fit_boosted(train, tree_estimator(model_type, points[idx])).predict(held, ())
+        else:
+            said = predict_tree(fit_tree(train, points[idx], class_weight), held, ())
+        score = binary_metrics(said).first()
         return idx, fold, score.accuracy, score.f1
 
     jobs = [(i, f) for i in range(len(points)) for f in range(n_splits)]
@@ -175,7 +177,7 @@ def _search_trees(folded, model_type, points, n_splits, class_weight):
         with ThreadPoolExecutor(PARALLEL_FITS) as pool:
             return list(pool.map(one, jobs))
     finally:
-        vectors.unpersist()
+        frame.unpersist()
 
 
 def with_vectors(df: DataFrame) -> DataFrame:
@@ -185,32 +187,33 @@ def with_vectors(df: DataFrame) -> DataFrame:
 
 
 def tree_estimator(model_type: str, point: Mapping[str, Any], seed: int = SEED):
-    """Spark ML estimator of a grid point; trees need no scaling."""
+    """What fits a grid point: a Spark ML forest, or the settings of a booster; trees need no scaling."""
     depth = point["max_depth"]
     if depth is not None and int(depth) > UNLIMITED_DEPTH:
-        raise ValueError(f"max_depth {depth} is beyond Spark's deepest tree ({UNLIMITED_DEPTH})")
-    depth = UNLIMITED_DEPTH if depth is None else int(depth)
-    common = {"featuresCol": "features", "labelCol": "label", "maxDepth": depth, "seed": seed}
-    if model_type == "random_forest":
-        return RandomForestClassifier(
-            numTrees=int(point["n_estimators"]),
-            minInstancesPerNode=int(point["min_samples_leaf"]),
-            maxMemoryInMB=1024,
-            **common,
+        raise ValueError(f"max_depth {depth} is beyond the deepest tree ({UNLIMITED_DEPTH})")
+    if model_type == "xgboost":
+        return Boosting(
+            rounds=int(point["n_estimators"]),
+            max_depth=depth,
+            learning_rate=float(point["learning_rate"]),
+            subsample=float(point["subsample"]),
+            seed=seed,
         )
-    return GBTClassifier(
-        maxIter=int(point["n_estimators"]),
-        stepSize=float(point["learning_rate"]),
-        subsamplingRate=float(point["subsample"]),
+    return RandomForestClassifier(
+        featuresCol="features",
+        labelCol="label",
+        maxDepth=UNLIMITED_DEPTH if depth is None else int(depth),
+        seed=seed,
+        numTrees=int(point["n_estimators"]),
+        minInstancesPerNode=int(point["min_samples_leaf"]),
         maxMemoryInMB=1024,
-        **common,
     )
 
 
-def fit_tree(train: DataFrame, model_type: str, point: Mapping[str, Any], class_weight=None):
-    """Fit on a frame that already holds vectors."""
-    estimator = tree_estimator(model_type, point)
-    if class_weight == "balanced" and model_type == "random_forest":
+def fit_tree(train: DataFrame, point: Mapping[str, Any], class_weight=None) -> RandomForestClassificationModel:
+    """Fit a forest on a frame that already holds vectors."""
+    estimator = tree_estimator("random_forest", point)
+    if class_weight == "balanced":
         w0, w1 = balanced_weights(train)
         train = train.withColumn("_weight", F.when(F.col("label") == 1, w1).otherwise(w0))
         estimator = estimator.setWeightCol("_weight")
@@ -234,7 +237,7 @@ class FittedModel:
     inner: Any
 
     def predict(self, df: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
-        if isinstance(self.inner, LinearModel):
+        if isinstance(self.inner, LinearModel | BoostedModel):
             return self.inner.predict(df, keys)
         return predict_tree(self.inner, with_vectors(df), keys)
 
@@ -242,6 +245,8 @@ class FittedModel:
         """``("coefficient" | "importance", values)``; a kernel model has none."""
         if isinstance(self.inner, LinearModel):
             return None if self.inner.task.lift else ("coefficient", self.inner.full_coefficients())
+        if isinstance(self.inner, BoostedModel):
+            return "importance", self.inner.importances()
         return "importance", self.inner.featureImportances.toArray()
 
     def weights_table(self, spark: SparkSession, names: Sequence[str]) -> DataFrame:
@@ -260,6 +265,9 @@ class FittedModel:
         kind = [(self.model_type, json.dumps(self.params))]
         kinds = spark.createDataFrame(kind, "model_type string, params string")
         kinds.coalesce(1).write.mode("overwrite").parquet(f"{path}/kind")
+        if isinstance(self.inner, BoostedModel):
+            self.inner.save(spark, f"{path}/model")
+            return
         if not isinstance(self.inner, LinearModel):
             self.inner.write().overwrite().save(f"{path}/model")
             return
@@ -287,7 +295,7 @@ def load_model(spark: SparkSession, path: str) -> FittedModel:
     if kind.model_type == "random_forest":
         inner = RandomForestClassificationModel.load(f"{path}/model")
     elif kind.model_type == "xgboost":
-        inner = GBTClassificationModel.load(f"{path}/model")
+        inner = BoostedModel.load(spark, f"{path}/model")
     else:
         inner = _load_linear(spark, f"{path}/model")
     return FittedModel(kind.model_type, params, inner)
@@ -311,10 +319,12 @@ def fit_final(
 ) -> FittedModel:
     """Fit one parameter point on all rows given (usually train + val)."""
     check_weight(class_weight)
-    if model_type in ("random_forest", "xgboost"):
+    if model_type == "xgboost":
+        return FittedModel(model_type, dict(params), fit_boosted(df, tree_estimator(model_type, params)))
+    if model_type == "random_forest":
         vectors = with_vectors(as_double_array(df)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            inner = fit_tree(vectors, model_type, params, class_weight)
+            inner = fit_tree(vectors, params, class_weight)
         finally:
             vectors.unpersist()
         return FittedModel(model_type, dict(params), inner)

@@ -10,7 +10,7 @@ from docsignal.functions import text as T
 from docsignal.functions.lookup import constant
 from docsignal.functions.numeric import coerce_features, recode
 from docsignal.functions.sentiment import DEMO_LEXICON, read_lexicon, with_sentiment
-from docsignal.operators import folds, frame, metrics, models, outliers, prompts, reports, svm, tuning
+from docsignal.operators import boosting, folds, frame, metrics, models, outliers, prompts, reports, svm, tuning
 from docsignal.operators.knn import knn_distances, knn_score
 from docsignal.operators.matrix import (
     Scaler, as_double_array, covariance, fit_scaler, gram_sums, ledoit_wolf, scale,
@@ -762,6 +762,18 @@ def boosted_fit(spark: SparkSession, sf: str) -> DataFrame:
     return _fit(spark, sf, "xgboost", params)
 
 
+@register
+def boosted_first_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """The first split of every column for returned lines: quantity, discount and tax."""
+    columns = ("l_quantity", "l_discount", "l_tax")
+    lines = read_table(spark, sf, "lineitem").select(
+        F.array(*(F.col(c).cast("double") for c in columns)).alias("features"),
+        (F.col("l_returnflag") == "R").cast("int").alias("label"),
+    )
+    found = boosting.first_splits(lines, boosting.Boosting(learning_rate=0.1))
+    return rounded(found, "gain", "left_value", "right_value")
+
+
 @register
 def grid_search(spark: SparkSession, sf: str) -> DataFrame:
     prepared = prepared_corpus(spark, sf)

@@ -657,6 +657,19 @@ ORDER BY log.mean_acc DESC, trial_number LIMIT 1""",
     "rbf_checks": _checks(),
     "forest_checks": _checks(*TREE_CHECKS),
     "boosted_checks": _checks(*TREE_CHECKS),
+    "boosted_first_splits": """
+WITH r AS (SELECT unnest([0, 1, 2]) AS feature,
+    unnest([l_quantity::DOUBLE, l_discount::DOUBLE, l_tax::DOUBLE]) AS v,
+    0.5::DOUBLE - (l_returnflag = 'R')::INT AS g FROM lineitem),
+s AS (SELECT feature, v, sum(g) AS g, 0.25::DOUBLE * count(*) AS h FROM r GROUP BY feature, v),
+c AS (SELECT feature, v, sum(g) OVER below AS gl, sum(h) OVER below AS hl,
+    sum(g) OVER (PARTITION BY feature) AS g, sum(h) OVER (PARTITION BY feature) AS h
+  FROM s WINDOW below AS (PARTITION BY feature ORDER BY v)),
+k AS (SELECT *, gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1) AS gain
+  FROM c WHERE hl >= 1 AND h - hl >= 1),
+b AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY gain DESC, v) AS rk FROM k)
+SELECT feature, v AS threshold, round(gain, 6) AS gain, round(-0.1 * gl / (hl + 1), 6) AS left_value,
+  round(-0.1 * (g - gl) / (h - hl + 1), 6) AS right_value FROM b WHERE rk = 1 AND gain > 0.000001""",
     "applied_trial": _with(*TRIALS)
     + "SELECT doc_id FROM masks WHERE trial_number = 1 AND combined_outlier = 0",
     "tuning_report": _with(*TRIAL_LOG)

@@ -286,3 +286,49 @@ def test_score_of_sorted_distances(spark):
         knn_score(F.col("distances"), 9).alias("c"),
     ).first()
     assert tuple(row) == (1.5, 6.0, 3.0)
+
+
+def test_line_search_sums_give_the_slopes_of_the_objective():
+    rng = np.random.default_rng(3)
+    z, y = rng.normal(size=(400, 6)), np.where(rng.random(400) < 0.5, 1.0, -1.0)
+    base, step, cost = rng.normal(size=6), 3 * rng.normal(size=6), rng.random(400)
+    cost[::50], z[::40] = 0.0, 0.0
+    slack, gain = 1 - y * (z @ base), y * (z @ step)
+    slopes = svm._slopes(base, step, svm._turns(slack, gain, cost))
+    for t, slope in zip(svm.EDGES, slopes):
+        w = base + t * step
+        left = np.maximum(slack - t * gain, 0)
+        assert slope == pytest.approx(w @ step - 2 * (cost * gain * left).sum(), rel=1e-9, abs=1e-7)
+    value = lambda t: 0.5 * ((base + t * step) ** 2).sum() + (cost * np.maximum(slack - t * gain, 0) ** 2).sum()
+    best = svm._lowest_in_memory(base @ step, step @ step, slack, gain, cost)
+    around = [value(t) for t in np.linspace(0, 3 * best + 1, 400)]
+    assert value(best) <= min(around) + 1e-9
+    if 0 < best < 1:
+        assert value(svm._lowest(slopes)) <= value(best) * 1.01
+
+
+def test_starts_and_the_path_of_c_leave_the_optimum_and_save_passes(spark, monkeypatch):
+    x, y = points(900, seed=12)
+    df = stratified_folds(frame(spark, x, y, 3), 3, 42, "doc_id")
+    tasks = [svm.Task(fold=f, c=c) for f in range(3) for c in (0.25, 1.0, 16.0)]
+    passes = []
+    sums = svm._step_sums
+    monkeypatch.setattr(svm, "_step_sums", lambda *a: passes.append(len(a[1])) or sums(*a))
+    whole = svm.fit_linear(df, tasks)
+    assert passes == [9]  # the sample is the whole table: one pass confirms it
+    passes.clear()
+    monkeypatch.setattr(svm, "SAMPLE_ROWS", 60)
+    part = svm.fit_linear(df, tasks)
+    assert 1 < len(passes) <= 30
+    for a, b in zip(whole, part):
+        assert a.coefficients == pytest.approx(b.coefficients, abs=1e-4)
+        assert a.intercept == pytest.approx(b.intercept, abs=1e-4)
+
+
+def test_a_better_optimum_of_a_smaller_c_is_taken_over():
+    ended = svm._State(np.zeros(2), np.array([1.0, 0.0]), np.zeros(2), loss=2.0, done=True)
+    going = svm._State(np.array([5.0, 5.0]), np.array([5.0, 5.0]), np.ones(2), value=9.0)
+    svm._offer(ended, going, 5.0)  # 0.5 + 10
+    assert going.weights.tolist() == [5.0, 5.0]
+    svm._offer(ended, going, 2.0)
+    assert going.weights.tolist() == [1.0, 0.0] and not going.pending.any()
