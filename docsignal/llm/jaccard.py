@@ -542,6 +542,8 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
                     if head != (a[i], part[i]) or set_digest(own) == a[i]:
                         head, own_head = (a[i], part[i]), own
                     continue
+                if set_digest(own) != b[i]:  # another text under the same key
+                    continue
                 common = len(np.intersect1d(own_head, own, assume_unique=True))
                 if head == (a[i], part[i]) and links(len(own_head), len(own), common):
                     out.append((a[i], b[i], common))

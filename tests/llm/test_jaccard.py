@@ -114,3 +114,14 @@ def test_components_of_chains_stars_and_loops(spark):
     of = {r.node: r.component for r in found.collect()}
     assert {of[i] for i in range(61)} == {0} and {of[i] for i in range(100, 160)} == {100}
     assert {of[i] for i in (201, 202, 203)} == {201} and 200 not in of
+
+
+def test_rows_of_one_key_with_other_texts(spark):
+    """A text just under the limit shares its key with a near copy of the same head."""
+    rows = []
+    for n in range(12):
+        base = words(1000 + n, 104, 10**6)
+        under = base[:92] + words(2000 + n, 12, 10**6)
+        near = base[:100] + words(3000 + n, 4, 10**6)
+        rows += [(10 * n, " ".join(base)), (10 * n + 1, " ".join(under)), (10 * n + 1, " ".join(near))]
+    assert got(jaccard.similarity_components(documents(spark, rows))) == plain(rows)
