@@ -35,7 +35,7 @@ from docsignal.llm.common import (
 )
 
 LENGTH, GRAM = 50, 16
-SLICE = 1 << 20
+SLICE, PACK = 1 << 20, 4 << 20  # bytes of text worked on at once, and packed into one batch of blocks
 CHUNK = 16_000  # blocks sorted at once in a task
 LIMIT = 1 << 15
 BITMAP_BITS = 27
@@ -132,7 +132,7 @@ def repeated(keys: DataFrame) -> DataFrame:
     return map_batches(keys.repartition("key").sortWithinPartitions("key"), run, "key long")
 
 
-BLOCK_SCHEMA = "key int, doc_id long, tag int, start long, size int, block binary"
+BLOCK_SCHEMA = "key int, doc_id long, tag long, start long, size int, block binary"
 
 
 def shared_blocks(docs: DataFrame, bitmap: np.ndarray, length: int, gram: int) -> DataFrame:
@@ -153,7 +153,7 @@ def shared_blocks(docs: DataFrame, bitmap: np.ndarray, length: int, gram: int) -
                 blocks.append(_cut_bytes(data, start, size))
                 parts.append((key, row + i, start - offsets[row], size))
                 held += len(data)
-                if held >= 8 * SLICE or j == batch.num_rows:
+                if held >= PACK or j == batch.num_rows:
                     yield pack(ids, tags, parts, blocks)
                     parts, blocks, held = [], [], 0
 
@@ -300,7 +300,7 @@ class Suffixes:
 
 # ---- buckets ------------------------------------------------------------------------------------
 
-SPAN_SCHEMA = "doc_id long, tag int, start long, end long, window binary"
+SPAN_SCHEMA = "doc_id long, tag long, start long, end long, window binary"
 SPAN_NAMES = ["doc_id", "tag", "start", "end", "window"]
 
 
@@ -325,9 +325,13 @@ def bucket_spans(blocks: DataFrame, length: int, limit: int = LIMIT) -> DataFram
                 key = waiting.column(0).to_numpy()
                 last = int(np.searchsorted(key, key[-1]))  # whole keys before the last one
                 if last == 0 or hot is not None:
-                    # One key fills the buffer.
-                    if hot is None and _different(waiting) > limit:
-                        hot = key[0]
+                    # One key fills the buffer: blocks that a smaller document holds too leave it.
+                    if hot is None:
+                        covered, waiting = _folded(waiting)
+                        yield _whole_blocks(covered)
+                        if _different(waiting) > limit:
+                            hot = key[0]
+                            key = waiting.column(0).to_numpy()
                     if hot is None:
                         break
                     stop = int(np.searchsorted(key, hot, "right"))
@@ -352,13 +356,21 @@ def bucket_spans(blocks: DataFrame, length: int, limit: int = LIMIT) -> DataFram
     return map_batches(dealt, run, SPAN_SCHEMA)
 
 
+def _folded(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+    """Blocks that stand in a smaller document of the batch as well, and the others."""
+    doc = batch.column(1).to_numpy()
+    code = batch.column(5).dictionary_encode().indices.to_numpy()
+    covered = pa.array(doc > _least_by(code, doc)[code])
+    return batch.filter(covered), batch.filter(pc.invert(covered))
+
+
 def _different(batch: pa.RecordBatch) -> int:
     return len(batch.column(5).dictionary_encode().dictionary)
 
 
 def _span_batch(doc, tag, start, end, window=None) -> pa.RecordBatch:
     window = pa.nulls(len(doc), pa.binary()) if window is None else window
-    columns = [pa.array(np.asarray(doc, np.int64)), pa.array(np.asarray(tag, np.int32))]
+    columns = [pa.array(np.asarray(doc, np.int64)), pa.array(np.asarray(tag, np.int64))]
     columns += [pa.array(np.asarray(c, np.int64)) for c in (start, end)]
     return pa.RecordBatch.from_arrays([*columns, window], names=SPAN_NAMES)
 
@@ -479,7 +491,7 @@ def remove_repeats(
     """
     docs = docs.select(
         key_column(key).alias("doc_id"),
-        F.xxhash64(f"`{text}`").bitwiseAND(0xFFFF).cast("int").alias("tag"),
+        F.xxhash64(f"`{text}`").alias("tag"),
         F.col(f"`{text}`").alias("text"),
         *[F.col(c).alias(f"carry_{c}") for c in carry],
     )

@@ -63,6 +63,48 @@ def test_hot_grams_and_small_chunks(spark, monkeypatch, limit, chunk):
     assert got(found) == plain(rows, 15)
 
 
+def test_a_hot_gram_of_equal_blocks_keeps_a_small_buffer(monkeypatch):
+    """Many copies of one block arrive in many batches; what waits stays small, all are covered."""
+    sizes, count = [], 200_000
+    folded = suffixes._folded
+    monkeypatch.setattr(suffixes, "CHUNK", 1000)
+    monkeypatch.setattr(suffixes, "_folded", lambda b: sizes.append(b.num_rows) or folded(b))
+    captured = {}
+    monkeypatch.setattr(suffixes, "map_batches", lambda df, run, schema: captured.setdefault("run", run))
+
+    class Rows:
+        def repartition(self, *_):
+            return self
+
+        sortWithinPartitions = repartition
+
+    suffixes.bucket_spans(Rows(), 5)
+    import pyarrow as pa
+
+    ids = np.random.default_rng(1).permutation(count)
+    batches = (
+        pa.RecordBatch.from_arrays(
+            [pa.array(np.zeros(2000, np.int32)), pa.array(ids[i : i + 2000]), pa.array(np.zeros(2000, np.int64)),
+             pa.array(np.zeros(2000, np.int64)), pa.array(np.full(2000, 6, np.int32)),
+             pa.array([b"abcdef", b"bcdefg"] * 1000)],
+            names=suffixes.BLOCK_NAMES,
+        )
+        for i in range(0, count, 2000)
+    )
+    spans = [(d, a, b) for out in captured["run"](batches) for d, a, b in zip(*(out.column(k).to_pylist() for k in (0, 2, 3)))]
+    assert max(sizes) < 5000 and len(sizes) >= 90
+    whole = {d for d, a, b in spans if (a, b) == (0, 6)}
+    left = [ids[0::2].min(), ids[1::2].min()]
+    assert whole == set(range(count)) - set(left)
+
+
+def test_rows_of_one_key_with_other_texts(spark):
+    passage = " ".join(words(5, 20, 10**6))
+    rows = [(1, passage)] + [(7, f"{i} {passage} {i}") for i in range(5)] + [(7, "nothing of it " * 9), (8, passage)]
+    rows += [(7, rows[1][1]), (7, None), (7, "x" + rows[6][1])]
+    assert got(suffixes.remove_repeats(documents(spark, rows))) == plain(rows, 50)
+
+
 def test_few_letters(spark):
     chance = random.Random(6)
     rows = [(i, "".join(chance.choice("ab") for _ in range(chance.randrange(0, 200)))) for i in range(30)]
