@@ -17,16 +17,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docsignal.operators.boosting import BoostedModel, Boosting, fit_boosted
 from docsignal.operators.folds import stratified_folds
-from docsignal.operators.matrix import Scaler, as_double_array, fit_fold_scalers
+from docsignal.operators.kernels import KernelMap, choose_basis
+from docsignal.operators.matrix import Scaler, as_double_array, fit_fold_scalers, fit_scaler
 from docsignal.operators.metrics import METRIC_NAMES, binary_metrics
 from docsignal.operators.svm import (
-    FourierMap, LinearModel, Task, balanced_weights, fit_linear, refit, validate_linear,
+    LinearModel, Task, balanced_weights, fit_linear, refit, validate_linear,
 )
 
 MODEL_TYPES = ("linear_svc", "svc_rbf", "random_forest", "xgboost")
 UNLIMITED_DEPTH = 30  # Spark's deepest tree
 PARALLEL_FITS = 4
-FOURIER_SIZE = 256
+KERNEL_RANK, KERNEL_TOLERANCE = 512, 1e-4  # most basis rows of an RBF model, and the error at which fewer do
 SEED = 0
 
 # Default grids.
@@ -124,9 +125,10 @@ def cv_search(
     return SearchResult(model_type, points, scores, class_weight)
 
 
-def fourier_map(d: int, point: Mapping[str, Any]) -> FourierMap:
-    """The feature map of an RBF grid point; ``fourier_size`` (default 256) sets its accuracy."""
-    return FourierMap.draw(d, point["gamma"], int(point.get("fourier_size") or FOURIER_SIZE))
+def kernel_basis(df: DataFrame, scaler: Scaler, point: Mapping[str, Any]):
+    """Basis rows of an RBF grid point; its ``rank`` and ``tolerance`` (0.0001) set the accuracy."""
+    rank = int(point.get("rank") or KERNEL_RANK)
+    return choose_basis(df, scaler, point["gamma"], rank, point.get("tolerance") or KERNEL_TOLERANCE)
 
 
 def check_weight(class_weight: str | None) -> None:
@@ -135,10 +137,14 @@ def check_weight(class_weight: str | None) -> None:
 
 
 def _search_svm(folded, model_type, points, n_splits, class_weight):
-    """All grid points and folds are fitted together, one data pass per Newton step."""
+    """All grid points and folds are fitted together, one data pass per Newton step.
+
+    Basis rows of a kernel are chosen once a gamma, from all folds (labels play no part in it); they
+    are scaled with each fold's own scaler.
+    """
     scalers = fit_fold_scalers(folded)
     tasks, at = [], []
-    lifts = {}
+    bases, lifts = {}, {}
     by_fold = {
         fold: balanced_weights(folded.where(F.col("fold") != fold)) if class_weight else (1.0, 1.0)
         for fold in range(n_splits)
@@ -147,9 +153,12 @@ def _search_svm(folded, model_type, points, n_splits, class_weight):
         for fold in range(n_splits):
             lift = None
             if model_type == "svc_rbf":
-                if point["gamma"] not in lifts:
-                    lifts[point["gamma"]] = fourier_map(len(scalers[None].mean), point)
-                lift = lifts[point["gamma"]]
+                gamma = point["gamma"]
+                if gamma not in bases:
+                    bases[gamma] = kernel_basis(folded, scalers[None], point)
+                if (gamma, fold) not in lifts:
+                    lifts[gamma, fold] = bases[gamma].map(scalers[fold], gamma)
+                lift = lifts[gamma, fold]
             tasks.append(Task(fold=fold, c=point["C"], weights=by_fold[fold], lift=lift))
             at.append((idx, fold))
     found = validate_linear(folded, fit_linear(folded, tasks, scalers))
@@ -277,13 +286,14 @@ class FittedModel:
             self.model_type, m.coefficients.tolist(), m.intercept, m.scaler.mean.tolist(),
             m.scaler.std.tolist(), m.scaler.n, float(m.task.c),
             None if m.task.columns is None else list(m.task.columns),
-            None if lift is None else lift.frequencies.tolist(),
-            None if lift is None else lift.phases.tolist(),
+            None if lift is None else float(lift.gamma),
+            None if lift is None else lift.pivots.tolist(),
+            None if lift is None else float(lift.residual),
         )
         schema = (
             "model_type string, coefficients array<double>, intercept double, mean array<double>, "
             "std array<double>, n bigint, c double, columns array<int>, "
-            "frequencies array<array<double>>, phases array<double>"
+            "gamma double, pivots array<array<double>>, residual double"
         )
         spark.createDataFrame([row], schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
 
@@ -303,9 +313,7 @@ def load_model(spark: SparkSession, path: str) -> FittedModel:
 
 def _load_linear(spark: SparkSession, path: str) -> LinearModel:
     r = spark.read.parquet(path).first()
-    lift = (
-        None if r.frequencies is None else FourierMap(np.array(r.frequencies), np.array(r.phases))
-    )
+    lift = None if r.pivots is None else KernelMap.on(np.array(r.pivots), r.gamma, r.residual)
     columns = None if r.columns is None else tuple(r.columns)
     return LinearModel(
         Task(columns=columns, c=r.c, lift=lift),
@@ -331,8 +339,9 @@ def fit_final(
     weights = balanced_weights(df) if class_weight == "balanced" else (1.0, 1.0)
     lift = None
     if model_type == "svc_rbf":
-        d = len(df.select("features").first()[0])
-        lift = fourier_map(d, params)
+        df = as_double_array(df)
+        scaler = fit_scaler(df)
+        lift = kernel_basis(df, scaler, params).map(scaler, params["gamma"])
     task = Task(c=params["C"], weights=weights, lift=lift)
     return FittedModel(model_type, dict(params), refit(task, df))
 
