@@ -6,7 +6,8 @@ to the longer last piece.  A character that no single piece covers may also be a
 model with byte pieces writes as its UTF-8 bytes.
 
 No piece crosses the start of a run of blanks in the usual models; then the words between are
-independent and each distinct word is searched once per task (a memo of bounded size).  A model
+independent; new words of a portion are searched in one run, known ones come from a memo of bounded
+size that a worker process keeps between tasks.  A model
 whose pieces do cross is searched over whole texts.
 
 Scores are the model's own for unigram models.  A BPE model has merge ranks instead; there a piece
@@ -17,7 +18,10 @@ from __future__ import annotations
 
 import math
 import re
+import sys
+import types
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +33,7 @@ from docsignal.llm.common import list_array, map_batches
 BLANK = "▁"  # fixed value: how pieces write a space
 UNKNOWN_PENALTY = 10.0  # fixed value: an unknown scores this much below the worst piece
 MEMO_WORDS = 200_000
+SEPARATOR = "\n"
 ENCODED = "doc_id long, text string, ids array<int>"
 DECODED = ", decoded string, ids_crc32 long, n_byte_ids long"
 
@@ -79,7 +84,19 @@ class PieceModel:
             self.automaton.add_word(text, (len(text), score, i))
         if normal:
             self.automaton.make_automaton()
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[str, bytes] = {}  # ids of words met lately
+        self.older: dict[str, bytes] = {}  # and of those before
+
+    @classmethod
+    def of_process(cls, path: str) -> PieceModel:
+        """The model of ``path``, read once in a worker process and kept with its memo for later tasks.
+
+        Code comes with each task, so what is kept hangs on a module of the process itself.
+        """
+        kept = sys.modules.setdefault("_docsignal_kept", types.ModuleType("_docsignal_kept")).__dict__
+        if ("pieces", path) not in kept:
+            kept["pieces", path] = cls(path)
+        return kept["pieces", path]
 
     def search(self, chunk: str) -> list[int]:
         """The best ids of ``chunk`` (blanks already written as ``BLANK``)."""
@@ -107,6 +124,49 @@ class PieceModel:
         unknowns(n)
         return self._walk(chunk, back)
 
+    def search_words(self, words: list[str]) -> list[bytes]:
+        """The best ids of many words at once, as 32-bit numbers, in one run of the automaton.
+
+        Words stand one after the other with a character between that no piece contains, so no match
+        reaches over it.  Only for words whose characters are all pieces: there nothing is unknown.
+        """
+        text = SEPARATOR.join(words)
+        best = [-math.inf] * (len(text) + 1)
+        back = [(0, 0.0, 0)] * (len(text) + 1)
+        starts, at = [], 0
+        for word in words:
+            starts.append(at)
+            best[at] = 0.0
+            at += len(word) + 1
+        for end, match in self.automaton.iter(text):
+            end += 1
+            score = best[end - match[0]] + match[1]
+            if score > best[end]:
+                best[end], back[end] = score, match
+        out = []
+        for start, word in zip(starts, words):
+            at, ids = start + len(word), array("i")
+            while at > start:
+                length, _, piece = back[at]
+                ids.append(piece)
+                at -= length
+            ids.reverse()
+            out.append(ids.tobytes())
+        return out
+
+    def learn(self, words: set[str]) -> None:
+        """See to it that the memo holds ``words``.  It keeps those of the last two rounds of MEMO_WORDS."""
+        if len(self.memo) > MEMO_WORDS:
+            self.memo, self.older = {}, self.memo
+        new = words.difference(self.memo)
+        known = [w for w in new if w in self.older]
+        self.memo.update(zip(known, map(self.older.__getitem__, known)))
+        new.difference_update(known)
+        plain = [w for w in new if self.single.issuperset(w) and SEPARATOR not in w]
+        self.memo.update(zip(plain, self.search_words(plain)))
+        for word in new.difference(plain):
+            self.memo[word] = array("i", self.search(word)).tobytes()
+
     def _walk(self, chunk: str, back: list[tuple[int, int]]) -> list[int]:
         at, ids = len(chunk), []
         while at:
@@ -122,20 +182,19 @@ class PieceModel:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of one text."""
-        if not text:
-            return np.zeros(0, np.int32)
-        written = text.replace(" ", BLANK)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every text."""
+        written = [t.replace(" ", BLANK) if t else "" for t in texts]
         if self.prefix:
-            written = BLANK + written
+            written = [BLANK + t if t else "" for t in written]
         if not self.by_word:
-            return np.array(self.search(written), np.int32)
-        words = WORD.findall(written)
-        memo = self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        for word in set(words).difference(memo):
-            memo[word] = np.array(self.search(word), np.int32).tobytes()
-        return np.frombuffer(b"".join(map(memo.__getitem__, words)), np.int32)
+            return [np.array(self.search(t) if t else [], np.int32) for t in written]
+        words = list(map(WORD.findall, written))
+        self.learn(set().union(*words))
+        ids = self.memo.__getitem__
+        return [np.frombuffer(b"".join(map(ids, own)), np.int32) for own in words]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that form no character become U+FFFD."""
@@ -160,10 +219,10 @@ def encode(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel(model_path)
+        model = PieceModel.of_process(model_path)
         for batch in batches:
             for rows in _portions(batch):
-                ids = [model.encode(t or "") for t in rows.column(1).to_pylist()]
+                ids = model.encode_all(rows.column(1).to_pylist())
                 flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
                 sizes = np.array([len(x) for x in ids], np.int64)
                 columns = [rows.column(0).cast(pa.int64()), rows.column(1), list_array(flat, sizes)]
@@ -182,7 +241,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel(model_path)
+        model = PieceModel.of_process(model_path)
         for batch in batches:
             for rows in _portions(batch):
                 column = rows.column(2)

@@ -86,3 +86,22 @@ def test_tables(spark, model):
     wanted = sorted(((k, model.encode(t or "").tolist()) for k, t, _ in rows), key=repr)
     assert sorted(((r.doc_id, r.ids) for r in found), key=repr) == wanted
     assert bag(pieces.decode(pieces.encode(empty(spark), PATH), PATH)) == []
+
+
+def test_many_words_at_once_equal_each_word_alone_and_the_memo_stays_small(monkeypatch):
+    model = pieces.PieceModel(PATH)
+    chance = random.Random(8)
+    letters = pieces.BLANK + "abcdefghijé漢\n😀"
+    texts = ["".join(chance.choice(letters) for _ in range(chance.randrange(0, 60))) for _ in range(400)]
+    alone = pieces.PieceModel(PATH)
+    want = [alone.encode(t).tolist() for t in texts]
+    monkeypatch.setattr(pieces, "MEMO_WORDS", 50)
+    sizes, got = [], []
+    for i in range(0, len(texts), 20):
+        got += [x.tolist() for x in model.encode_all(texts[i : i + 20])]
+        sizes.append(len(model.memo) + len(model.older))
+    assert got == want
+    words = {w for t in texts for w in pieces.WORD.findall(pieces.BLANK + t)}
+    assert all(model.search(w) == np.frombuffer(alone.memo[w], np.int32).tolist() for w in words)
+    assert max(sizes) < len(words)
+    assert pieces.PieceModel.of_process(PATH) is pieces.PieceModel.of_process(PATH)
