@@ -808,14 +808,20 @@ def subset_search(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def experiment_suite(spark: SparkSession, sf: str) -> DataFrame:
+    """All four model types in all scenarios, with a tuned trial and a searched subset."""
     prepared = prepared_corpus(spark, sf, test_size=0.2)
-    mask = [i % 2 == 0 for i in range(len(prepared.names))]
+    train = prepared.split("train").drop("split")
+    trial = tuning.tune_outliers(train, tuning.random_trials(5), 3).best
+    cleaned = materialize(workflow.clean_with(train, trial), "suite-clean")
+    found = search_subset(cleaned, Breeding(pop_size=6, generations=1), Scoring(n_splits=3))
     grids = {
         "linear_svc": {"C": [0.5, 1.0]},
+        "svc_rbf": {"C": [1.0], "gamma": [0.01]},
         "random_forest": {"n_estimators": [5], "max_depth": [5], "min_samples_leaf": [1]},
+        "xgboost": {"n_estimators": [3], "max_depth": [2], "learning_rate": [0.2], "subsample": [1.0]},
     }
-    table, _ = workflow.experiment_suite(prepared, TRIALS[0], mask, grids, n_splits=3)
-    return table
+    mask = [bool(b) for b in found.mask]
+    return workflow.experiment_suite(prepared, trial, mask, grids, n_splits=3)[0]
 
 
 @register
