@@ -56,8 +56,13 @@ def register(query: Query) -> Query:
     return query
 
 
+#: Session setting: into how many parts texts are dealt after the scan (unset: as the files give them).
+TEXT_PARTITIONS = "spark.docsignal.text.partitions"
+
+
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(spark, sf, "documents").select("doc_id", "text")
+    parts = spark.conf.get(TEXT_PARTITIONS, None)
+    return read_table(spark, sf, "documents", int(parts) if parts else None).select("doc_id", "text")
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:

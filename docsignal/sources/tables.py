@@ -22,8 +22,15 @@ RAW_SCHEMA = S.StructType(
 )
 
 
-def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
+def read_table(
+    spark: SparkSession, directory: str, name: str, partitions: int | None = None, key: str = "doc_id"
+) -> DataFrame:
+    """A Parquet table; ``partitions`` deals its rows out by key, for files with few row groups.
+
+    A scan has one task a row group at most, so a table in one of them keeps a single core busy.
+    """
+    df = spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
+    return df.repartition(partitions, key) if partitions else df
 
 
 def read_csv(spark: SparkSession, path: str, schema: S.StructType | str) -> DataFrame:
@@ -39,6 +46,18 @@ def read_csv(spark: SparkSession, path: str, schema: S.StructType | str) -> Data
     return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def import_csv(
+    spark: SparkSession, path: str, schema: S.StructType | str, partitions: int | None = None
+) -> DataFrame:
+    """``read_csv``, written once as Parquet in ``partitions`` parts and read from there.
+
+    Quoted line breaks allow one task a CSV file only.  That task runs once, here, and all that
+    follows is spread over the parts.
+    """
+    rows = read_csv(spark, path, schema)
+    return materialize(rows.repartition(partitions) if partitions else rows, "imported")
+
+
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fail before any job runs when a column is missing, naming what was found."""
     missing = [c for c in columns if c not in df.columns]

@@ -208,3 +208,22 @@ def test_full_study(spark):
         tfidf=SMALL,
     )
     assert table.count() >= 3 and len(fitted) == table.count()
+
+
+def test_csv_is_parsed_once_and_spread(spark, tmp_path):
+    rows = [(i, f"line one\nline \"two\" of {i}", i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, news string, label int")
+    df.coalesce(1).write.options(header=True, escape='"').csv(str(tmp_path / "raw"))
+    found = tables.import_csv(spark, str(tmp_path / "raw"), "id int, news string, label int", 5)
+    assert found.rdd.getNumPartitions() >= 2
+    assert all(f.endswith(".parquet") for f in found.inputFiles())
+    assert sorted(map(tuple, found.collect())) == sorted(rows)
+    with pytest.raises(ValueError):
+        tables.import_csv(spark, str(tmp_path / "raw"), "id int, other string")
+
+
+def test_a_table_is_dealt_out_by_key(spark, tmp_path):
+    spark.range(50).withColumnRenamed("id", "doc_id").coalesce(1).write.parquet(str(tmp_path / "t.parquet"))
+    whole, dealt = (tables.read_table(spark, str(tmp_path), "t", n) for n in (None, 6))
+    assert (whole.rdd.getNumPartitions(), dealt.rdd.getNumPartitions()) == (1, 6)
+    assert sorted(whole.collect()) == sorted(dealt.collect())
