@@ -17,14 +17,16 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from docsignal.llm.common import key_back, key_column, map_batches, materialize
+from docsignal.llm.common import key_back, key_column, list_array, map_batches, materialize
 
 # The template.
 OPEN, CLOSE, END = "### ", ": ", "</turn>\n"
@@ -71,6 +73,14 @@ class ByteTokens:
             "chat", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
 
+    @classmethod
+    def of_process(cls, path: str) -> ByteTokens:
+        """The one of this Python worker: read once, not once a task."""
+        kept = sys.modules.setdefault("_docsignal_kept", types.ModuleType("_docsignal_kept")).__dict__
+        if ("bytes", path) not in kept:
+            kept["bytes", path] = cls(path)
+        return kept["bytes", path]
+
     def ids(self, text: str) -> list[int]:
         return self.encoding.encode_ordinary(text)
 
@@ -99,10 +109,10 @@ def owners(convs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             conv, depth, path = [], [], []
-            for key, turns in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for key, turns in zip(batch.column(0).to_pylist(), roles_and_texts(batch.column(1))):
                 digest = b""
                 for i, turn in enumerate(turns):
-                    digest += "".join(format_turn(turn["role"], turn["text"])).encode()
+                    digest += "".join(format_turn(*turn)).encode()
                     digest = hashlib.sha256(digest).digest()
                     conv.append(key)
                     depth.append(i)
@@ -122,6 +132,19 @@ def owners(convs: DataFrame) -> DataFrame:
     )
 
 
+def roles_and_texts(turns: pa.Array) -> Iterator[list[tuple[str, str]]]:
+    """``(role, text)`` of every conversation's turns, from their Arrow column."""
+    ends, flat = turns.offsets.to_pylist(), turns.values
+    pairs = list(zip(flat.field("role").to_pylist(), flat.field("text").to_pylist()))
+    return (pairs[a:b] for a, b in zip(ends[:-1], ends[1:]))
+
+
+def rows_of(column: pa.Array) -> Iterator[np.ndarray]:
+    """The rows of a list column as numpy views."""
+    ends, flat = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    return (flat[a:b] for a, b in zip(ends[:-1], ends[1:]))
+
+
 SEGMENT = (
     "conv_id long, chain array<long>, skip int, ids array<int>, loss array<boolean>,"
     " turn_ends array<int>"
@@ -132,26 +155,36 @@ def segments(convs: DataFrame, owned: DataFrame, tokenizer_path: str) -> DataFra
     """The owned turns of each conversation as tokens, with the chain of owners as sort key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = ByteTokens(tokenizer_path)
+        tokens = ByteTokens.of_process(tokenizer_path)
         for batch in batches:
-            rows = []
-            for key, turns, chain in zip(*(c.to_pylist() for c in batch.columns)):
+            known: dict[str, list[int]] = {}  # each different part of a batch is tokenised once
+            keys, chains, skips, ids, loss, ends, sizes = [], [], [], [], [], [], []
+            columns = zip(batch.column(0).to_pylist(), roles_and_texts(batch.column(1)), batch.column(2).to_pylist())
+            for key, turns, chain in columns:
                 skip = next((i for i, owner in enumerate(chain) if owner == key), len(chain))
                 if skip == len(chain):
                     continue
-                ids, loss, ends = [], [], []
-                for turn in turns[skip:]:
-                    parts = format_turn(turn["role"], turn["text"])
-                    for n, part in enumerate(parts):
-                        found = tokens.ids(part)
-                        ids += found
-                        loss += [n == 1 and turn["role"] == LOSS_ROLE] * len(found)
-                    ends.append(len(ids))
-                rows.append((key, list(dict.fromkeys(chain)), skip, ids, loss, ends))
-            columns = list(zip(*rows)) if rows else [()] * 6
+                before, own = len(ids), []
+                for role, text in turns[skip:]:
+                    for n, part in enumerate(format_turn(role, text)):
+                        if part not in known:
+                            known[part] = tokens.ids(part)
+                        ids += known[part]
+                        loss.append((n == 1 and role == LOSS_ROLE, len(known[part])))
+                    own.append(len(ids) - before)
+                keys.append(key)
+                chains.append(list(dict.fromkeys(chain)))
+                skips.append(skip)
+                ends.append(own)
+                sizes.append(len(ids) - before)
+            bears, times = zip(*loss) if loss else ((), ())
+            marked = np.repeat(np.array(bears, bool), np.array(times, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, SEGMENT_TYPES)], names=SEGMENT_NAMES
-            )
+                [pa.array(keys, pa.int64()), pa.array(chains, pa.list_(pa.int64())), pa.array(skips, pa.int32()),
+                 list_array(np.array(ids, np.int32), np.array(sizes, np.int64)),
+                 list_array(marked, np.array(sizes, np.int64)), pa.array(ends, pa.list_(pa.int32()))],
+                names=SEGMENT_NAMES,
+            )
 
     return map_batches(
         convs.join(owned, "conv_id").select("conv_id", "turns", "owners"), run, SEGMENT
@@ -159,10 +192,6 @@ def segments(convs: DataFrame, owned: DataFrame, tokenizer_path: str) -> DataFra
 
 
 SEGMENT_NAMES = ["conv_id", "chain", "skip", "ids", "loss", "turn_ends"]
-SEGMENT_TYPES = [
-    pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.bool_()),
-    pa.list_(pa.int32()),
-]
 
 
 def place_depth_first(found: DataFrame) -> DataFrame:
@@ -170,7 +199,8 @@ def place_depth_first(found: DataFrame) -> DataFrame:
 
     Segments are range-partitioned by chain (a prefix sorts before what continues it, which is
     depth-first order), numbered within partitions, and shifted by the token counts of the
-    partitions before: one number per partition passes through the driver.
+    partitions before: one line per partition is summed up and broadcast.  ``found`` should be
+    a written table, since its chains are read twice, the first time to find the ranges.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,14 +219,11 @@ def place_depth_first(found: DataFrame) -> DataFrame:
     numbered = map_batches(ordered, run, SEGMENT + ", part int, local long")
     numbered = materialize(numbered, "chat-segments")
     size = F.size("ids").cast("long")
-    totals = numbered.groupBy("part").agg(F.max(F.col("local") + size).alias("n")).collect()
-    base, bases = 0, {}
-    for row in sorted(totals, key=lambda r: r["part"]):
-        bases[row["part"]] = base
-        base += row["n"]
-    shift = F.create_map(*(F.lit(v) for kv in (bases or {0: 0}).items() for v in kv))
-    start = F.col("local") + shift[F.col("part")].cast("long")
-    return numbered.withColumn("start", start).drop("part", "local")
+    totals = numbered.groupBy("part").agg(F.max(F.col("local") + size).alias("total"))
+    before = F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    bases = totals.select("part", F.coalesce(before, F.lit(0).cast("long")).alias("base"))
+    placed = numbered.join(F.broadcast(bases), "part")  # one line a partition
+    return placed.withColumn("start", F.col("local") + F.col("base")).drop("part", "local", "base")
 
 
 def spans(convs_owned: DataFrame, placed: DataFrame) -> DataFrame:
@@ -228,7 +255,8 @@ def format_conversations(turns: DataFrame, tokenizer_path: str) -> tuple[DataFra
     """
     convs = materialize(conversations(turns), "chat-conversations")
     owned = materialize(owners(convs), "chat-owners")
-    placed = materialize(place_depth_first(segments(convs, owned, tokenizer_path)), "chat-placed")
+    found = materialize(segments(convs, owned, tokenizer_path), "chat-tokens")
+    placed = materialize(place_depth_first(found), "chat-placed")
     index = materialize(spans(owned, placed), "chat-index")
     piece = F.struct("order", "start", (F.col("start") + F.col("length")).alias("end"))
     before = index.where("conv_id != owner").groupBy("conv_id").agg(
@@ -266,14 +294,15 @@ def read_back(stream: DataFrame, index: DataFrame, tokenizer_path: str) -> DataF
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = ByteTokens(tokenizer_path)
+        tokens = ByteTokens.of_process(tokenizer_path)
         for batch in batches:
             rows = []
-            for key, ids, loss in zip(*(c.to_pylist() for c in batch.columns)):
-                formatted = tokens.text(ids)
+            columns = zip(batch.column(0).to_pylist(), rows_of(batch.column(1)), rows_of(batch.column(2)))
+            for key, ids, loss in columns:
+                formatted = tokens.text(ids.tolist())
                 turns = parse(formatted)
                 said = "".join(f"{role}\n{text}\n" for role, text in turns)
-                learned = unescape(tokens.text([i for i, bears in zip(ids, loss) if bears]))
+                learned = unescape(tokens.text(ids[loss].tolist()))
                 rows.append(
                     (key, len(turns), hashlib.sha256(said.encode()).hexdigest(), len(learned),
                      hashlib.sha256(learned.encode()).hexdigest(), len(formatted))
