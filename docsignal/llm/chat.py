@@ -256,7 +256,7 @@ def format_conversations(turns: DataFrame, tokenizer_path: str) -> tuple[DataFra
     convs = materialize(conversations(turns), "chat-conversations")
     owned = materialize(owners(convs), "chat-owners")
     found = materialize(segments(convs, owned, tokenizer_path), "chat-tokens")
-    placed = materialize(place_depth_first(found), "chat-placed")
+    placed = place_depth_first(found)
     index = materialize(spans(owned, placed), "chat-index")
     piece = F.struct("order", "start", (F.col("start") + F.col("length")).alias("end"))
     before = index.where("conv_id != owner").groupBy("conv_id").agg(
