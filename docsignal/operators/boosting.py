@@ -227,7 +227,7 @@ def _binned(rows: DataFrame, cuts: list[np.ndarray]) -> DataFrame:
     return rows.mapInArrow(run, "h long, label int, bins binary, margin double")
 
 
-def _bytes_of(column: pa.Array, width: int) -> np.ndarray:
+def bytes_of(column: pa.Array, width: int) -> np.ndarray:
     _, offsets, data = column.buffers()
     start = np.frombuffer(offsets, np.int32)[column.offset]
     return np.frombuffer(data, np.uint8)[start : start + len(column) * width].reshape(-1, width)
@@ -236,14 +236,19 @@ def _bytes_of(column: pa.Array, width: int) -> np.ndarray:
 # --- growing --------------------------------------------------------------------------------------
 
 
+def uniform(h: np.ndarray, tree: int, seed: int) -> np.ndarray:
+    """A number from 0 to 1 for every row and tree: a hash of the key's hash, the seed and the tree's number."""
+    v = h.astype(np.uint64) ^ np.uint64((seed * 1_000_003 + tree + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        v = (v ^ (v >> np.uint64(shift))) * np.uint64(factor)
+    return (v ^ (v >> np.uint64(31))) / float(1 << 64)
+
+
 def in_sample(h: np.ndarray, tree: int, config: Boosting) -> np.ndarray:
-    """Which rows a tree sees: a hash of the key's hash, the seed and the tree's number."""
+    """Which rows a tree sees."""
     if config.subsample >= 1:
         return np.ones(len(h), bool)
-    v = h.astype(np.uint64) ^ np.uint64((config.seed * 1_000_003 + tree + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        v = (v ^ (v >> np.uint64(shift))) * np.uint64(factor)
-    return (v ^ (v >> np.uint64(31))) / float(1 << 64) < config.subsample
+    return uniform(h, tree, config.seed) < config.subsample
 
 
 def best_split(histogram: np.ndarray, config: Boosting) -> tuple[float, int, float, float, float, float]:
@@ -273,7 +278,7 @@ def _level(
         for batch in batches:
             for i in range(0, batch.num_rows, ROWS):
                 part = batch.slice(i, ROWS)
-                x = _bytes_of(part.column(2), width)
+                x = bytes_of(part.column(2), width)
                 at = slot[tree.nodes(x, tree.bin)]
                 used = (at >= 0) & in_sample(part.column(0).to_numpy(), number, config)
                 if not used.any():
@@ -344,7 +349,8 @@ def _grow(
     return tree
 
 
-def _prepared(df: DataFrame, config: Boosting, key: str) -> tuple[DataFrame, list[np.ndarray]]:
+def binned_rows(df: DataFrame, config: Boosting, key: str) -> tuple[DataFrame, list[np.ndarray]]:
+    """``(h, label, bins, margin)`` as a written table, and the cut points of every column."""
     if not 2 <= config.max_bins <= 256:
         raise ValueError("max_bins must be between 2 and 256")
     h = F.xxhash64(key) if key in df.columns else F.xxhash64("features")
@@ -357,7 +363,7 @@ def _prepared(df: DataFrame, config: Boosting, key: str) -> tuple[DataFrame, lis
 
 def fit_boosted(df: DataFrame, config: Boosting, key: str = "doc_id") -> BoostedModel:
     """Fit on ``label`` (0, 1) and ``features``; rows are sampled by ``key`` if the frame has it."""
-    state, cuts = _prepared(df, config, key)
+    state, cuts = binned_rows(df, config, key)
     trees: list[Tree] = []
     fresh: list[Tree] = []
     for number in range(config.rounds):
@@ -374,7 +380,7 @@ def _moved(state: DataFrame, trees: list[Tree], width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x = _bytes_of(batch.column(2), width)
+                x = bytes_of(batch.column(2), width)
                 margin = batch.column(3).to_numpy() + sum((t.margins(x, True) for t in trees), np.zeros(len(x)))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(margin)], names=batch.schema.names)
 
@@ -383,7 +389,7 @@ def _moved(state: DataFrame, trees: list[Tree], width: int) -> DataFrame:
 
 def first_splits(df: DataFrame, config: Boosting, key: str = "doc_id") -> DataFrame:
     """The best first split of every column: ``feature, threshold, gain, left_value, right_value``."""
-    state, cuts = _prepared(df, config, key)
+    state, cuts = binned_rows(df, config, key)
     lines = _level(state, [], Tree(), 0, [0], len(cuts), config)[0]
     leaf = lambda g, h: float(-config.learning_rate * g / (h + config.reg_lambda))
     rows = [

@@ -11,12 +11,11 @@ from typing import Any
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docsignal.operators.boosting import BoostedModel, Boosting, fit_boosted
 from docsignal.operators.folds import stratified_folds
+from docsignal.operators.forest import Forest, ForestModel, fit_forest
 from docsignal.operators.kernels import KernelMap, choose_basis
 from docsignal.operators.matrix import Scaler, as_double_array, fit_fold_scalers, fit_scaler
 from docsignal.operators.metrics import METRIC_NAMES, binary_metrics
@@ -25,7 +24,7 @@ from docsignal.operators.svm import (
 )
 
 MODEL_TYPES = ("linear_svc", "svc_rbf", "random_forest", "xgboost")
-UNLIMITED_DEPTH = 30  # Spark's deepest tree
+DEEPEST_BOOSTED = 30
 PARALLEL_FITS = 4
 KERNEL_RANK, KERNEL_TOLERANCE = 512, 1e-4  # most basis rows of an RBF model, and the error at which fewer do
 SEED = 0
@@ -167,17 +166,13 @@ def _search_svm(folded, model_type, points, n_splits, class_weight):
 
 def _search_trees(folded, model_type, points, n_splits, class_weight):
     """Independent fits, a few submitted at a time from the driver."""
-    frame = folded if model_type == "xgboost" else with_vectors(folded)
-    frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    frame = folded.persist(StorageLevel.MEMORY_AND_DISK)
     frame.count()
 
     def one(job: tuple[int, int]) -> tuple[int, int, float, float]:
         idx, fold = job
         train, held = frame.where(F.col("fold") != fold), frame.where(F.col("fold") == fold)
-        if model_type == "xgboost":
-            said = fit_boosted(train, tree_estimator(model_type, points[idx])).predict(held, ())
-        else:
-            said = predict_tree(fit_tree(train, points[idx], class_weight), held, ())
+        said = fit_trees(train, model_type, points[idx], class_weight).predict(held, ())
         score = binary_metrics(said).first()
         return idx, fold, score.accuracy, score.f1
 
@@ -189,18 +184,12 @@ def _search_trees(folded, model_type, points, n_splits, class_weight):
         frame.unpersist()
 
 
-def with_vectors(df: DataFrame) -> DataFrame:
-    return df.withColumn("features", array_to_vector("features")).withColumn(
-        "label", F.col("label").cast("double")
-    )
-
-
-def tree_estimator(model_type: str, point: Mapping[str, Any], seed: int = SEED):
-    """What fits a grid point: a Spark ML forest, or the settings of a booster; trees need no scaling."""
+def tree_settings(model_type: str, point: Mapping[str, Any], seed: int = SEED) -> Forest | Boosting:
+    """The settings of a grid point; trees need no scaling."""
     depth = point["max_depth"]
-    if depth is not None and int(depth) > UNLIMITED_DEPTH:
-        raise ValueError(f"max_depth {depth} is beyond the deepest tree ({UNLIMITED_DEPTH})")
     if model_type == "xgboost":
+        if depth is not None and int(depth) > DEEPEST_BOOSTED:
+            raise ValueError(f"max_depth {depth} is beyond the deepest boosted tree ({DEEPEST_BOOSTED})")
         return Boosting(
             rounds=int(point["n_estimators"]),
             max_depth=depth,
@@ -208,33 +197,21 @@ def tree_estimator(model_type: str, point: Mapping[str, Any], seed: int = SEED):
             subsample=float(point["subsample"]),
             seed=seed,
         )
-    return RandomForestClassifier(
-        featuresCol="features",
-        labelCol="label",
-        maxDepth=UNLIMITED_DEPTH if depth is None else int(depth),
+    return Forest(
+        trees=int(point["n_estimators"]),
+        max_depth=None if depth is None else int(depth),
+        min_leaf=int(point["min_samples_leaf"]),
         seed=seed,
-        numTrees=int(point["n_estimators"]),
-        minInstancesPerNode=int(point["min_samples_leaf"]),
-        maxMemoryInMB=1024,
     )
 
 
-def fit_tree(train: DataFrame, point: Mapping[str, Any], class_weight=None) -> RandomForestClassificationModel:
-    """Fit a forest on a frame that already holds vectors."""
-    estimator = tree_estimator("random_forest", point)
-    if class_weight == "balanced":
-        w0, w1 = balanced_weights(train)
-        train = train.withColumn("_weight", F.when(F.col("label") == 1, w1).otherwise(w0))
-        estimator = estimator.setWeightCol("_weight")
-    return estimator.fit(train)
-
-
-def predict_tree(model, df: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
-    return model.transform(df).select(
-        *keys,
-        F.col("label").cast("int").alias("y_true"),
-        F.col("prediction").cast("int").alias("y_pred"),
-    )
+def fit_trees(train: DataFrame, model_type: str, point: Mapping[str, Any], class_weight=None) -> ForestModel | BoostedModel:
+    """Fit a forest or a booster; only the forest weighs classes."""
+    settings = tree_settings(model_type, point)
+    if model_type == "xgboost":
+        return fit_boosted(train, settings)
+    weights = balanced_weights(train) if class_weight == "balanced" else (1.0, 1.0)
+    return fit_forest(train, settings, weights)
 
 
 @dataclass
@@ -246,17 +223,13 @@ class FittedModel:
     inner: Any
 
     def predict(self, df: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
-        if isinstance(self.inner, LinearModel | BoostedModel):
-            return self.inner.predict(df, keys)
-        return predict_tree(self.inner, with_vectors(df), keys)
+        return self.inner.predict(df, keys)
 
     def importances(self) -> tuple[str, np.ndarray] | None:
         """``("coefficient" | "importance", values)``; a kernel model has none."""
         if isinstance(self.inner, LinearModel):
             return None if self.inner.task.lift else ("coefficient", self.inner.full_coefficients())
-        if isinstance(self.inner, BoostedModel):
-            return "importance", self.inner.importances()
-        return "importance", self.inner.featureImportances.toArray()
+        return "importance", self.inner.importances()
 
     def weights_table(self, spark: SparkSession, names: Sequence[str]) -> DataFrame:
         """``(feature, weight, kind)``; empty for a kernel model."""
@@ -267,18 +240,15 @@ class FittedModel:
         return spark.createDataFrame(rows, "feature string, weight double, kind string")
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """``path/kind`` names type and parameters, ``path/model`` holds a Spark ML model or a table.
+        """``path/kind`` names type and parameters, ``path/model`` holds the tables of the model.
 
         An existing target is replaced.
         """
         kind = [(self.model_type, json.dumps(self.params))]
         kinds = spark.createDataFrame(kind, "model_type string, params string")
         kinds.coalesce(1).write.mode("overwrite").parquet(f"{path}/kind")
-        if isinstance(self.inner, BoostedModel):
-            self.inner.save(spark, f"{path}/model")
-            return
         if not isinstance(self.inner, LinearModel):
-            self.inner.write().overwrite().save(f"{path}/model")
+            self.inner.save(spark, f"{path}/model")
             return
         m = self.inner
         lift = m.task.lift
@@ -303,7 +273,7 @@ def load_model(spark: SparkSession, path: str) -> FittedModel:
     kind = spark.read.parquet(f"{path}/kind").first()
     params = json.loads(kind.params)
     if kind.model_type == "random_forest":
-        inner = RandomForestClassificationModel.load(f"{path}/model")
+        inner = ForestModel.load(spark, f"{path}/model")
     elif kind.model_type == "xgboost":
         inner = BoostedModel.load(spark, f"{path}/model")
     else:
@@ -327,15 +297,8 @@ def fit_final(
 ) -> FittedModel:
     """Fit one parameter point on all rows given (usually train + val)."""
     check_weight(class_weight)
-    if model_type == "xgboost":
-        return FittedModel(model_type, dict(params), fit_boosted(df, tree_estimator(model_type, params)))
-    if model_type == "random_forest":
-        vectors = with_vectors(as_double_array(df)).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            inner = fit_tree(vectors, params, class_weight)
-        finally:
-            vectors.unpersist()
-        return FittedModel(model_type, dict(params), inner)
+    if model_type in ("random_forest", "xgboost"):
+        return FittedModel(model_type, dict(params), fit_trees(df, model_type, params, class_weight))
     weights = balanced_weights(df) if class_weight == "balanced" else (1.0, 1.0)
     lift = None
     if model_type == "svc_rbf":
