@@ -1,7 +1,8 @@
 """TF-IDF: fit on a corpus table, apply to any corpus table or stream.
 
 Fitting shuffles terms only: each document is counted inside its own row, so no (document, term)
-pair crosses the network.  Applying is row-local: term counting, idf weighting and the L2 norm are
+pair crosses the network.  With a limit on the vocabulary, only terms that can still be among the
+most frequent are counted by name (``candidate_statistics``).  Applying is row-local: term counting, idf weighting and the L2 norm are
 Spark ML transformers over a broadcast vocabulary, with no shuffle and no window.
 """
 
@@ -17,10 +18,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from docsignal.functions import text as T
 from docsignal.functions.lookup import constant
+from docsignal.session import materialize
 
 MAX_MODEL_TERMS = 200_000
 TERM_PREFIX = "tfidf:"
 SMALL_VOCABULARY = 50
+COUNT_BUCKETS = 1 << 16
+GUESS_SHARE = 16
 
 
 @dataclass(frozen=True)
@@ -121,18 +125,16 @@ def with_terms(df: DataFrame, config: TfidfConfig, text_col: str = "text") -> Da
     return staged.select(*df.columns, "_terms")
 
 
-def term_statistics(
-    df: DataFrame, config: TfidfConfig = TfidfConfig(), text_col: str = "text"
-) -> DataFrame:
-    """``(term, df, tf_total)`` over a corpus.
+def _occurrences(df: DataFrame, config: TfidfConfig, text_col: str) -> DataFrame:
+    """``(term, first)``: every term of every document; ``first`` is 1 once a document and term.
 
     Each document's terms are sorted in its row so that the first of equal neighbours can carry
-    the document count; the only shuffle is by term, after map-side combining.
+    the document count.
     """
     ordered = with_terms(df.select(text_col), config, text_col).select(
         F.sort_array("_terms").alias("s")
     )
-    flagged = ordered.select(
+    return ordered.select(
         F.inline(
             F.transform(
                 "s",
@@ -143,9 +145,57 @@ def term_statistics(
             )
         )
     )
-    return flagged.groupBy("term").agg(
-        F.sum("first").alias("df"), F.count(F.lit(1)).alias("tf_total")
+
+
+def term_statistics(
+    df: DataFrame, config: TfidfConfig = TfidfConfig(), text_col: str = "text"
+) -> DataFrame:
+    """``(term, df, tf_total)`` over a corpus; the only shuffle is by term, after map-side combining."""
+    return _counted(_occurrences(df, config, text_col), "term")
+
+
+def _counted(rows: DataFrame, *by: str | Column) -> DataFrame:
+    return rows.groupBy(*by).agg(F.sum("first").alias("df"), F.count(F.lit(1)).alias("tf_total"))
+
+
+def candidate_statistics(
+    df: DataFrame, n_docs: int, config: TfidfConfig, text_col: str = "text"
+) -> DataFrame:
+    """``term_statistics`` of every term that can be among the ``max_terms`` most frequent ones, and a few others.
+
+    A sixteenth of the texts proposes terms.  One pass counts these by name and all others by hash
+    bucket, so a task shuffles ``COUNT_BUCKETS`` lines at most, however many terms it met.  The count of
+    the ``max_terms``-th proposed term that fits the document limits is a lower bound of what a term of
+    the vocabulary must reach, and a bucket's count is an upper bound for each of its terms; a second
+    pass, if any bucket reaches the bound, counts by name only the terms of these buckets.  What the sample proposes
+    decides how many terms that are, never the result; a corpus whose bound is reached by every bucket
+    is counted whole.
+    """
+    low, high = _bound(config.min_df, n_docs), _bound(config.max_df, n_docs)
+    sample = df.where(F.pmod(F.xxhash64(text_col), F.lit(GUESS_SHARE)) == 0)
+    seen = term_statistics(sample, config, text_col).orderBy(F.desc("tf_total"), "term")
+    proposed = materialize(seen.limit(2 * config.max_terms).select("term", F.lit(True).alias("known")), "terms-proposed")
+    all_terms = _occurrences(df, config, text_col)
+    bucket = F.pmod(F.xxhash64("term"), F.lit(COUNT_BUCKETS))
+    marked = all_terms.join(F.broadcast(proposed), "term", "left").select(
+        F.when(F.col("known"), F.col("term")).alias("term"),
+        F.when(F.col("known").isNull(), bucket).alias("bucket"),
+        "first",
     )
+    first_pass = materialize(_counted(marked, "term", "bucket"), "terms-bounds")
+    known = first_pass.where("term IS NOT NULL").select("term", "df", "tf_total")
+    best = known.where(F.col("df").between(low, high)).orderBy(F.desc("tf_total")).limit(config.max_terms)
+    bound = best.agg(F.count("*").alias("n"), F.min("tf_total").alias("least")).first()
+    least = bound.least if bound.n == config.max_terms else 0
+    reach = first_pass.where(F.col("bucket").isNotNull() & (F.col("tf_total") >= least)).select("bucket")
+    if reach.isEmpty():
+        return known  # no term beside the proposed ones can be among the most frequent
+    rest = (
+        all_terms.withColumn("bucket", bucket)
+        .join(F.broadcast(reach), "bucket", "left_semi")
+        .join(F.broadcast(proposed), "term", "left_anti")
+    )
+    return known.unionByName(_counted(rest, "term"))
 
 
 def _bound(limit: int | float, n_docs: int) -> float:
@@ -173,7 +223,11 @@ def fit_tfidf(
     if config.max_terms == 0:
         return TfidfModel([], [], [], [], 0, config)
     n_docs = df.count()
-    found = select_vocabulary(term_statistics(df, config, text_col), n_docs, config)
+    if config.max_terms is None:
+        stats = term_statistics(df, config, text_col)
+    else:
+        stats = candidate_statistics(df, n_docs, config, text_col)
+    found = select_vocabulary(stats, n_docs, config)
     rows = found.limit(MAX_MODEL_TERMS + 1).collect()
     if len(rows) > MAX_MODEL_TERMS:
         raise ValueError(f"vocabulary exceeds {MAX_MODEL_TERMS} terms; set max_terms")

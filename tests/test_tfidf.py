@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from docsignal.operators import tfidf
 from docsignal.operators.frame import FeatureModel, fit_features, long_features
 from docsignal.operators.tfidf import TfidfConfig, TfidfModel, fit_tfidf, tfidf_rows
 
@@ -108,3 +109,30 @@ def test_partitions_and_order_do_not_matter(spark):
         for m, f in zip(models, frames)
     ]
     assert rows[0] == rows[1]
+
+
+@pytest.mark.parametrize("config", [
+    tfidf.TfidfConfig(5), tfidf.TfidfConfig(40, 1), tfidf.TfidfConfig(40, 3, 0.5),
+    tfidf.TfidfConfig(30, analyzer="char", ngram_range=(3, 5)), tfidf.TfidfConfig(100_000, 1),
+])
+@pytest.mark.parametrize("buckets, share", [(1 << 16, 16), (7, 3), (64, 10_000_000)])
+def test_candidates_hold_the_whole_vocabulary(spark, monkeypatch, config, buckets, share):
+    chance = random.Random(6)
+    names = [f"word{chance.randrange(90)}x" for _ in range(400)]  # many ties of count
+    rows = [(" ".join(chance.choices(names, k=chance.randrange(0, 30))),) for _ in range(150)] + [(None,), ("",)]
+    df = spark.createDataFrame(rows, "text string")
+    monkeypatch.setattr(tfidf, "COUNT_BUCKETS", buckets)
+    monkeypatch.setattr(tfidf, "GUESS_SHARE", share)
+    whole = tfidf.select_vocabulary(tfidf.term_statistics(df, config), len(rows), config)
+    found = tfidf.select_vocabulary(tfidf.candidate_statistics(df, len(rows), config), len(rows), config)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_few_terms_are_counted_by_name(spark):
+    chance = random.Random(7)
+    rows = [(" ".join(f"t{int(40 * chance.paretovariate(0.7))}" for _ in range(200)),) for _ in range(400)]
+    df, config = spark.createDataFrame(rows, "text string"), tfidf.TfidfConfig(50)
+    everything = tfidf.term_statistics(df, config).count()
+    counted = tfidf.candidate_statistics(df, len(rows), config).count()
+    assert 50 <= counted <= everything / 10
+    assert tfidf.candidate_statistics(df.where("false"), 0, config).count() == 0
