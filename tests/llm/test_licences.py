@@ -149,3 +149,55 @@ def test_edges(spark, model):
     assert len(found) == len(rows) and all(r.spans == [] for r in found)
     assert licences.scan(empty(spark), model).count() == 0
     assert licences.scan_corpus(empty(spark)).count() == 0
+
+
+def test_windows_equal_a_plain_loop(model):
+    """Prefix sums, window bounds and offsets beside the features of every window taken by itself."""
+    chance = random.Random(11)
+    notices = [" ".join(licences.words_of(t)) for ts in licences.TEMPLATES.values() for t in ts]
+    texts = [" ".join(words(3, 20_000, 5000)), "", "one", "a b c\n\n\n" + notices[0]]
+    for i in range(40):
+        lines = [
+            chance.choice(["", " ".join(words(chance.random(), chance.randrange(1, 40), 900)), chance.choice(notices)])
+            for _ in range(chance.randrange(1, 9))
+        ]
+        texts.append("\n".join(lines))
+
+    want, n = {}, 0
+    for text in texts:
+        paragraph = []
+
+        def close(paragraph):
+            flat = [(word, at, line) for line, row in enumerate(paragraph) for word, at in row]
+            for group in [[x for x in flat if x[2] == line] for line in range(len(paragraph))] + [flat]:
+                step, size = licences.STRIDE, licences.WINDOW
+                starts = [0] + [s for s in range(step, len(group), step) if s - step + size < len(group)]
+                for s in starts if group else ():
+                    part = group[s : s + size]
+                    crosses = part[0][2] != part[-1][2]
+                    if group is flat and not crosses:
+                        continue
+                    at, values = licences._features([" ".join(w for w, _, _ in part)])[0]
+                    score = ((model.weights[at].astype(float) * values[:, None]).sum(0) + model.bias) / model.temperature
+                    raised = np.exp(score - score.max())
+                    want[part[0][1], part[-1][1] + 1, crosses] = raised / raised.sum()
+
+        for line in text.split("\n"):
+            if line.split():
+                paragraph.append([(w, n + i) for i, w in enumerate(line.split())])
+                n += len(line.split())
+            else:
+                close(paragraph)
+                paragraph = []
+        close(paragraph)
+
+    data, offsets = licences.text_buffer(licences.pa.array(texts, licences.pa.string()))
+    start, end, line, row, hashes = licences.word_hashes(data, offsets, licences.PrefixHash())
+    part = licences.paragraphs(line, row)
+    assert len(start) == n
+    single, pair, joined = licences.feature_buckets(hashes, part, row)
+    got = {(a, b, c): p for a, b, c, p in licences._candidates(model, single, pair, joined, line, part, row)}
+    assert {k for k, p in want.items() if p[0] < 0.4999} <= set(got) <= {k for k, p in want.items() if p[0] < 0.5001}
+    assert len(got) > 40 and any(crosses for _, _, crosses in got)
+    for k, p in got.items():
+        assert p == pytest.approx(want[k], abs=1e-4)
