@@ -1,10 +1,12 @@
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
 from frames import as_dicts
 from pyspark.sql import functions as F
 
-from docsignal.operators import matrix as M
+from docsignal.operators import knn, matrix as M
 from docsignal.operators.knn import knn_distances, knn_score
 from docsignal.operators.outliers import (
     OutlierConfig, combine_flags, keep_inliers, mahalanobis_scores, removal_counts, removed_rows,
@@ -74,6 +76,53 @@ def test_knn_is_exact_with_copies_and_clusters(spark, chunk_rows, p):
         assert got[i]["distances"] == pytest.approx(want, rel=1e-9, abs=1e-9)
 
 
+@pytest.mark.parametrize("p", [2.0, 1.0])
+def test_knn_compares_blocks_where_cells_rule_nothing_out(spark, monkeypatch, p):
+    taken, by_blocks = [], knn._in_blocks
+    monkeypatch.setattr(knn, "_in_blocks", lambda *a: taken.append(1) or by_blocks(*a))
+    monkeypatch.setattr(knn, "CHUNK_ROWS", 60)  # several blocks of a small table
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(400, 32))
+    x[300:320] = x[0]
+    x[390:] *= 1e3
+    got = as_dicts(knn_distances(vectors(spark, enumerate(x)), 9, p=p, chunk_rows=20))
+    assert taken and len(got) == len(x)
+    for i, want in enumerate(brute(x, 9, p)):
+        assert got[i]["distances"] == pytest.approx(want, rel=1e-9, abs=1e-9)
+    taken.clear()
+    line = np.arange(2000.0)[:, None] * [1.0, 0.5]  # here cells rule nearly all out
+    near = as_dicts(knn_distances(vectors(spark, enumerate(line)), 3, p=p, chunk_rows=100))
+    step = 1.25**0.5 if p == 2 else 1.5
+    assert not taken and near[1000]["distances"] == pytest.approx([step, step, 2 * step])
+
+
+def test_knn_blocks_by_group_with_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(knn, "CHUNK_ROWS", 10)
+    monkeypatch.setattr(knn, "_by_blocks_is_cheaper", lambda *a: True)
+    rng = np.random.default_rng(4)
+    x, g = rng.normal(size=(130, 3)), np.where(np.arange(130) < 120, rng.integers(0, 2, 130), 2)
+    g[129] = 3
+    df = vectors(spark, enumerate(x)).join(
+        spark.createDataFrame([(i, int(v)) for i, v in enumerate(g)], "doc_id long, g int"), "doc_id"
+    )
+    got = as_dicts(knn_distances(df, 30, group="g", chunk_rows=10))
+    assert len(got) == len(x)
+    for i, want in enumerate(brute(x, 30, group=g)):
+        assert got[i]["distances"] == pytest.approx(want, abs=1e-12)
+
+
+def test_knn_memory_does_not_follow_pivots_and_blocks():
+    rng = np.random.default_rng(5)
+    x, many = rng.normal(size=(10_000, 2)), rng.normal(size=(4096, 2))
+    tracemalloc.start()
+    cell, away = knn.nearest_pivot(x, many, 2.0)
+    knn.nearest(x[:256], rng.normal(size=(200_000, 2)), 5, 2.0, False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6  # 10,000 x 4,096 distances alone are 328 MB
+    assert away[:50] == pytest.approx([np.sqrt(((many - row) ** 2).sum(1)).min() for row in x[:50]])
+
+
 def test_knn_by_group(spark):
     rng = np.random.default_rng(4)
     x, g = rng.normal(size=(240, 3)), rng.integers(0, 3, 240)
