@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -136,3 +137,41 @@ def test_few_terms_are_counted_by_name(spark):
     counted = tfidf.candidate_statistics(df, len(rows), config).count()
     assert 50 <= counted <= everything / 10
     assert tfidf.candidate_statistics(df.where("false"), 0, config).count() == 0
+
+
+@pytest.mark.parametrize("analyzer, sizes", [("word", (1, 2)), ("word", (2, 9)), ("char", (3, 5)), ("char", (2, 12))])
+@pytest.mark.parametrize("portion", [1, 70, 1 << 21])
+def test_terms_are_counted_by_portions(spark, monkeypatch, analyzer, sizes, portion):
+    chance = random.Random(9)
+    letters = ["ab", "cdé", "\U0001d49c\U0001d49cx", "中文", "ee\x00f", *[f"w{i}" for i in range(200)]]
+    texts = [" ".join(chance.choices(letters, k=chance.randrange(0, 40))) for _ in range(40)] + ["ab", "", None, "a"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(2)
+    monkeypatch.setattr(tfidf, "PORTION_ITEMS", portion)
+    config = TfidfConfig(None, 1, analyzer=analyzer, ngram_range=sizes)
+    grams = []
+    for text in texts:
+        items = re.findall(r"\w{2,}", text or "") if analyzer == "word" else (text or "")
+        runs = [items[i : i + n] for n in range(sizes[0], sizes[1] + 1) for i in range(len(items) - n + 1)]
+        grams.append(Counter(r if analyzer == "char" else " ".join(r) for r in runs))
+    df_of, tf_of = Counter(t for g in grams for t in g), sum(grams, Counter())
+    found = tfidf.term_statistics(df, config).collect()
+    assert {r.term: (r.df, r.tf_total) for r in found} == {t: (df_of[t], tf_of[t]) for t in tf_of}
+    assert len(found) == len(tf_of)
+
+
+def test_a_portion_gives_a_term_once(spark):
+    """Before, every occurrence of a term was a row on its way to the counting."""
+    df = spark.createDataFrame([("many words and many more words",)] * 300, "text string").coalesce(1)
+    for config, kinds in ((TfidfConfig(), 4), (TfidfConfig(analyzer="char", ngram_range=(3, 5)), 70)):
+        assert tfidf._occurrences(df, config, "text").count() <= kinds
+
+
+def test_only_known_characters_are_kept(spark, monkeypatch):
+    monkeypatch.setattr(tfidf, "PORTION_ITEMS", 12)
+    config = TfidfConfig(analyzer="char", ngram_range=(3, 4))
+    df = corpus(spark, [*CORPUS, (4, None), (5, "zzz")])
+    rows = tfidf.with_terms(df, config, known=["cat", "cats", "gone"]).collect()
+    assert [tuple(r)[:2] for r in sorted(rows)] == [*CORPUS, (4, None), (5, "zzz")]
+    assert {r.doc_id: Counter(r._terms) for r in rows} == {
+        0: {"cat": 2, "cats": 2}, 1: {}, 2: {"cat": 1}, 3: {"cat": 2, "cats": 2}, 4: {}, 5: {},
+    }
