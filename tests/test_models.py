@@ -9,6 +9,7 @@ from docsignal.operators.folds import stratified_folds
 from docsignal.operators.knn import knn_distances, knn_score
 from docsignal.operators.outliers import OutlierConfig, score_outliers
 from docsignal.operators.selection import Breeding, Scoring, SubsetFitness, _offspring, _repair, search_subset
+from docsignal.session import materialize
 
 
 def points(n=240, d=5, seed=0):
@@ -335,3 +336,26 @@ def test_a_better_optimum_of_a_smaller_c_is_taken_over():
     assert going.weights.tolist() == [5.0, 5.0]
     svm._offer(ended, going, 2.0)
     assert going.weights.tolist() == [1.0, 0.0] and not going.pending.any()
+
+
+def test_passes_leave_no_shuffle_files(spark):
+    """Before, every pass of a fit left its sums on disk until the driver collected garbage."""
+    blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    files = lambda: sum(str(f).endswith(".data") for f in blocks.getAllFiles().mkString("\n").split("\n"))
+    rows = spark.range(0, 40, 1, 4).selectExpr("cast(id % 3 as int) key", "0 row", "array(double(id)) total")
+    before = files()
+    for _ in range(20):
+        sums = M.sum_by_key(rows)
+        assert {k: v[0][0] for k, v in sums.items()} == {0: 273.0, 1: 247.0, 2: 260.0}
+    assert files() < before + 10
+
+
+def test_one_file_of_rows_is_fitted_by_several_tasks(spark, monkeypatch):
+    """Before, rows in one file were all fitted by one task, however many they were."""
+    monkeypatch.setattr(svm, "TASK_ROWS", 100)
+    rows = spark.range(0, 400, 1, 1).selectExpr("id doc_id", "array(rand(1), rand(2)) features", "int(id % 2) label")
+    rows = materialize(rows, "one-file")
+    seen, step = [], svm._step_sums
+    monkeypatch.setattr(svm, "_step_sums", lambda r, *a: seen.append(r.rdd.getNumPartitions()) or step(r, *a))
+    svm.fit_linear(rows, [svm.Task()])
+    assert set(seen) == {4}
