@@ -220,3 +220,10 @@ def test_cleaning_never_empties_the_frame(spark):
     assert sorted(r.doc_id for r in removed_rows(some).collect()) == [1, 3, 5]
     counts = removal_counts(some).first()
     assert (counts.total_rows, counts.total_removed, counts.total_kept) == (6, 3, 3)
+
+
+def test_blocks_grow_before_they_grow_in_number():
+    """A row travels to every other block; before, 160,000 rows of 220 columns were in 16."""
+    assert knn._block_counts({0: 160_000}, 220) == {0: 8}
+    assert knn._block_counts({0: 960_000}, 220) == {0: 26}  # of 64 MB each
+    assert set(knn._block_counts({f: 130_000 for f in range(5)}, 220).values()) == {4}
