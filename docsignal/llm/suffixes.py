@@ -33,6 +33,7 @@ from docsignal.llm.common import (
     PrefixHash, key_back, key_bitmap, key_column, map_batches, maybe_in, mix, materialize,
     text_buffer, text_slices,
 )
+from docsignal.session import no_shuffles_left
 
 LENGTH, GRAM = 50, 16
 SLICE, PACK = 1 << 20, 4 << 20  # bytes of text worked on at once, and packed into one batch of blocks
@@ -456,10 +457,12 @@ def repeated_spans(
     docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limit: int = LIMIT
 ) -> DataFrame:
     """``(doc_id, tag, start, end)``: covered byte spans, not yet united, of ``(doc_id, tag, text)``."""
-    keys = materialize(repeated(gram_keys(docs, length, gram)), "suffix-grams")
-    bitmap = key_bitmap(keys, "key", BITMAP_BITS)
-    blocks = shared_blocks(docs, bitmap, length, gram)
-    found = materialize(bucket_spans(blocks, length, limit), "suffix-spans")
+    # What the passes shuffle is of no use once their tables are written, and as large as the input or larger.
+    with no_shuffles_left(docs.sparkSession):
+        keys = materialize(repeated(gram_keys(docs, length, gram)), "suffix-grams")
+        bitmap = key_bitmap(keys, "key", BITMAP_BITS)
+        blocks = shared_blocks(docs, bitmap, length, gram)
+        found = materialize(bucket_spans(blocks, length, limit), "suffix-spans")
     spans = found.where("window is null").select("doc_id", "tag", "start", "end")
     windows = found.where("window is not null")
     least = windows.groupBy("window").agg(F.min("doc_id").alias("first"))

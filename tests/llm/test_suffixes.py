@@ -152,3 +152,14 @@ def test_text_and_other_columns(spark):
     assert (by[1].kept, by[1].lang) == ("é" * 60, "x")
     assert (by[2].kept, by[2].lang, by[2].source) == ("ab", "y", "src")
     assert by[3].kept == "ü"  # its second one lost the byte it shares with é
+
+
+def test_passes_leave_no_shuffle_files(spark):
+    """Before, the grams and blocks that were shuffled lay on disk until the result was read."""
+    blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    files = lambda: sum(str(f).endswith(".data") for f in blocks.getAllFiles().mkString("\n").split("\n"))
+    rows = corpus(3)
+    before = files()
+    spans = suffixes.repeated_spans(documents(spark, rows).selectExpr("doc_id", "doc_id tag", "text"))
+    assert files() <= before
+    assert spans.count()
