@@ -8,8 +8,8 @@ alone, so maxima of frequencies are maxima of impacts, and the index needs no fi
 *Search.*  The queries' terms are counted over all documents, then every task takes its documents in
 portions.  One product of two matrices (impacts at the coordinates, weights of the queries' terms)
 gives upper bounds for all pairs of a portion; all numbers are integers below 2 ** 53, so the product
-is exact.  For each query the portion's documents are taken by descending bound and scored exactly
-from their words, until the next bound is below the k-th best score that the task has seen.  Tasks
+is exact.  The portion's documents are taken by descending bound, read once and scored exactly for all
+queries together, as long as a bound reaches the k-th best score that the task has seen for its query.  Tasks
 return at most k lines a query; a window picks the best of these.
 
 Scores are those of ``score``: weights and impacts are integers, ties go to the smaller key.  NULL
@@ -146,31 +146,17 @@ def query_block(rows: list) -> Queries:
 
 
 def document_frequencies(index: DataFrame, vocabulary: list[bytes]) -> list[int]:
-    """In how many documents each term occurs; hashes find candidates, bytes decide."""
+    """In how many documents each term occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = PrefixHash()
-        hashes = np.array([term_hash(hasher, t) for t in vocabulary], np.uint64)
-        order = np.argsort(hashes)
-        known = hashes[order]
         number = {t: n for n, t in enumerate(vocabulary)}
+        known = number.keys()
         found = np.zeros(len(vocabulary), np.int64)
         for batch in batches:
             data, offsets = text_buffer(batch.column(0))
-            for _, _, part, ends in text_slices(data, offsets):
-                start, end, row = _term_spans(part, ends)
-                if not len(start):
-                    continue
-                of = _hashes(hasher, part, start, end)
-                place = np.minimum(np.searchsorted(known, of), len(known) - 1)
-                hit = np.flatnonzero(known[place] == of)
-                pair = row[hit] * np.int64(len(known)) + place[hit]
-                _, first = np.unique(pair, return_index=True)
-                lower = ascii_lower(part)
-                for h in hit[first].tolist():
-                    n = number.get(lower[start[h] : end[h]].tobytes())
-                    if n is not None:
-                        found[n] += 1
+            for i in range(batch.num_rows):
+                own = known & terms_of(data[offsets[i] : offsets[i + 1]].tobytes())
+                found[[number[t] for t in own]] += 1
         n = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(n), pa.array(found[n])], names=["term", "df"])
 
@@ -211,29 +197,59 @@ class _Best:
             (heapq.heappush if len(self.heap) < self.k else heapq.heappushpop)(self.heap, (score, -key))
 
 
-def _rank_portion(keys, texts, bounds, m, queries, weights, best) -> None:
-    """Score the documents of a portion by descending bound, query by query, until none can come in."""
-    counts: dict[int, Counter] = {}
-    for q, top in enumerate(best):
-        bound = bounds[:, q]
-        rows = np.flatnonzero(bound >= top.least())
-        for row in rows[np.lexsort((keys[rows], -bound[rows]))].tolist():
-            if bound[row] < top.least():
-                break
-            if row not in counts:
-                counts[row] = Counter(terms_of((texts[row].as_py() or "").encode()))
-            tf = counts[row]
-            score = sum(
-                weights[t] * impact(tf[queries.vocabulary[t]], m[row])
-                for t in queries.terms[q]
-                if queries.vocabulary[t] in tf
-            )
-            top.add(score, int(keys[row]))
+class _Asked:
+    """Some queries of a block, with their terms one after the other."""
+
+    def __init__(self, terms: list[list[int]], weights: np.ndarray) -> None:
+        self.terms = np.array([t for own in terms for t in own], np.int64)
+        self.weights = weights[self.terms]
+        self.ends = np.cumsum([0] + [len(own) for own in terms])
+
+    def scores(self, impacts: np.ndarray) -> np.ndarray:
+        """Exact scores of one document, whose impacts stand at the numbers of its terms."""
+        sums = np.zeros(len(self.terms) + 1, np.int64)
+        np.cumsum(self.weights * impacts[self.terms], out=sums[1:])
+        return sums[self.ends[1:]] - sums[self.ends[:-1]]
+
+
+class _Portion:
+    """Documents of a portion; the impacts of each are taken from its words once, if at all."""
+
+    def __init__(self, keys, data, offsets, m, number: dict[bytes, int]) -> None:
+        self.keys, self.data, self.offsets, self.m, self.number = keys, data, offsets, m, number
+        self.seen: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.line = np.zeros(len(number), np.int64)
+
+    def impacts(self, row: int) -> tuple[np.ndarray, np.ndarray]:
+        """``(term numbers, impacts)`` of the document's terms that any query has."""
+        if row not in self.seen:
+            text = self.data[self.offsets[row] : self.offsets[row + 1]].tobytes()
+            number = self.number
+            tf = Counter(n for n in map(number.get, terms_of(text)) if n is not None)
+            at = np.fromiter(tf.keys(), np.int64, len(tf))
+            self.seen[row] = at, impact(np.fromiter(tf.values(), np.int64, len(tf)), int(self.m[row]))
+        return self.seen[row]
+
+    def rank(self, bounds: np.ndarray, asked: _Asked, best: list[_Best]) -> None:
+        """Score documents by descending bound until none can come in for any query."""
+        least = np.array([top.least() for top in best])
+        above = (bounds - least).max(axis=1, initial=-np.inf)
+        rows = np.flatnonzero(above >= 0)
+        for row in rows[np.argsort(-above[rows], kind="stable")].tolist():
+            if not (bounds[row] >= least).any():
+                continue
+            at, values = self.impacts(row)
+            self.line[at] = values
+            scores = asked.scores(self.line)
+            self.line[at] = 0
+            for q in np.flatnonzero(scores >= least).tolist():
+                best[q].add(int(scores[q]), int(self.keys[row]))
+                least[q] = best[q].least()
 
 
 def _search_block(index: DataFrame, queries: Queries, documents: int, terms: int, k: int) -> DataFrame:
     frequencies = document_frequencies(index, queries.vocabulary)
-    weights = [weight(df, documents) for df in frequencies]
+    weights = np.array([weight(df, documents) for df in frequencies], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = PrefixHash()
@@ -243,8 +259,12 @@ def _search_block(index: DataFrame, queries: Queries, documents: int, terms: int
         for q, own in enumerate(queries.terms):
             np.add.at(asked[:, q], place[own], [weights[t] for t in own])
         best = [_Best(k) for _ in queries.keys]
+        parts = range(0, len(queries.keys), COLUMNS)
+        blocks = [_Asked(queries.terms[c : c + COLUMNS], weights) for c in parts]
+        number = {t: n for n, t in enumerate(queries.vocabulary)}
         for batch in batches:
-            names, texts = batch.column(0).to_numpy(), batch.column(1)
+            names = batch.column(0).to_numpy()
+            data, offsets = text_buffer(batch.column(1))
             lengths = batch.column(2).to_numpy()
             lines, _ = text_buffer(batch.column(3))
             lines = lines.reshape(-1, WIDTH)
@@ -254,12 +274,10 @@ def _search_block(index: DataFrame, queries: Queries, documents: int, terms: int
                 tf = lines[part][:, used].astype(np.int64)
                 most = impact(tf, m.astype(np.int64)[:, None])
                 most[tf == FULL] = MOST_IMPACT
-                for c in range(0, len(queries.keys), COLUMNS):
-                    own = Queries(queries.keys[c : c + COLUMNS], queries.terms[c : c + COLUMNS], queries.vocabulary)
+                portion = _Portion(names[part], data, offsets[i : part.stop + 1], m, number)
+                for c, own in zip(parts, blocks):
                     bounds = most.astype(np.float64) @ asked[:, c : c + COLUMNS]
-                    _rank_portion(
-                        names[part], texts.slice(i, part.stop - i), bounds, m, own, weights, best[c : c + COLUMNS]
-                    )
+                    portion.rank(bounds, own, best[c : c + COLUMNS])
         found = [(queries.keys[q], -key, score) for q, top in enumerate(best) for score, key in top.heap]
         columns = zip(*found) if found else ([], [], [])
         yield pa.RecordBatch.from_arrays(

@@ -95,3 +95,33 @@ def test_edges_ties_and_clashing_columns(spark):
     assert found(spark, [(1, None), (2, "--")], items) == []
     queries = spark.createDataFrame([(1, "a")], "item_id long, text string")
     assert search.search(search.index_documents(empty(spark)), queries).count() == 0
+
+
+def test_a_document_is_read_once_and_scored_for_all_queries_together(monkeypatch):
+    """Before, every pair of document and query took a loop over the query's terms, and every block of
+    queries read the documents of a portion again."""
+    docs, items = corpus(5, 40)
+    block = search.query_block([(search.NULL_KEY if i is None else i, t) for i, t in items])
+    number = {t: n for n, t in enumerate(block.vocabulary)}
+    texts = [(t or "").encode() for _, t in docs]
+    terms = [search.terms_of(t) for t in texts]
+    n, total = sum(map(bool, terms)), sum(map(len, terms))
+    df = Counter(x for t in terms for x in set(t))
+    weights = np.array([search.weight(df[t], n) for t in block.vocabulary], np.int64)
+    m = np.array([search.length_share(len(t), n, total) for t in terms], object)
+    read, scored = [], []
+    monkeypatch.setattr(search, "terms_of", lambda t, plain=search.terms_of: read.append(t) or plain(t))
+    monkeypatch.setattr(search, "impact", lambda *a, plain=search.impact: scored.append(a) or plain(*a))
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    keys = np.array([k for k, _ in docs])
+    portion = search._Portion(keys, np.frombuffer(b"".join(texts), np.uint8), offsets, m, number)
+    best = [search._Best(10) for _ in block.keys]
+    for part in (slice(0, 9), slice(9, None)):  # more than one block of queries
+        bounds = np.full((len(docs), len(best[part])), 1e12)
+        portion.rank(bounds, search._Asked(block.terms[part], weights), best[part])
+    assert len(read) == len(scored) == len(docs)
+    got = []
+    for key, top in zip(block.keys, best):
+        for rank, (score, minus) in enumerate(sorted(top.heap, reverse=True), 1):
+            got.append((None if key == search.NULL_KEY else key, rank, -minus, score))
+    assert sorted(got, key=repr) == plain(docs, items)
