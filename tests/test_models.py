@@ -359,3 +359,13 @@ def test_one_file_of_rows_is_fitted_by_several_tasks(spark, monkeypatch):
     monkeypatch.setattr(svm, "_step_sums", lambda r, *a: seen.append(r.rdd.getNumPartitions()) or step(r, *a))
     svm.fit_linear(rows, [svm.Task()])
     assert set(seen) == {4}
+
+
+def test_curvature_is_a_product_of_a_matrix_with_itself():
+    """Before, both halves of every curvature were computed, and differed in their last digits."""
+    rng = np.random.default_rng(3)
+    rows, cost = rng.normal(size=(500, 37)), rng.uniform(0, 2, 500)
+    curve = svm._curvature(rows, cost)
+    assert np.allclose(curve, 2.0 * np.einsum("ni,n,nj->ij", rows, cost, rows))
+    assert (curve == curve.T).all()
+    assert (svm._curvature(rows[:0], cost[:0]) == np.zeros((37, 37))).all()
