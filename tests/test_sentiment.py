@@ -55,3 +55,14 @@ def test_shares_sum_to_one(spark):
     df = spark.createDataFrame([(w + " word here",) for w in DEMO_LEXICON], "text string")
     for r in with_sentiment(df).collect():
         assert r.vader_pos + r.vader_neu + r.vader_neg == pytest.approx(1.0, abs=2e-3)
+
+
+def test_a_score_does_not_depend_on_the_texts_beside_it(spark, monkeypatch):
+    monkeypatch.setattr("docsignal.functions.batches.portions.__defaults__", (5,))
+    texts = ["not", "good", "very", "a GOOD ÉTÉ day", "", "but", "bad but good", "kind", "of good", "(no)", "yeah", "right", "K :)"]
+    together = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    got = {r.text: r.vader_compound for r in with_sentiment(together).collect()}
+    for t in texts:
+        alone = spark.createDataFrame([(t,)], "text string")
+        assert got[t] == with_sentiment(alone).first().vader_compound, t
+    assert got["good"] > 0 and got["of good"] > 0 and got["not"] == 0 and got["right"] == 0
