@@ -1,6 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
-from docsignal.functions.sentiment import DEMO_LEXICON, read_lexicon, with_sentiment
+from docsignal.functions.sentiment import DEMO_LEXICON, lowered, raised, read_lexicon, with_sentiment
 
 # Published scores of sentences whose words the demonstration lexicon covers.
 PUBLISHED = {
@@ -66,3 +67,11 @@ def test_a_score_does_not_depend_on_the_texts_beside_it(spark, monkeypatch):
         alone = spark.createDataFrame([(t,)], "text string")
         assert got[t] == with_sentiment(alone).first().vader_compound, t
     assert got["good"] > 0 and got["of good"] > 0 and got["not"] == 0 and got["right"] == 0
+
+
+def test_every_character_is_cased_as_by_spark(spark):
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["x" + " ".join(map(chr, points[i : i + 2000])) for i in range(0, len(points), 2000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", F.lower("t").alias("low"), F.upper("t").alias("high")).collect():
+        assert (lowered(r.t), raised(r.t)) == (r.low, r.high)
