@@ -164,13 +164,13 @@ def key_bitmap(keys: DataFrame, column: str, bits: int = 26) -> np.ndarray:
     low = F.col(column).bitwiseAND((1 << bits) - 1)
     words = (
         keys.select(low.alias("b"))
-        .groupBy(F.shiftright("b", 5).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 31 as int))")).alias("w"))
+        .groupBy(F.shiftright("b", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("w"))
     )
     found = words.toArrow()
-    bitmap = np.zeros(1 << (bits - 5), np.uint32)
-    bitmap[found["word"].to_numpy()] = found["w"].to_numpy().astype(np.uint32)
-    return bitmap
+    bitmap = np.zeros(1 << (bits - 6), np.int64)
+    bitmap[found["word"].to_numpy()] = found["w"].to_numpy()
+    return bitmap.astype("<i8", copy=False).view("<u4")
 
 
 def maybe_in(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:

@@ -6,14 +6,12 @@ so windows that share a gram stand together: consecutive windows with one such g
 of text, and all blocks of a gram meet in one bucket.
 
 1. A pass over the texts emits the grams; those that occur in two documents or more are kept in a
-   bitmap of fixed size.
+   bitmap of bounded size.
 2. A second pass emits the blocks of these grams.  Of equal blocks in a batch only that of the
    smallest document travels; the others are covered already.
-3. In each bucket equal blocks are merged and the suffixes of the rest are sorted by a mergesort
-   whose comparisons take few steps: prefix polynomial hashes tell whether two suffixes agree up to
-   a depth, a binary search over depths finds their common extension, and the next byte decides.
-   Neighbours that agree over the whole window are compared byte by byte (hash collisions), and the
-   smallest document of each run of equal windows keeps its bytes.
+3. In each bucket equal blocks are merged and the suffixes of the rest are sorted by their bytes,
+   eight at a time: a round sorts only those that have been equal so far.  The smallest document of
+   each run of equal windows keeps its bytes.
 4. The covered spans are joined with the texts.
 
 A gram with more than ``LIMIT`` different blocks (say, at the edge of a passage that a third of all
@@ -36,10 +34,11 @@ from docsignal.llm.common import (
 from docsignal.session import no_shuffles_left
 
 LENGTH, GRAM = 50, 16
-SLICE, PACK = 1 << 20, 4 << 20  # bytes of text worked on at once, and packed into one batch of blocks
+SLICE, PACK = 1 << 17, 4 << 20  # bytes of text worked on at once (in the cache), and packed into one batch of blocks
 CHUNK = 16_000  # blocks sorted at once in a task
 LIMIT = 1 << 15
-BITMAP_BITS = 27
+BITMAP_BITS, MOST_BITS = 27, 29
+WORD = 8  # bytes that suffixes are sorted by in one round
 
 
 # ---- blocks -------------------------------------------------------------------------------------
@@ -194,109 +193,34 @@ class Suffixes:
     """Suffixes of a byte array, of which the first ``length`` bytes count, in groups."""
 
     def __init__(self, data: np.ndarray, start: np.ndarray, group: np.ndarray, length: int) -> None:
-        self.data, self.start, self.group, self.length = data, start, group, length
-        hasher = PrefixHash()
-        self.hasher, self.sums = hasher, hasher.sums(data)
-        self.whole = hasher.span(self.sums, start, start + length)
-        head = min(8, length)
-        self.head = np.zeros(len(start), np.uint64)
-        for k in range(head):
-            self.head = (self.head << np.uint64(8)) | data[start + k]
-
-    def less(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Whether suffix ``i`` is less than suffix ``j``, elementwise."""
-        out = self.head[i] < self.head[j]
-        open_ = np.flatnonzero((self.head[i] == self.head[j]) & (self.whole[i] != self.whole[j]))
-        if len(open_):
-            a, b = self.start[i[open_]], self.start[j[open_]]
-            depth = self.common(a, b)
-            out[open_] = self.data[a + depth] < self.data[b + depth]
-        return out
-
-    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Common extension of differing windows at ``a`` and ``b``, by binary search over hashes."""
-        low = np.full(len(a), min(8, self.length - 1))
-        high = np.full(len(a), self.length - 1)
-        for _ in range(int(self.length).bit_length()):
-            middle = (low + high + 1) >> 1
-            same = self.hasher.span(self.sums, a, a + middle) == self.hasher.span(
-                self.sums, b, b + middle
-            )
-            low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
-        return low
-
-    def order(self) -> np.ndarray:
-        """The suffixes sorted within their groups (``group`` ascending): a merge sort by ranks.
-
-        Runs double in every round; the place of a suffix in the merged run is its own rank plus its
-        rank in the neighbouring run, found by binary search.
-        """
-        n = len(self.start)
-        first = np.searchsorted(self.group, self.group)
-        end = np.searchsorted(self.group, self.group, "right")
-        order, run = np.arange(n), 1
-        active = np.flatnonzero(end - first > run)
-        while len(active):
-            base, stop = first[active], end[active]
-            rank = active - base
-            number = rank // run
-            other = base + (number ^ 1) * run
-            low = np.minimum(other, stop)
-            bound = np.minimum(other + run, stop)
-            high, begin = bound.copy(), low.copy()
-            odd = (number & 1).astype(bool)
-            me = order[active]
-            while True:
-                todo = np.flatnonzero(low < high)
-                if not len(todo):
-                    break
-                middle = (low[todo] + high[todo]) >> 1
-                theirs = order[middle]
-                # The left run comes first among equals.
-                ahead = self.less(theirs, me[todo])
-                right = odd[todo]
-                if right.any():
-                    ahead[right] = ~self.less(me[todo[right]], theirs[right])
-                low[todo] = np.where(ahead, middle + 1, low[todo])
-                high[todo] = np.where(ahead, high[todo], middle)
-            own = base + (number & ~1) * run
-            merged = own + (rank - number * run) + (low - begin)
-            order = order.copy()
-            order[merged] = me
-            run *= 2
-            active = active[stop - base > run]
-        return order
+        self.start, self.group, self.length = start, group, length
+        # The word of WORD bytes at every place, first byte most significant; a view, not a copy.
+        padded = np.append(data, np.zeros(WORD, np.uint8))
+        self.words = np.ndarray(len(data) + 1, ">u8", padded, strides=(1,))
+
+    def word(self, which: np.ndarray, depth: int) -> np.ndarray:
+        """The word of each suffix after ``depth`` bytes; what is beyond ``length`` is left out."""
+        beyond = max(0, depth + WORD - self.length)
+        return self.words[self.start[which] + depth].astype(np.uint64) >> np.uint64(8 * beyond)
 
     def runs(self) -> tuple[np.ndarray, np.ndarray]:
-        """``(order, run number per place)``: places of one number have equal windows and group."""
-        order = self.order()
-        same = self._same(order)
-        if self._collided(order, same):
-            windows = self.data[self.start[:, None] + np.arange(self.length)]
-            text = np.unique([bytes(w) for w in windows], return_inverse=True)[1]
-            order = np.lexsort((text, self.group))
-            same = np.zeros(len(order), bool)
-            same[1:] = (text[order][1:] == text[order][:-1]) & (
-                self.group[order][1:] == self.group[order][:-1]
-            )
-        return order, np.cumsum(~same) - 1
-
-    def _same(self, order: np.ndarray) -> np.ndarray:
-        same = np.zeros(len(order), bool)
-        same[1:] = (self.whole[order[1:]] == self.whole[order[:-1]]) & (
-            self.group[order[1:]] == self.group[order[:-1]]
-        )
-        return same
-
-    def _collided(self, order: np.ndarray, same: np.ndarray) -> bool:
-        """Whether neighbours with equal hashes differ in a byte."""
-        at = np.flatnonzero(same)
-        for part in range(0, len(at), 1 << 16):
-            i = self.start[order[at[part : part + (1 << 16)]]][:, None] + np.arange(self.length)
-            j = self.start[order[at[part : part + (1 << 16)] - 1]][:, None] + np.arange(self.length)
-            if (self.data[i] != self.data[j]).any():
-                return True
-        return False
+        """``(order, run number per place)``: places of one number have equal windows and group.
+
+        The suffixes sorted within their groups (``group`` ascending), equal ones by their number.
+        Word by word those are sorted on that have been equal so far; the bytes themselves decide.
+        """
+        order = np.arange(len(self.start))
+        fresh = np.ones(len(order), bool)  # the first place of each run
+        fresh[1:] = self.group[1:] != self.group[:-1]
+        for depth in range(0, self.length, WORD):
+            at = np.flatnonzero(~(fresh & np.append(fresh[1:], True)))
+            if not len(at):
+                break
+            word = self.word(order[at], depth)
+            sort = np.lexsort((word, np.cumsum(fresh[at])))
+            order[at], word = order[at[sort]], word[sort]
+            fresh[at[1:]] |= word[1:] != word[:-1]
+        return order, np.cumsum(fresh) - 1
 
 
 # ---- buckets ------------------------------------------------------------------------------------
@@ -453,6 +377,14 @@ def _resolve(batch: pa.RecordBatch, length: int, limit: int) -> Iterator[pa.Reco
 # ---- the operator -------------------------------------------------------------------------------
 
 
+def bitmap_bits(grams: int) -> int:
+    """Bits of the bitmap of so many grams, as a power of two: one in eight set, between 16 and 64 MB.
+
+    In a fuller one, blocks of no use pass and are shuffled and sorted like the others.
+    """
+    return min(max((8 * grams).bit_length(), BITMAP_BITS), MOST_BITS)
+
+
 def repeated_spans(
     docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limit: int = LIMIT
 ) -> DataFrame:
@@ -460,7 +392,7 @@ def repeated_spans(
     # What the passes shuffle is of no use once their tables are written, and as large as the input or larger.
     with no_shuffles_left(docs.sparkSession):
         keys = materialize(repeated(gram_keys(docs, length, gram)), "suffix-grams")
-        bitmap = key_bitmap(keys, "key", BITMAP_BITS)
+        bitmap = key_bitmap(keys, "key", bitmap_bits(keys.count()))
         blocks = shared_blocks(docs, bitmap, length, gram)
         found = materialize(bucket_spans(blocks, length, limit), "suffix-spans")
     spans = found.where("window is null").select("doc_id", "tag", "start", "end")

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from docsignal.llm import suffixes
+from docsignal.llm import common, suffixes
 from docsignal.llm.common import PrefixHash
 from helpers import bag, documents, edge_rows, empty, words
 
@@ -163,3 +163,26 @@ def test_passes_leave_no_shuffle_files(spark):
     spans = suffixes.repeated_spans(documents(spark, rows).selectExpr("doc_id", "doc_id tag", "text"))
     assert files() <= before
     assert spans.count()
+
+
+@pytest.mark.parametrize("length", [5, 8, 50])
+def test_suffixes_are_sorted_in_few_rounds(monkeypatch, length):
+    """Before, every doubling of runs searched for each suffix by hashes: 14 rounds for these."""
+    rounds, lexsort = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: rounds.append(len(keys[0])) or lexsort(keys))
+    data = np.tile(np.random.default_rng(2).integers(97, 123, 1000).astype(np.uint8), 12)
+    start = np.arange(len(data) - length + 1)
+    order, number = suffixes.Suffixes(data, start, np.zeros(len(start), int), length).runs()
+    assert 1 <= len(rounds) <= -(-length // 8)
+    text = [data[i : i + length].tobytes() for i in order]
+    assert text == sorted(text) and len(set(text)) == number[-1] + 1
+    assert all(a < b for a, b, t, u in zip(order, order[1:], text, text[1:]) if t == u)
+
+
+def test_the_bitmap_grows_with_the_grams(spark):
+    assert [suffixes.bitmap_bits(n) for n in (0, 10**7, 3 * 10**7, 6 * 10**7, 10**10)] == [27, 27, 28, 29, 29]
+    keys = np.random.default_rng(4).integers(-(1 << 63), (1 << 63) - 1, 3000)
+    bitmap = common.key_bitmap(spark.createDataFrame([(int(k),) for k in keys], "key long"), "key", 14)
+    low = keys.astype(np.uint64) & np.uint64((1 << 14) - 1)
+    assert np.unpackbits(bitmap.view(np.uint8)).sum() == len(np.unique(low))
+    assert common.maybe_in(bitmap, keys).all()
